@@ -226,7 +226,7 @@ FROM responses"""
 _COMPARED = """
 SELECT p.*, q.answer AS truth FROM predictions p JOIN problems q USING (id)"""
 _ACCURACY = f"""
-SELECT model, variant, count_if(prediction = truth) AS n_correct, count(*) AS n_rows,
+SELECT model, variant, count(*) FILTER (WHERE prediction = truth) AS n_correct, count(*) AS n_rows,
        avg(CASE WHEN prediction = truth THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS accuracy,
        avg(CASE WHEN abs(({sql.number(sql.extract('prediction'))})
                  - ({sql.number(sql.extract('truth'))})) < 0.01
@@ -255,7 +255,7 @@ def filled_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     _evaluation_sql(
-        "SELECT model, count_if(extracted = '') AS n_unparsed, count(*) AS n_rows "
+        "SELECT model, count(*) FILTER (WHERE extracted = '') AS n_unparsed, count(*) AS n_rows "
         "FROM predictions GROUP BY model"
     )
 )

@@ -219,9 +219,9 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_views(
         f"""
 SELECT count(*) AS n_rows,
-       count_if({sql.blank('chosen')}) AS blank_chosen, count_if(NOT {sql.blank('chosen')}) AS filled_chosen,
-       count_if({sql.blank('rejected')}) AS blank_rejected,
-       count_if(NOT {sql.blank('rejected')}) AS filled_rejected
+       count(*) FILTER (WHERE {sql.blank('chosen')}) AS blank_chosen, count(*) FILTER (WHERE NOT {sql.blank('chosen')}) AS filled_chosen,
+       count(*) FILTER (WHERE {sql.blank('rejected')}) AS blank_rejected,
+       count(*) FILTER (WHERE NOT {sql.blank('rejected')}) AS filled_rejected
 FROM preferences""",
         "preferences",
     )

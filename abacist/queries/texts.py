@@ -158,7 +158,8 @@ def answer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_views(
         f"""
 SELECT count(*) AS n_rows,
-       count_if({sql.extract(sql.answer_line("coalesce(chosen, '')", "answer"))} <> answer) AS n_differs
+       count(*) FILTER (
+           WHERE {sql.extract(sql.answer_line("coalesce(chosen, '')", "answer"))} <> answer) AS n_differs
 FROM preferences""",
         "preferences",
     )
