@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from abacist.sources.tables import read_spread
+
 # prediction sources of the evaluation queries, by rollout number
 MODELS = ("base", "sft", "dpo", "grpo")
 
@@ -17,6 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return read_spread(spark, f"{sf_dir}/{name}.parquet")
+
+
 def _text(*parts: Column | str) -> Column:
     return F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
 
@@ -35,7 +41,7 @@ def _numbers() -> list[Column]:
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     return (
-        table(spark, sf_dir, "orders")
+        spread_table(spark, sf_dir, "orders")
         .select(
             key.alias("id"),
             (F.col("o_custkey") % 8 + 2).alias("a"),
@@ -115,7 +121,7 @@ def _vector(length: str, factor: int, modulus: int) -> Column:
 
 def log_probs(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
-    keys = _per_rollout(table(spark, sf_dir, "orders")).select(
+    keys = _per_rollout(spread_table(spark, sf_dir, "orders")).select(
         key.alias("id"),
         "rollout",
         ((key + F.col("rollout")) % 4).alias("n_cur"),

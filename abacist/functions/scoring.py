@@ -20,7 +20,7 @@ from abacist.constants import (
 )
 from abacist.functions.columns import ColumnLike, as_column
 from abacist.functions.text import (
-    extract_answer,
+    answer_value,
     has_marker,
     parse_number,
     strip,
@@ -49,10 +49,10 @@ def reward(
     looking for its last number.
     """
     response, truth = as_column(response), as_column(truth)
-    wanted = parse_number(extract_answer(truth, marker=marker))
+    wanted = answer_value(truth, marker)
     if fraction_truth:
         wanted = F.coalesce(parse_number(strip(truth)), wanted)
-    given = parse_number(extract_answer(response, marker=marker))
+    given = answer_value(response, marker)
 
     def points(condition: Column, value: float) -> Column:
         return F.when(F.coalesce(condition, F.lit(False)), F.lit(value)).otherwise(0.0)

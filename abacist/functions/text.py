@@ -88,6 +88,15 @@ def _to_double(text: Column) -> Column:
     return F.when(plain.rlike(rf"\A(?:{grammar})\z"), plain.try_cast("double"))
 
 
+def answer_value(text: ColumnLike, marker: str = ANSWER_MARKER) -> Column:
+    """The number :func:`extract_answer` finds, as double; null without one.
+
+    What it finds is a plain decimal by its pattern, so none of the checks of
+    :func:`parse_number` are needed.
+    """
+    return fold_digits(extract_answer(text, marker=marker)).try_cast("double")
+
+
 def parse_number(text: ColumnLike) -> Column:
     """A decimal number or a fraction ``a/b`` as double.
 

@@ -124,6 +124,9 @@ def augmented_copies(
     answer = F.coalesce(
         stated_result("_cot"), ratio_answer("answer", "substitutions").cast("string")
     )
+    # one row or none; a filter on the answer would be pushed below the
+    # substitutions and have all of them computed twice
+    answered = F.explode(F.array_compact(F.array(answer)))
     columns = [
         F.concat(F.col("id").cast("string"), F.lit("_aug"), F.col("copy")).alias("id"),
         F.col("_question").alias("question"),
@@ -135,7 +138,7 @@ def augmented_copies(
     ]
     if check_equations:
         columns.append(equation_holds("_cot").alias("equation_ok"))
-    return replaced.withColumn("_answer", answer).where("_answer is not null").select(*columns)
+    return replaced.withColumn("_answer", answered).select(*columns)
 
 
 def with_augmented_copies(solutions: DataFrame, per_row: int = 2, **options) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from abacist.constants import FALLBACK_ANSWER
 from abacist.functions.scoring import numbers_agree
-from abacist.functions.text import extract_answer, parse_number, strip
+from abacist.functions.text import answer_value, extract_answer, strip
 from abacist.operators.keyed import lookup_join
 
 
@@ -40,9 +40,7 @@ def with_truth(predicted: DataFrame, items: DataFrame) -> DataFrame:
 def accuracy(compared: DataFrame, by: Sequence[str]) -> DataFrame:
     """Exact-text accuracy per group, and the share within the number tolerance."""
     exact = strip("prediction") == strip("truth")
-    close = numbers_agree(
-        parse_number(extract_answer("prediction")), parse_number(extract_answer("truth"))
-    )
+    close = numbers_agree(answer_value("prediction"), answer_value("truth"))
 
     def share(condition):
         hits = F.coalesce(condition, F.lit(False)).cast("double")

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abacist.fixtures import preferences, problems, rollouts, table, with_views
+from abacist.fixtures import (
+    preferences,
+    problems,
+    rollouts,
+    spread_table,
+    table,
+    with_views,
+)
 from abacist.functions import chat, display, text
 from abacist.functions.scoring import entry_score
 from abacist.operators.training_rows import suffix_quality
@@ -37,7 +44,7 @@ def last_marked_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT doc_id, {sql.extract('text')} AS extracted FROM documents")
 def document_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return spread_table(spark, sf_dir, "documents").select(
         "doc_id", text.extract_answer("text").alias("extracted")
     )
 
@@ -67,7 +74,7 @@ def parsed_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(line % 5 == 3, F.concat(supplier, F.lit("."), line))
         .otherwise(F.concat(F.lit("x"), part))
     )
-    return table(spark, sf_dir, "lineitem").select(
+    return spread_table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("id"),
         written.alias("written"),
         rounded(text.parse_number(written)).alias("value"),
@@ -82,7 +89,7 @@ FROM documents"""
 )
 def stripped_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     framed = F.concat(F.lit("　 "), "text", F.lit("\n\t"))
-    return table(spark, sf_dir, "documents").select(
+    return spread_table(spark, sf_dir, "documents").select(
         "doc_id", text.strip(framed).alias("stripped"), text.is_blank("text").alias("blank")
     )
 
@@ -99,7 +106,7 @@ def whole_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = F.aggregate(
         F.filter(found["value"], F.isnotnull), F.lit(0).cast("bigint"), lambda done, x: done + x
     )
-    return table(spark, sf_dir, "documents").select(
+    return spread_table(spark, sf_dir, "documents").select(
         "doc_id", F.array_join(found["text"], ",").alias("numbers"), total.alias("total")
     )
 
@@ -195,7 +202,7 @@ def joined_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id") % 2 == 0, F.to_json(F.struct(F.split("text", "\n").alias("t")))
     ).otherwise(F.to_json(F.struct(F.replace(F.col("text"), F.lit("\n"), F.lit("")).alias("t"))))
     value = F.variant_get(F.parse_json(lines), "$.t", "variant")
-    return table(spark, sf_dir, "documents").select("doc_id", text.joined_text(value).alias("joined"))
+    return spread_table(spark, sf_dir, "documents").select("doc_id", text.joined_text(value).alias("joined"))
 
 
 @query(
@@ -294,7 +301,7 @@ def reply_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Completion bodies around every document, read back."""
     content = F.struct(F.struct(F.col("text").alias("content")).alias("message"))
     body = F.to_json(F.struct(F.array(content).alias("choices")))
-    return table(spark, sf_dir, "documents").select(
+    return spread_table(spark, sf_dir, "documents").select(
         "doc_id", chat.reply_content(body).alias("reply")
     )
 
@@ -309,7 +316,7 @@ FROM lineitem"""
 )
 def duration_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     seconds = F.col("l_extendedprice") / 8
-    return table(spark, sf_dir, "lineitem").select(
+    return spread_table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("id"),
         seconds.alias("seconds"),
         display.duration_text(seconds).alias("duration"),
@@ -325,7 +332,7 @@ FROM lineitem"""
 )
 def percent_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     share = F.col("l_quantity") / 800
-    return table(spark, sf_dir, "lineitem").select(
+    return spread_table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("id"),
         share.alias("share"),
         display.percent_text(share).alias("percent"),
@@ -343,7 +350,7 @@ FROM (SELECT l_suppkey, avg(CASE WHEN l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0
 )
 def entry_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = (
-        table(spark, sf_dir, "lineitem")
+        spread_table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_suppkey").alias("entry"))
         .agg(
             F.avg((F.col("l_returnflag") == "R").cast("double")).alias("accuracy"),
