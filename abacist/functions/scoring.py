@@ -97,7 +97,8 @@ def kl_estimate(current: ColumnLike, old: ColumnLike) -> Column:
     return _vector_mean(F.zip_with(cur, prev, lambda c, o: o - c))
 
 
-def _clipped(ratio: Column, clip: float) -> Column:
+def clipped_ratio(ratio: Column, clip: float) -> Column:
+    """The ratio within ``1 - clip`` and ``1 + clip``."""
     return F.greatest(F.least(ratio, F.lit(1 + clip)), F.lit(1 - clip))
 
 
@@ -113,26 +114,11 @@ def clipped_objective(
     advantage = as_column(advantage)
     return _vector_mean(
         F.transform(
-            ratios, lambda r: F.least(r * advantage, _clipped(r, clip) * advantage)
+            ratios, lambda r: F.least(r * advantage, clipped_ratio(r, clip) * advantage)
         )
     )
 
 
-def clipped_bounds(
-    current: ColumnLike, old: ColumnLike, clip: float = CLIP_EPSILON
-) -> tuple[Column, Column]:
-    """Means of ``min(ratio, clip(ratio))`` and ``max(ratio, clip(ratio))``.
-
-    For A >= 0 the clipped objective is A times the first, for A < 0 it is A
-    times the second, so both can be summed before A is known.
-    """
-    cur, prev = _cut(current, old)
-    ratios = F.zip_with(cur, prev, lambda c, o: F.exp(c - o))
-    low = _vector_mean(F.transform(ratios, lambda r: F.least(r, F.lit(1 + clip))))
-    high = _vector_mean(F.transform(ratios, lambda r: F.greatest(r, F.lit(1 - clip))))
-    return low, high
-
-
 def rollout_loss(
     current: ColumnLike,
     old: ColumnLike,
@@ -162,7 +148,7 @@ def token_loss(
 
     def objective(t: Column) -> Column:
         ratio = F.exp(t["c"] - t["o"])
-        return F.least(ratio * t["a"], _clipped(ratio, clip) * t["a"])
+        return F.least(ratio * t["a"], clipped_ratio(ratio, clip) * t["a"])
 
     return -_vector_mean(F.transform(triples, objective)) + kl_coefficient * (
         kl_estimate(current, old)

@@ -2,25 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from abacist.constants import ADVANTAGE_EPSILON, CLIP_EPSILON, KL_COEFFICIENT
 from abacist.functions.scoring import (
-    clipped_bounds,
+    clipped_ratio,
     is_active,
-    kl_estimate,
     per_active,
     relative_advantage,
     reward,
-    rollout_loss,
     scaled_group_loss,
     shared_length,
 )
 from abacist.operators.keyed import with_group_stats
 
 KEYS = ("id", "rollout")
+VECTORS = ("current_log_probs", "old_log_probs")
 
 
 def scored(rollouts: DataFrame, **options) -> DataFrame:
@@ -63,18 +62,58 @@ def with_log_probs(rewards: DataFrame, log_probs: DataFrame) -> DataFrame:
     return rewards.join(log_probs, list(KEYS))
 
 
+def _token_ratios(rows: DataFrame) -> DataFrame:
+    """One row per token that both vectors have, at least one per rollout.
+
+    Adds ``at`` (null without a token), ``ratio``, ``gap`` (old minus current)
+    and ``weight`` (one over the number of tokens). Long vectors are summed much
+    faster as rows in generated code than with array functions.
+    """
+    length = F.coalesce(shared_length("current_log_probs", "old_log_probs"), F.lit(0))
+    cut = [F.slice(F.col(v), 1, F.col("_length")) for v in VECTORS]
+    tokens = F.arrays_zip(cut[0].alias("current"), cut[1].alias("old"))
+    return (
+        rows.withColumn("_length", length)
+        .withColumn("_tokens", tokens)
+        .select(
+            *(c for c in rows.columns if c not in VECTORS),
+            F.try_divide(F.lit(1.0), F.col("_length")).alias("weight"),
+            F.posexplode_outer("_tokens").alias("at", "_token"),
+        )
+        .withColumns(
+            {
+                "ratio": F.exp(F.col("_token.current") - F.col("_token.old")),
+                "gap": F.col("_token.old") - F.col("_token.current"),
+            }
+        )
+        .drop("_token")
+    )
+
+
 def rollout_losses(
     rows: DataFrame, clip: float = CLIP_EPSILON, kl_coefficient: float = KL_COEFFICIENT
 ) -> DataFrame:
-    """Adds ``loss`` and ``kl``; rollouts without shared tokens or advantage
-    are left out."""
-    vectors = ("current_log_probs", "old_log_probs")
-    counted = active_rollouts(rows).where(shared_length(*vectors) > 0)
-    return counted.withColumns(
-        {
-            "loss": rollout_loss(*vectors, "advantage", clip, kl_coefficient),
-            "kl": kl_estimate(*vectors),
-        }
+    """``id, rollout, advantage, loss, kl`` of the rollouts that count.
+
+    Rollouts without shared tokens or advantage are left out. The sums over
+    tokens are combined before the shuffle; after a join on the same key there
+    is none.
+    """
+    counted = rows.where(
+        (F.abs("advantage") >= ADVANTAGE_EPSILON) & (shared_length(*VECTORS) > 0)
+    )
+    tokens = _token_ratios(counted.select(*KEYS, "advantage", *VECTORS))
+    ratio, advantage = F.col("ratio"), F.col("advantage")
+    objective = F.least(ratio * advantage, clipped_ratio(ratio, clip) * advantage)
+    return (
+        tokens.groupBy(*KEYS, "advantage")
+        .agg(F.avg(objective).alias("_objective"), F.avg("gap").alias("kl"))
+        .select(
+            *KEYS,
+            "advantage",
+            (kl_coefficient * F.col("kl") - F.col("_objective")).alias("loss"),
+            "kl",
+        )
     )
 
 
@@ -108,36 +147,28 @@ def group_objectives(
     """From rollouts to the loss sums of every id, without row-level statistics.
 
     The advantage depends on the reward alone, and a reward has only a few
-    values (correct or not, steps or not, marker or not). So rows are first
+    values (correct or not, steps or not, marker or not). So tokens are first
     summed per (id, reward), combined before the shuffle, and advantages are
     worked out on at most that many rows per id. A clipped objective is linear
-    in the advantage on either side of zero; both slopes are summed.
+    in the advantage on either side of zero: A times the mean of
+    ``min(ratio, 1 + clip)`` above, of ``max(ratio, 1 - clip)`` below. Both are
+    summed.
     """
     slim = scored(rollouts, **reward_options).select(
-        *KEYS,
-        "reward",
-        *([] if log_probs is not None else ["current_log_probs", "old_log_probs"]),
+        *KEYS, "reward", *(VECTORS if log_probs is None else ())
     )
     if log_probs is not None:
-        slim = with_log_probs(slim, log_probs)
-    vectors = ("current_log_probs", "old_log_probs")
-    counts = shared_length(*vectors) > 0
-    low, high = clipped_bounds(*vectors, clip)
-
-    def total(value: Column) -> Column:
-        return F.sum(F.when(F.col("_counts"), value))
-
+        slim = with_log_probs(slim, log_probs.select(*KEYS, *VECTORS))
+    ratio, weight = F.col("ratio"), F.col("weight")
     per_reward = (
-        slim.withColumns(
-            {"_counts": counts, "_low": low, "_high": high, "_kl": kl_estimate(*vectors)}
-        )
+        _token_ratios(slim)
         .groupBy("id", "reward")
         .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.count_if("_counts").alias("_active"),
-            total(F.col("_low")).alias("_low"),
-            total(F.col("_high")).alias("_high"),
-            total(F.col("_kl")).alias("_kl"),
+            F.count_if(F.coalesce(F.col("at"), F.lit(0)) == 0).alias("_rows"),
+            F.count_if(F.col("at") == 0).alias("_active"),
+            F.sum(F.least(ratio, F.lit(1 + clip)) * weight).alias("_low"),
+            F.sum(F.greatest(ratio, F.lit(1 - clip)) * weight).alias("_high"),
+            F.sum(F.col("gap") * weight).alias("_kl"),
         )
     )
     # one row per distinct reward of an id, eight at most
