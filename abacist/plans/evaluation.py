@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from abacist.constants import FALLBACK_ANSWER
+from abacist.constants import DEFAULT_SEED, EVALUATION_SAMPLE, FALLBACK_ANSWER
+from abacist.functions.chat import (
+    DEFAULT_PROMPT_TYPE,
+    DEFAULT_PROMPTS,
+    chat_text,
+    messages,
+    prompt_text,
+)
 from abacist.functions.scoring import numbers_agree
 from abacist.functions.text import answer_value, extract_answer, strip
+from abacist.operators.generation import batch_responses
 from abacist.operators.keyed import lookup_join
+from abacist.operators.ordering import seeded_sample
+from abacist.operators.tables import fan_out, has_ground_truth
+from abacist.sources.submission import submission
+
+Load = Callable[[], Callable[[list[str]], list[str]]]
 
 
 def predictions(responses: DataFrame, response: str = "response") -> DataFrame:
@@ -96,3 +110,82 @@ def only_available(
     if isinstance(available, DataFrame):
         return lookup_join(rows, available.select(name).distinct(), [name], "left_semi")
     return rows.where(F.col(name).isin(list(available)))
+
+
+def variant_predictions(
+    items: DataFrame,
+    variants: Sequence[Mapping[str, str]],
+    loaders: Mapping[str, Load],
+    catalogue: Mapping[str, str] = DEFAULT_PROMPTS,
+    batch_size: int = 16,
+) -> DataFrame:
+    """Predictions of every variant (``model`` and ``prompt_type``) for all items.
+
+    Each model answers its own variants, since a task holds one model at a time;
+    ``loaders`` gives them by name. Only the prompt and the keys pass through
+    Python. The result depends on the models: write it before using it twice.
+    """
+    places = [{**variant, "place": str(n)} for n, variant in enumerate(variants)]
+    parts = []
+    for model in dict.fromkeys(variant["model"] for variant in variants):
+        own = [variant for variant in places if variant["model"] == model]
+        prompted = fan_out(items, own).select(
+            "id",
+            "model",
+            "prompt_type",
+            F.col("place").cast("int").alias("variant"),
+            chat_text(
+                messages(prompt_text("prompt_type", catalogue), "question"),
+                generation_prompt=True,
+            ).alias("prompt"),
+        )
+        answered = batch_responses(prompted, loaders[model], batch_size=batch_size)
+        parts.append(predictions(answered.drop("prompt")).drop("response"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def variant_accuracy(predicted: DataFrame, items: DataFrame, base: str | None = None) -> DataFrame:
+    """Ranked accuracy per variant, with the gain over the base model if named."""
+    compared = with_truth(predicted, items)
+    placed = ranked(accuracy(compared, ["model", "prompt_type", "variant"]))
+    return placed if base is None else with_gain(placed, base)
+
+
+def choose_and_submit(
+    train: DataFrame,
+    test: DataFrame,
+    model_prompts: Mapping[str, str],
+    loaders: Mapping[str, Load],
+    prompt_types: Sequence[str],
+    work_path: str,
+    sample: int = EVALUATION_SAMPLE,
+    seed: int = DEFAULT_SEED,
+    catalogue: Mapping[str, str] = DEFAULT_PROMPTS,
+) -> tuple[str, str, DataFrame]:
+    """Best model, best prompt type and their submission for ``test``.
+
+    Models, each with its own prompt, are compared on a seeded sample of
+    ``train``; the winner is then compared with itself under ``prompt_types``.
+    Without answers in ``train`` the last named model and the default prompt are
+    taken. Predictions are written under ``work_path`` before they are compared.
+    """
+    spark = train.sparkSession
+    if has_ground_truth(train):
+        items = seeded_sample(train, sample, seed=seed)
+
+        def winner(variants: list[dict[str, str]], name: str):
+            variant_predictions(items, variants, loaders, catalogue).write.mode(
+                "overwrite"
+            ).parquet(f"{work_path}/{name}")
+            predicted = spark.read.parquet(f"{work_path}/{name}")
+            return best(variant_accuracy(predicted, items)).first()
+
+        by_model = [{"model": m, "prompt_type": p} for m, p in model_prompts.items()]
+        model = winner(by_model, "models")["model"]
+        by_prompt = [{"model": model, "prompt_type": p} for p in prompt_types]
+        prompt_type = winner(by_prompt, "prompts")["prompt_type"]
+    else:
+        model, prompt_type = list(model_prompts)[-1], DEFAULT_PROMPT_TYPE
+    chosen = [{"model": model, "prompt_type": prompt_type}]
+    final = variant_predictions(test, chosen, loaders, catalogue)
+    return model, prompt_type, submission(final)

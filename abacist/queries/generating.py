@@ -10,11 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from abacist.fixtures import problems, with_views
-from abacist.functions.chat import DEFAULT_CORRECT_REQUEST, DEFAULT_WRONG_REQUEST
+from abacist.functions.chat import (
+    DEFAULT_CORRECT_REQUEST,
+    DEFAULT_PROMPTS,
+    DEFAULT_WRONG_REQUEST,
+)
 from abacist.operators import generation
+from abacist.plans import evaluation
 from abacist.plans.augmentation import build_training_tables
 from abacist.queries import sql
-from abacist.queries.registry import query
+from abacist.queries.registry import query, rounded
 from abacist.session import shared_folder
 from abacist.streaming import enrichment
 
@@ -123,3 +128,113 @@ def streamed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark, source, rows.schema, sink, checkpoint, _echo_loader(), **_NO_WAIT
         ).awaitTermination()
     return enrichment.enriched_preferences(spark, sink)
+
+
+def _shop_loaders(models):
+    """Models that work the question out; they forget what was sold for some
+    lengths of the prompt, each model for its own."""
+
+    def loader(rest: int):
+        def load():
+            import re
+
+            def generate(prompts):
+                texts = []
+                for prompt in prompts:
+                    numbers = re.search(r"有(\d+)框苹果每框(\d+)千克，卖出(\d+)千克", prompt).groups()
+                    boxes, weight, sold = map(int, numbers)
+                    left = boxes * weight - (sold if len(prompt) % 4 > rest else 0)
+                    texts.append(f"步骤：略\n答案：{left}")
+                return texts
+
+            return generate
+
+        return load
+
+    return {model: loader(n) for n, model in enumerate(models)}
+
+
+def _shop_prediction(prompt: str, rest: str) -> str:
+    return f"CAST(CASE WHEN length({prompt}) % 4 > {rest} THEN ans ELSE ab END AS VARCHAR)"
+
+
+def _prompt(kind: str) -> str:
+    cases = " ".join(f"WHEN '{k}' THEN {sql.quoted(t)}" for k, t in DEFAULT_PROMPTS.items())
+    turns = sql.chat(("system", f"CASE {kind} {cases} END"), ("user", "question"))
+    return f"concat({turns}, '<|im_start|>assistant', chr(10))"
+
+
+_SHOP_MODELS = {"base": "zero_shot", "sft": "sft", "dpo": "dpo", "grpo": "grpo"}
+_SHOP_VARIANTS = ", ".join(f"({n}, '{m}', '{p}')" for n, (m, p) in enumerate(_SHOP_MODELS.items()))
+_SHOP_SQL = f"""
+SELECT id, v.m AS model, v.p AS prompt_type, v.o AS variant, answer AS truth,
+       {_shop_prediction(_prompt('v.p'), 'v.o')} AS prediction
+FROM problems JOIN base USING (id) CROSS JOIN (VALUES {_SHOP_VARIANTS}) AS v(o, m, p)"""
+
+
+@query(
+    with_views(
+        """
+SELECT model, prompt_type, variant, CAST(row_number() OVER (ORDER BY hits DESC, variant) AS INTEGER)
+       AS place, n_correct, n_rows, round(hits, 6) AS accuracy, round(hits - max(CASE WHEN model = 'base'
+       THEN hits END) OVER (), 6) AS gain
+FROM (SELECT model, prompt_type, variant, count(*) FILTER (WHERE prediction = truth) AS n_correct,
+             count(*) AS n_rows, avg(CASE WHEN prediction = truth THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)
+             AS hits FROM shop GROUP BY ALL)""",
+        "problems",
+        shop=_SHOP_SQL,
+    )
+)
+def evaluated_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All questions answered by every model with its own prompt, and ranked."""
+    items = problems(spark, sf_dir)
+    variants = [{"model": m, "prompt_type": p} for m, p in _SHOP_MODELS.items()]
+    predicted = evaluation.variant_predictions(items, variants, _shop_loaders(_SHOP_MODELS))
+    return evaluation.variant_accuracy(predicted, items, base="base").select(
+        "model",
+        "prompt_type",
+        "variant",
+        "place",
+        "n_correct",
+        "n_rows",
+        rounded("accuracy").alias("accuracy"),
+        rounded("gain").alias("gain"),
+    )
+
+
+_SAMPLE = f"SELECT * FROM problems ORDER BY {sql.hash32('id')}, id LIMIT 400"
+_BEST_MODEL = """
+SELECT model, variant AS rest FROM shop JOIN sample USING (id)
+GROUP BY model, variant ORDER BY avg(CASE WHEN prediction = truth THEN 1 ELSE 0 END) DESC, variant
+LIMIT 1"""
+_BEST_PROMPT = f"""
+SELECT kind FROM (SELECT v.o, v.p AS kind, answer AS truth, {_shop_prediction(_prompt('v.p'), 'rest')} AS prediction
+    FROM sample JOIN base USING (id) CROSS JOIN best_model
+    CROSS JOIN (VALUES (0, 'standard'), (1, 'zero_shot'), (2, 'few_shot')) AS v(o, p))
+GROUP BY o, kind ORDER BY avg(CASE WHEN prediction = truth THEN 1 ELSE 0 END) DESC, o LIMIT 1"""
+
+
+@query(
+    with_views(
+        f"""
+SELECT CAST(id AS VARCHAR) AS id, {_shop_prediction(_prompt('kind'), 'rest')} AS ret
+FROM problems JOIN base USING (id) CROSS JOIN best_model CROSS JOIN best_prompt""",
+        "problems",
+        shop=_SHOP_SQL,
+        sample=_SAMPLE,
+        best_model=_BEST_MODEL,
+        best_prompt=_BEST_PROMPT,
+    )
+)
+def chosen_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model and prompt chosen on the sample, then all questions answered."""
+    items = problems(spark, sf_dir)
+    *_, result = evaluation.choose_and_submit(
+        items,
+        items.drop("answer"),
+        _SHOP_MODELS,
+        _shop_loaders(_SHOP_MODELS),
+        ["standard", "zero_shot", "few_shot"],
+        shared_folder(spark, "evaluation"),
+    )
+    return result

@@ -26,6 +26,8 @@ PYTHON_QUERIES = {
     "batch_responses",
     "sampled_responses",
     "generated_pairs",
+    "evaluated_models",
+    "chosen_submission",
 }
 
 
