@@ -131,6 +131,10 @@ def generated_pairs(
 
         call = load()
 
+        def pause(seconds: float) -> None:
+            if seconds > 0:
+                time.sleep(seconds)
+
         def attempt(kind: str, request: str) -> tuple[str | None, int, str | None]:
             error = None
             for number in range(1, tries + 1):
@@ -139,16 +143,16 @@ def generated_pairs(
                 except Exception as problem:  # any client error counts as a failed try
                     error = f"{type(problem).__name__}: {problem}"
                     if number < tries:
-                        time.sleep(retry_wait * number)
+                        pause(retry_wait * number)
             return None, tries, error
 
         def pair(correct_request: str, wrong_request: str) -> tuple:
             chosen, attempts, error = attempt("correct", correct_request)
-            time.sleep(call_interval)
+            pause(call_interval)
             if error is not None:
                 return None, None, "failed", attempts, error
             rejected, more, error = attempt("wrong", wrong_request)
-            time.sleep(call_interval)
+            pause(call_interval)
             if error is not None:
                 return None, None, "failed", attempts + more, error
             return chosen, rejected, "ok", attempts + more, None

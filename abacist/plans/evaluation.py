@@ -47,24 +47,36 @@ def unparsed_counts(extracted: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def with_truth(predicted: DataFrame, items: DataFrame) -> DataFrame:
-    """Predictions joined to the answers of the items, which are unique by id."""
-    return predicted.join(items.select("id", F.col("answer").alias("truth")), "id")
+    """Predictions joined to the answers of the items, which are unique by id.
 
+    Adds ``truth``, ``exact`` (same text) and ``close`` (numbers within the
+    tolerance). Answers are prepared once per item, before the join.
+    """
+    answers = items.select(
+        "id",
+        F.col("answer").alias("truth"),
+        strip("answer").alias("_text"),
+        answer_value("answer").alias("_value"),
+    )
+    exact = strip("prediction") == F.col("_text")
+    close = numbers_agree(answer_value("prediction"), F.col("_value"))
+    return (
+        predicted.join(answers, "id")
+        .withColumns({"exact": F.coalesce(exact, F.lit(False)), "close": close})
+        .drop("_text", "_value")
+    )
 
-def accuracy(compared: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Exact-text accuracy per group, and the share within the number tolerance."""
-    exact = strip("prediction") == strip("truth")
-    close = numbers_agree(answer_value("prediction"), answer_value("truth"))
-
-    def share(condition):
-        hits = F.coalesce(condition, F.lit(False)).cast("double")
-        return F.coalesce(F.avg(hits), F.lit(0.0))
 
+def accuracy(compared: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Share of exact and of close predictions per group."""
+    share = {
+        name: F.coalesce(F.avg(F.col(column).cast("double")), F.lit(0.0)).alias(name)
+        for name, column in (("accuracy", "exact"), ("accuracy_close", "close"))
+    }
     return compared.groupBy(*by).agg(
-        F.count_if(exact).alias("n_correct"),
+        F.count_if("exact").alias("n_correct"),
         F.count(F.lit(1)).alias("n_rows"),
-        share(exact).alias("accuracy"),
-        share(close).alias("accuracy_close"),
+        *share.values(),
     )
 
 
