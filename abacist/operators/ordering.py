@@ -13,14 +13,42 @@ from pyspark.sql import functions as F
 from abacist.constants import DEFAULT_SEED, EVALUATION_SAMPLE
 from abacist.functions.hashing import hash32
 
-# The hash range is cut into this many slices to find a position in the order.
+# The hash range is cut into this many slices to find a position in the order,
+# which also bounds the table of slice sizes that is broadcast.
 _SLICE_BITS = 16
 
+# Up to this many rows are simply taken from the top; every task keeps as many.
+TOP_ROWS = 100_000
+
 
 def _with_order(rows: DataFrame, id_column: str, seed: int) -> DataFrame:
     return rows.withColumn("_order", hash32(id_column, seed=seed))
 
 
+def _with_slices(rows: DataFrame, id_column: str, seed: int) -> DataFrame:
+    """Adds the hash slice of a row and which positions of the order it covers
+    (``_from`` up to, not including, ``_until``)."""
+    ordered = _with_order(rows, id_column, seed).withColumn(
+        "_slice", F.shiftright("_order", 32 - _SLICE_BITS)
+    )
+    counts = ordered.groupBy("_slice").agg(F.count(F.lit(1)).alias("_rows"))
+    # at most 2**_SLICE_BITS rows, so one task adds them up
+    until = F.sum("_rows").over(W.orderBy("_slice"))
+    ranges = counts.select(
+        "_slice", (until - F.col("_rows")).alias("_from"), until.alias("_until")
+    )
+    return ordered.join(F.broadcast(ranges), "_slice")
+
+
+def _with_position(sliced: DataFrame, id_column: str) -> DataFrame:
+    """Adds ``_position`` in the order, from 0; numbers every slice on its own."""
+    within = F.row_number().over(W.partitionBy("_slice").orderBy("_order", id_column))
+    return sliced.withColumn("_position", F.col("_from") + within - 1)
+
+
+_HELPERS = ("_order", "_slice", "_from", "_until", "_position")
+
+
 def seeded_shuffle(rows: DataFrame, id_column: str = "id", seed: int = DEFAULT_SEED) -> DataFrame:
     """All rows in a random order given by the seed."""
     return _with_order(rows, id_column, seed).orderBy("_order", id_column).drop("_order")
@@ -31,13 +59,24 @@ def seeded_sample(
     n: int = EVALUATION_SAMPLE,
     id_column: str = "id",
     seed: int = DEFAULT_SEED,
+    top_rows: int = TOP_ROWS,
 ) -> DataFrame:
-    """``min(n, count)`` rows without replacement."""
-    return seeded_shuffle(rows, id_column, seed).limit(n)
+    """``min(n, count)`` rows without replacement, in the seeded order."""
+    if n <= top_rows:
+        return seeded_shuffle(rows, id_column, seed).limit(n)
+    sliced = _with_slices(rows, id_column, seed)
+    whole = sliced.where(F.col("_until") <= n)
+    cut = sliced.where((F.col("_from") < n) & (F.col("_until") > n))
+    part = _with_position(cut, id_column).where(F.col("_position") < n)
+    both = whole.unionByName(part.drop("_position"))
+    return both.orderBy("_order", id_column).drop(*_HELPERS)
 
 
 def first_rows(rows: DataFrame, n: int | None, sequence: str) -> DataFrame:
-    """The first ``n`` rows by an explicit sequence column; all without ``n``."""
+    """The first ``n`` rows by an explicit sequence column; all without ``n``.
+
+    ``n`` is a budget of generator calls: every task keeps up to ``n`` rows.
+    """
     return rows if not n else rows.orderBy(sequence).limit(n)
 
 
@@ -46,32 +85,15 @@ def skip_shuffled(
 ) -> DataFrame:
     """The seeded order without its first ``done`` rows.
 
-    ``offset`` would pass all rows through one task. The position is found from
-    counts per slice of the hash range, and only the slice it falls into is
-    numbered.
+    ``offset`` would pass all rows through one task. Here only the one slice of
+    the hash range that ``done`` falls into is numbered.
     """
-    shift = 32 - _SLICE_BITS
-    ordered = _with_order(rows, id_column, seed).withColumn(
-        "_slice", F.shiftright("_order", shift)
-    )
-    counts = ordered.groupBy("_slice").agg(F.count(F.lit(1)).alias("_rows"))
-    # at most 2**_SLICE_BITS rows, so one task is enough
-    running = counts.withColumn("_until", F.sum("_rows").over(W.orderBy("_slice")))
-    cut = running.where(F.col("_until") > done).orderBy("_slice").limit(1)
-    cut_slice = cut.select("_slice").scalar()
-    cut_start = cut.select(F.col("_until") - F.col("_rows")).scalar()
-    behind = ordered.where(F.col("_slice") > cut_slice)
-    inside = (
-        ordered.where(F.col("_slice") == cut_slice)
-        .withColumn(
-            "_at", F.row_number().over(W.partitionBy("_slice").orderBy("_order", id_column))
-        )
-        .where(F.col("_at") + cut_start > done)
-        .drop("_at")
-    )
-    return (
-        inside.unionByName(behind).orderBy("_order", id_column).drop("_order", "_slice")
-    )
+    sliced = _with_slices(rows, id_column, seed)
+    whole = sliced.where(F.col("_from") >= done)
+    cut = sliced.where((F.col("_from") < done) & (F.col("_until") > done))
+    part = _with_position(cut, id_column).where(F.col("_position") >= done)
+    both = whole.unionByName(part.drop("_position"))
+    return both.orderBy("_order", id_column).drop(*_HELPERS)
 
 
 def epoch_slices(
@@ -82,23 +104,30 @@ def epoch_slices(
     drop_boundary: bool = True,
     id_column: str = "id",
     seed: int = DEFAULT_SEED,
+    top_rows: int = TOP_ROWS,
 ) -> DataFrame:
     """Rows of every epoch, taken one after the other from one seeded order.
 
     Adds ``epoch`` and ``step``. With ``drop_boundary`` the row after each
     epoch is passed over, as when a loop reads one row too many before it stops.
-    Only ``epochs * (steps + 1)`` rows are numbered.
+    Only ``epochs * (steps + 1)`` rows are numbered, slice by slice when there
+    are many.
     """
     steps = min(max_steps, max_samples) if max_samples else max_steps
     block = steps + 1 if drop_boundary else steps
-    taken = _with_order(rows, id_column, seed).orderBy("_order", id_column).limit(epochs * block)
-    position = F.row_number().over(W.orderBy("_order", id_column)) - 1
+    needed = epochs * block
+    if needed <= top_rows:
+        top = seeded_sample(rows, needed, id_column, seed)
+        order = W.orderBy(hash32(id_column, seed=seed), id_column)
+        numbered = top.withColumn("_position", F.row_number().over(order) - 1)
+    else:
+        sliced = _with_slices(rows, id_column, seed).where(F.col("_from") < needed)
+        numbered = _with_position(sliced, id_column).where(F.col("_position") < needed)
     return (
-        taken.withColumn("_position", position)
-        .withColumn("epoch", F.floor(F.col("_position") / block).cast("int"))
+        numbered.withColumn("epoch", F.floor(F.col("_position") / block).cast("int"))
         .withColumn("step", F.pmod(F.col("_position"), F.lit(block)).cast("int"))
         .where(F.col("step") < steps)
-        .drop("_order", "_position")
+        .drop(*_HELPERS)
     )
 
 

@@ -36,6 +36,9 @@ from abacist.operators.tables import (
 )
 from abacist.sources.selection import path_exists
 
+# keeps a doubled number within a bigint
+LARGEST_SUBSTITUTED = 10**18
+
 
 def substituted_value(value: Column, factor_draw: Column, sign_draw: Column) -> Column:
     """``value`` times a factor between the bounds, at least 1; moved by one
@@ -54,8 +57,8 @@ def with_substitutions(
     """Adds ``substitutions``: ``array<struct<old, new>>`` for two numbers of the
     question, drawn by ``id`` and ``copy``.
 
-    The second draw wins when both have the same value. Numbers beyond 64 bits
-    are left alone.
+    The second draw wins when both have the same value. Numbers of more than 18
+    digits are left alone.
     """
 
     def draw(purpose: str) -> Column:
@@ -63,6 +66,7 @@ def with_substitutions(
 
     def pair(at: str, number: int) -> Column:
         value = F.get(F.col("_numbers"), F.col(at).cast("int"))["value"]
+        value = F.when(value < LARGEST_SUBSTITUTED, value)
         new = substituted_value(value, draw(f"factor{number}"), draw(f"sign{number}"))
         return F.struct(value.alias("old"), new.alias("new"))
 

@@ -102,9 +102,18 @@ def test_order_does_not_depend_on_partitions(spark, partitions):
     assert ordering.seeded_sample(rows, 9000).count() == 500
 
 
+@pytest.mark.parametrize("n", [3, 137, 999, 1000, 5000])
+def test_large_samples_are_cut_by_slices(spark, n):
+    found = [r.id for r in ordering.seeded_sample(spark.range(1000), n, top_rows=2).collect()]
+    assert found == _order(range(1000))[:n]
+
+
 @pytest.mark.parametrize("drop", [True, False])
-def test_epoch_slices(spark, drop):
-    rows = ordering.epoch_slices(spark.range(60), 3, 30, max_samples=10, drop_boundary=drop).collect()
+@pytest.mark.parametrize("top_rows", [1, 1000])
+def test_epoch_slices(spark, drop, top_rows):
+    rows = ordering.epoch_slices(
+        spark.range(60), 3, 30, max_samples=10, drop_boundary=drop, top_rows=top_rows
+    ).collect()
     order, block = _order(range(60)), 11 if drop else 10
     wanted = [(e, s, order[e * block + s]) for e in range(3) for s in range(10)]
     assert sorted((r.epoch, r.step, r.id) for r in rows) == wanted
@@ -224,6 +233,16 @@ def test_augmentation_rules(solved):
     assert all(r.augmented and r.question != "有5个和55个" for r in copies if r.original_id == "1")
 
 
+def test_very_long_numbers_stay(spark):
+    long = "9" * 25
+    rows = spark.createDataFrame(
+        [("1", f"{long}和{long}", "5", f"{long}×1={long}")],
+        "id string, question string, answer string, cot string",
+    )
+    found = augmentation.augmented_copies(rows, per_row=1).first()
+    assert found.question == f"{long}和{long}" and found.answer == long
+
+
 def test_augmentation_does_not_depend_on_partitions(solved):
     one, seven = (
         rows_of(augmentation.augmented_copies(solved.repartition(n))) for n in (1, 7)
