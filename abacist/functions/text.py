@@ -45,9 +45,13 @@ def fold_digits(text: ColumnLike) -> Column:
 
 
 def strip(text: ColumnLike) -> Column:
-    """Text without leading and trailing white space of any kind."""
+    """Text without leading and trailing white space of any kind.
+
+    The look-behind keeps long runs of blanks inside a text from being tried
+    again from each of their positions.
+    """
     return F.regexp_replace(
-        as_column(text), rf"(?U)\A{SPACE}+|{SPACE}+\z", ""
+        as_column(text), rf"(?U)\A{SPACE}+|(?<!{SPACE}){SPACE}+\z", ""
     )
 
 

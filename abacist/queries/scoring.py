@@ -15,7 +15,9 @@ from abacist.fixtures import (
 )
 from abacist.functions.display import percent_text
 from abacist.functions.scoring import token_loss
-from abacist.plans import evaluation
+from abacist.operators.metrics import trailing
+from abacist.operators.ordering import epoch_slices
+from abacist.plans import evaluation, training_log
 from abacist.plans import rollouts as scoring
 from abacist.queries import sql
 from abacist.queries.registry import query, rounded
@@ -217,6 +219,87 @@ def rollout_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_all(scoring.group_losses(losses))
 
 
+_SLICED = f"""
+SELECT id, CAST(position // 251 AS INTEGER) AS epoch, CAST(position % 251 AS INTEGER) AS step
+FROM (SELECT id, row_number() OVER (ORDER BY {sql.hash32('id')}, id) - 1 AS position FROM problems)
+WHERE position < 753 AND position % 251 < 250"""
+_STEP_LOSSES = f"""
+SELECT s.epoch, s.step, g.loss, g.kl FROM sliced s LEFT JOIN (
+    SELECT id, sum(loss) / count(*) AS loss, sum(kl) / count(*) AS kl
+    FROM (SELECT id, {_CHAIN_LOSS} AS loss, {_CHAIN_KL} AS kl
+          FROM weighed JOIN log_probs USING (id, rollout)
+          WHERE abs(advantage) >= 1e-6 AND least(len(cur), len(old)) > 0)
+    GROUP BY id) g USING (id)"""
+_RUN = {"scored": _SCORED, "weighed": _ADVANTAGES, "sliced": _SLICED, "step_losses": _STEP_LOSSES}
+
+
+def _run_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Losses and rewards of three epochs of 250 steps with four rollouts each."""
+    slices = epoch_slices(problems(spark, sf_dir).select("id"), epochs=3, max_steps=250)
+    vectors = log_probs(spark, sf_dir)
+    groups = scoring.with_step_losses(scoring.group_objectives(rollouts(spark, sf_dir), vectors))
+    rewards_of_steps = training_log.step_rewards(slices, _slim_rewards(spark, sf_dir), 4)
+    return training_log.step_losses(slices, groups), rewards_of_steps
+
+
+@query(
+    with_views(
+        """
+SELECT l.epoch, round(coalesce(avg(loss), 0), 6) AS avg_loss, round(coalesce(avg(kl), 0), 6) AS avg_kl,
+       count(*) AS steps, round((SELECT avg(reward) FROM sliced s JOIN scored USING (id)
+                          WHERE s.epoch = l.epoch), 6) AS avg_reward
+FROM step_losses l GROUP BY l.epoch""",
+        "problems",
+        "rollouts",
+        "log_probs",
+        **_RUN,
+    )
+)
+def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded_all(training_log.epoch_summary(*_run_log(spark, sf_dir)))
+
+
+@query(
+    with_views(
+        """
+SELECT epoch, step, round(avg(loss) OVER last_steps, 6) AS trailing_loss,
+       round(avg(kl) OVER last_steps, 6) AS trailing_kl
+FROM step_losses WHERE loss IS NOT NULL
+WINDOW last_steps AS (PARTITION BY epoch ORDER BY step ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)""",
+        "problems",
+        "rollouts",
+        "log_probs",
+        **_RUN,
+    )
+)
+def run_trailing_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only steps with active rollouts are listed, as in a progress display."""
+    losses, _ = _run_log(spark, sf_dir)
+    active = losses.where("loss is not null").drop("id")
+    return _rounded_all(trailing(active, ["loss", "kl"]).drop("loss", "kl"))
+
+
+@query(
+    with_views(
+        """
+SELECT epoch, position, round(avg(reward) OVER (PARTITION BY epoch ORDER BY position
+       ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), 6) AS trailing_reward
+FROM (SELECT s.epoch, CAST(s.step * 4 + r.rollout AS INTEGER) AS position, r.reward
+      FROM sliced s JOIN scored r USING (id))""",
+        "problems",
+        "rollouts",
+        "log_probs",
+        **_RUN,
+    )
+)
+def run_trailing_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, rewards_of_steps = _run_log(spark, sf_dir)
+    last = trailing(
+        rewards_of_steps.select("epoch", "position", "reward"), ["reward"], step="position"
+    )
+    return _rounded_all(last.drop("reward"))
+
+
 # --- evaluation --------------------------------------------------------------------
 
 _PREDICTIONS = f"""

@@ -48,12 +48,13 @@ def enrich_new_questions(
     checkpoint: str,
     load: Callable[[], Callable[[str, str], str]],
     files_per_batch: int | None = None,
+    source_format: str = "parquet",
     **generation,
 ) -> StreamingQuery:
     """Start a query that generates pairs for all questions not in the sink yet.
 
-    Each batch of the Parquet files under ``source`` is reduced to unseen ids,
-    enriched and written to its own ``batch=<n>`` folder of the sink. A batch
+    Each batch of the files (Parquet or JSON lines) under ``source`` is reduced
+    to unseen ids, enriched and written to its own ``batch=<n>`` folder of the sink. A batch
     that is run again after a crash overwrites its folder, so an id is never
     there twice. Questions whose calls failed are kept with their error, see
     :func:`retry_failed`. The query stops when all present files are done;
@@ -68,7 +69,8 @@ def enrich_new_questions(
     if files_per_batch:
         stream = stream.option("maxFilesPerTrigger", files_per_batch)
     return (
-        stream.parquet(source)
+        stream.format(source_format)
+        .load(source)
         .writeStream.foreachBatch(enrich)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
