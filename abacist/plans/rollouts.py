@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -36,14 +38,22 @@ def group_rewards(rewards: DataFrame) -> DataFrame:
     )
 
 
-def with_advantages(rewards: DataFrame, **skew) -> DataFrame:
-    """Adds ``advantage``: the reward relative to its group of rollouts."""
+def with_advantages(rewards: DataFrame, keep: Sequence[str] = (), **skew) -> DataFrame:
+    """``id, rollout, reward`` with ``advantage``: the reward relative to its
+    group of rollouts.
+
+    The three narrow columns are shuffled once by their key before they are
+    used for both the statistics and the rows, so that responses are read and
+    scored a single time. Columns to ``keep`` travel along; wide ones are better
+    joined afterwards.
+    """
+    narrow = rewards.select(*KEYS, "reward", *keep).repartition(*KEYS)
     stats = {
         "_size": F.count(F.lit(1)),
         "_mean": F.avg("reward"),
         "_std": F.stddev_pop("reward"),
     }
-    joined = with_group_stats(rewards, ["id"], stats, **skew)
+    joined = with_group_stats(narrow, ["id"], stats, **skew)
     advantage = relative_advantage(F.col("reward"), F.col("_size"), F.col("_mean"), F.col("_std"))
     return joined.withColumn("advantage", advantage).drop(*stats)
 

@@ -94,6 +94,12 @@ def test_skip_shuffled(spark, done):
     assert found == _order(range(1000))[done:]
 
 
+def test_rows_without_id_stay_in_the_order(spark):
+    rows = spark.range(40).select(F.when(F.col("id") > 3, F.col("id")).alias("id"))
+    assert ordering.skip_shuffled(rows, 10).count() == 30
+    assert ordering.seeded_sample(rows, 30, top_rows=1).count() == 30
+
+
 @pytest.mark.parametrize("partitions", [1, 7])
 def test_order_does_not_depend_on_partitions(spark, partitions):
     rows = spark.range(500).repartition(partitions)
@@ -153,7 +159,9 @@ def test_objectives_of_one_large_group(spark):
                 (F.col("id") % 5).cast("int")).alias("old_log_probs"),
     )
     direct = rollouts.group_objectives(rows).first()
-    weighed = rollouts.with_advantages(rollouts.scored(rows), hot_group_rows=100)
+    weighed = rollouts.with_advantages(
+        rollouts.scored(rows), keep=rollouts.VECTORS, hot_group_rows=100
+    )
     chain = rollouts.group_losses(rollouts.rollout_losses(weighed)).first()
     assert direct.n_active == chain.n_active > 0
     assert abs(direct.total_loss - chain.total_loss) < 1e-6
