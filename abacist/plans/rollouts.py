@@ -38,16 +38,21 @@ def group_rewards(rewards: DataFrame) -> DataFrame:
     )
 
 
-def with_advantages(rewards: DataFrame, keep: Sequence[str] = (), **skew) -> DataFrame:
+def with_advantages(
+    rewards: DataFrame, keep: Sequence[str] = (), score_once: bool = True, **skew
+) -> DataFrame:
     """``id, rollout, reward`` with ``advantage``: the reward relative to its
     group of rollouts.
 
-    The three narrow columns are shuffled once by their key before they are
-    used for both the statistics and the rows, so that responses are read and
-    scored a single time. Columns to ``keep`` travel along; wide ones are better
-    joined afterwards.
+    With ``score_once`` the three narrow columns are shuffled by their key
+    before they are used for both the statistics and the rows, so that responses
+    are read and scored a single time; turn it off for rewards that are stored
+    already. Columns to ``keep`` travel along; wide ones are better joined
+    afterwards.
     """
-    narrow = rewards.select(*KEYS, "reward", *keep).repartition(*KEYS)
+    narrow = rewards.select(*KEYS, "reward", *keep)
+    if score_once:
+        narrow = narrow.repartition(*KEYS)
     stats = {
         "_size": F.count(F.lit(1)),
         "_mean": F.avg("reward"),
