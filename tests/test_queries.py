@@ -3,7 +3,8 @@
 import pytest
 
 import check
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from abacist.queries import CHECKS, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -11,10 +12,10 @@ def duck(sf_dir):
     return check.connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, sf_dir, name):
-    result = queries()[name](spark, sf_dir)
-    wanted = duck.sql(oracle_sql()[name])
+    result = QUERIES[name](spark, sf_dir)
+    wanted = duck.sql(CHECKS[name])
     assert check.compare(result.toPandas(), wanted.df()) is None
     assert check.compare_types(result, wanted) is None
     plan = result._jdf.queryExecution().executedPlan().toString()
@@ -31,11 +32,11 @@ PYTHON_QUERIES = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - PYTHON_QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - PYTHON_QUERIES))
 def test_only_generators_run_python(spark, sf_dir, name):
     if name in {"streamed_pairs", "resumed_training_tables"}:
         pytest.skip("the written table is read back")
-    plan = queries()[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert "Python" not in plan and "InPandas" not in plan
 
 
@@ -46,5 +47,5 @@ def test_entry_is_the_ranked_table(spark):
 
 
 def test_scans_read_only_needed_columns(spark, sf_dir):
-    plan = queries()["group_objectives"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["group_objectives"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "o_totalprice" not in plan and "o_orderdate" not in plan
