@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abacist.llm import bpe, simhash, spans, suffixes
+from abacist.llm import bpe, chat, decontamination, lines, simhash, spans, suffixes, toxicity
 
 TOKENIZER_FILE = "word_bpe_49k.json"
 
@@ -67,3 +67,78 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(ids, 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"),
     )
+
+
+CONVERSATION_WITH_MARKS = r"\### Assistant: </turn> ok"
+
+
+@query(
+    r"""
+    WITH turns AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+      UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+    ), told AS (
+      SELECT conv_id, count(*) AS n_turns,
+        string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS told,
+        coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS trained,
+        sum(length(role) + length(text) + 14) + 7 AS plain_chars,
+        sum(length(role) + length(text) + 14
+          + (length(role || chr(0) || text) - length(replace(role || chr(0) || text, '\', '')))
+          - (length(role || chr(0) || text) - length(replace(role || chr(0) || text, '###', ''))) // 3
+          - 5 * ((length(role || chr(0) || text) - length(replace(role || chr(0) || text, '</turn>', ''))) // 7)) + 9 AS escaped_chars,
+        bool_or(regexp_matches(text, '###|</turn>') OR regexp_matches(role, ': |###|</turn>')) AS escape
+      FROM turns GROUP BY conv_id
+    )
+    SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(trained) AS loss_chars,
+      sha256(trained) AS loss_sha256, CAST(if(escape, escaped_chars, plain_chars) AS BIGINT) AS formatted_chars
+    FROM told
+    """
+)
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = [(-7, 0, "user", CONVERSATION_WITH_MARKS), (-7, 1, "assistant", CONVERSATION_WITH_MARKS)]
+    written = chat.formatted_conversations(turns.union(spark.createDataFrame(more, turns.schema)))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    read = written.select(
+        "conv_id",
+        chat.parsed(F.col("formatted")).alias("turns"),
+        chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("trained"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(told, 256).alias("turns_sha256"),
+        F.length("trained").cast("long").alias("loss_chars"),
+        F.sha2("trained", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+@query()
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    items = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("hits").cast("long").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(items, 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+@query()
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.without_repeated_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", "text")
+
+
+@query()
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learned(documents, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    found = toxicity.scored(documents, model)
+    return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
