@@ -20,12 +20,20 @@ from pyspark.sql import functions as F
 SAMPLE = 10_000
 """Labelled documents that the model is fitted to, at most; chosen by a hash of their id."""
 
-FEATURES = 1 << 18
-"""Hashed words."""
+FEATURES = 1 << 20
+"""Hashed words and beginnings of words."""
+
+STEMS = (3, 4, 5, 6, 7)
+"""Letters of the beginnings."""
 
 ROUNDS = 120
 RATE = 0.3
-DECAY = 1e-5
+SPARSITY = 1e-4
+"""Weight that a word needs to earn, so that words of single documents get none."""
+
+RARE = 5
+"""Words in fewer sampled documents are not learned."""
+
 PRIOR = -7.0
 """Log-odds of a sentence before any word is known."""
 
@@ -33,26 +41,16 @@ _WORD_BYTES = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(0x80, 0x100)
 _TABLE = bytes(b if b in _WORD_BYTES else b + 32 if 65 <= b <= 90 else 10 if b in b".!?\n" else 32 for b in range(256))
 
 
-class Reader:
-    """Word numbers of texts by sentence; remembers the words it has met, up to a bound."""
-
-    def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
+def sentences(text: bytes) -> list[list[bytes]]:
+    """Words in lower case of every sentence that has words."""
+    return [words for part in text.translate(_TABLE).split(b"\n") if (words := part.split())]
 
-    def number(self, word: bytes) -> int:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) > 1_000_000:
-                self.known.clear()
-            found = self.known[word] = zlib.crc32(word) % FEATURES
-        return found
 
-    def sentences(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Word numbers one after the other, and how many each sentence with words has."""
-        parts = [words for part in text.translate(_TABLE).split(b"\n") if (words := part.split())]
-        get, number = self.known.get, self.number
-        flat = [n if (n := get(w)) is not None else number(w) for words in parts for w in words]
-        return np.array(flat, np.int32), np.array([len(words) for words in parts], np.int32)
+def features(word: bytes) -> list[int]:
+    """Numbers of a word: of itself, and of its beginnings, which its inflections share."""
+    letters = word.decode(errors="replace")
+    parts = [f"{size}|{letters[:size]}" for size in STEMS if len(letters) > size]
+    return [zlib.crc32(part.encode()) % FEATURES for part in (f"|{letters}", *parts)]
 
 
 @dataclass(frozen=True)
@@ -60,11 +58,24 @@ class Model:
     weights: np.ndarray
     bias: float
 
-    def sentence_scores(self, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        if not len(counts):
-            return np.zeros(0)
-        sums = np.add.reduceat(self.weights[words], np.cumsum(counts) - counts, dtype=np.float64)
-        return 1 / (1 + np.exp(-np.clip(sums + self.bias, -30, 30)))
+
+class Reader:
+    """Scores sentences; remembers the weights of words it has met, up to a bound."""
+
+    def __init__(self, model: Model) -> None:
+        self.model, self.known = model, {}
+
+    def weight(self, word: bytes) -> float:
+        if len(self.known) > 1_000_000:
+            self.known.clear()
+        found = self.known[word] = float(self.model.weights[features(word)].sum())
+        return found
+
+    def scores(self, text: bytes) -> np.ndarray:
+        """One score per sentence."""
+        get, weight, parts = self.known.get, self.weight, sentences(text)
+        sums = [sum([x if (x := get(w)) is not None else weight(w) for w in words]) for words in parts]
+        return 1 / (1 + np.exp(-np.clip(np.array(sums) + self.model.bias, -30, 30)))
 
 
 def noisy_or(scores: np.ndarray) -> float:
@@ -74,32 +85,44 @@ def noisy_or(scores: np.ndarray) -> float:
 
 def fitted(documents: list[tuple[bytes, int]]) -> Model:
     """A model of these texts and labels. Without both labels it is the prior alone."""
-    reader = Reader()
-    read = [(reader.sentences(text), label) for text, label in documents]
-    read = [(words, counts, label) for (words, counts), label in read if len(counts)]
-    weights, bias = np.zeros(FEATURES), PRIOR
-    if len({label for _, _, label in read}) < 2:
-        return Model(weights.astype(np.float32), bias)
-    words, feature = np.unique(np.concatenate([r[0] for r in read]), return_inverse=True)
-    counts = np.concatenate([r[1] for r in read]).astype(np.int64)
+    read = [(parts, label) for text, label in documents if (parts := sentences(text))]
+    weights = np.zeros(FEATURES)
+    if len({label for _, label in read}) < 2:
+        return Model(weights.astype(np.float32), PRIOR)
+    numbers: dict[bytes, int] = {}
+    coded = [np.array([numbers.setdefault(w, len(numbers)) for words in parts for w in words]) for parts, _ in read]
+    word, counts = np.concatenate(coded), np.array([len(words) for parts, _ in read for words in parts])
     starts = np.cumsum(counts) - counts
-    sentences = np.array([len(r[1]) for r in read])
-    heads = np.cumsum(sentences) - sentences
-    labels = np.array([r[2] for r in read], np.float64)
-    owner = np.repeat(np.arange(len(labels)), sentences)
-    own, moved, bias_moved = np.zeros(len(words)), np.full(len(words), 1e-8), 1e-8
+    lists = [features(w) for w in numbers]
+    of_word, feature = np.repeat(np.arange(len(lists)), [len(x) for x in lists]), np.concatenate(lists)
+    spread = np.zeros(FEATURES, np.int64)
+    by_word = np.split(feature, np.flatnonzero(np.diff(of_word)) + 1)
+    for found in coded:
+        spread[np.unique(np.concatenate([by_word[w] for w in np.unique(found)]))] += 1
+    common = spread[feature] >= RARE
+    of_word, feature = of_word[common], feature[common]
+    used, feature = np.unique(feature, return_inverse=True)
+    sentence_counts = np.array([len(parts) for parts, _ in read])
+    heads = np.cumsum(sentence_counts) - sentence_counts
+    labels = np.array([label for _, label in read], np.float64)
+    owner = np.repeat(np.arange(len(labels)), sentence_counts)
+    own, moved, bias, bias_moved = np.zeros(len(used)), np.full(len(used), 1e-8), PRIOR, 1e-8
     for _ in range(ROUNDS):  # full steps, scaled by past slopes
-        score = 1 / (1 + np.exp(-np.clip(np.add.reduceat(own[feature], starts) + bias, -30, 30)))
+        each = np.bincount(of_word, weights=own[feature], minlength=len(lists))
+        score = 1 / (1 + np.exp(-np.clip(np.add.reduceat(each[word], starts) + bias, -30, 30)))
         harmless = np.exp(np.add.reduceat(np.log1p(-np.minimum(score, 1 - 1e-12)), heads))
         share = np.where(labels == 1, -harmless / np.maximum(1 - harmless, 1e-9), 1.0)
         slope = score * share[owner] / len(labels)
-        by_word = np.bincount(feature, weights=np.repeat(slope, counts), minlength=len(words)) + DECAY * own
-        moved += by_word**2
-        own -= RATE * by_word / np.sqrt(moved)
+        by_word = np.bincount(word, weights=np.repeat(slope, counts), minlength=len(lists))
+        step = np.bincount(feature, weights=by_word[of_word], minlength=len(used))
+        moved += step**2
+        rate = RATE / np.sqrt(moved)
+        own -= rate * step
+        own = np.sign(own) * np.maximum(np.abs(own) - rate * SPARSITY, 0)
         total = slope.sum()
         bias_moved += total**2
         bias -= RATE * total / np.sqrt(bias_moved)
-    weights[words] = own
+    weights[used] = own
     return Model(weights.astype(np.float32), float(bias))
 
 
@@ -129,11 +152,11 @@ def scored(documents: DataFrame, model: Model, id_column: str = "doc_id", text_c
     held = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader()
+        reader = Reader(held.value)
         for batch in batches:
             totals, found = [], []
             for text in batch.column(1).cast(pa.binary()):
-                scores = held.value.sentence_scores(*reader.sentences(text.as_buffer().to_pybytes() if text.is_valid else b""))
+                scores = reader.scores(text.as_buffer().to_pybytes() if text.is_valid else b"")
                 totals.append(noisy_or(scores))
                 found.append([{"sentence": int(i), "score": float(scores[i])} for i in np.flatnonzero(scores >= threshold)])
             kind = pa.list_(pa.struct([("sentence", pa.int32()), ("score", pa.float64())]))
@@ -161,10 +184,10 @@ def without_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.
     held = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, at = Reader(), names.index("text")
+        reader, at = Reader(held.value), names.index("text")
         for batch in batches:
             texts = (text.as_buffer().to_pybytes() if text.is_valid else b"" for text in batch.column(at).cast(pa.binary()))
-            keep = [noisy_or(held.value.sentence_scores(*reader.sentences(text))) < threshold for text in texts]
+            keep = [noisy_or(reader.scores(text)) < threshold for text in texts]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return documents.mapInArrow(run, documents.schema)
