@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abacist.llm import bpe, chat, decontamination, lines, simhash, spans, suffixes, toxicity
+from abacist.llm import bpe, chat, decontamination, embeddings, lines, simhash, spans, suffixes, toxicity
 
 TOKENIZER_FILE = "word_bpe_49k.json"
 
@@ -142,3 +142,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.learned(documents, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
     found = toxicity.scored(documents, model)
     return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query()
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
