@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abacist.llm import bpe, chat, decontamination, embeddings, lines, simhash, spans, suffixes, toxicity
+from abacist.llm import bpe, chat, decontamination, embeddings, lines, pseudonyms, simhash, spans, suffixes, toxicity
 
 TOKENIZER_FILE = "word_bpe_49k.json"
 
@@ -147,3 +147,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+PSEUDONYM_KEY = "example key, to be replaced"
+
+
+@query()
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymised(documents, PSEUDONYM_KEY).select("doc_id", "n_found", "n_replaced", "text")
