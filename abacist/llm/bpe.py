@@ -20,6 +20,14 @@ from abacist.llm import chunks as C
 from abacist.llm.suffixes import ranges
 
 ENCODED = "doc_id long, ids array<int>"
+DECODED = f"{ENCODED}, text string"
+
+LEVEL = 6
+"""zstd level of words and ids on their way."""
+
+
+def _squeezed(data: bytes) -> bytes:
+    return pa.Codec("zstd", compression_level=LEVEL).compress(data, asbytes=True)
 
 
 class Vocabulary:
@@ -52,11 +60,13 @@ class Words:
 
     def __init__(self, chunk: C.Chunk) -> None:
         numbers: dict[bytes, int] = {}
-        self.by_row = [np.array([numbers.setdefault(w, len(numbers)) for w in text.split()], np.int64) for text in chunk.texts()]
+        self.by_row = [np.array([numbers.setdefault(w, len(numbers)) for w in text.split()], np.int32) for text in chunk.texts()]
         self.distinct = list(numbers)
 
-    def buckets(self, count: int) -> Iterator[tuple[int, np.ndarray]]:
-        return C.by_bucket(np.array([zlib.crc32(word) for word in self.distinct], np.int64) % count)
+    def buckets(self, count: int) -> Iterator[tuple[int, list[int]]]:
+        """Places of a bucket's words, in order of the words, which packs best."""
+        for bucket, places in C.by_bucket(np.array([zlib.crc32(word) for word in self.distinct], np.int64) % count):
+            yield bucket, sorted(places.tolist(), key=self.distinct.__getitem__)
 
 
 def _asked(buckets: int):
@@ -64,7 +74,7 @@ def _asked(buckets: int):
         words = Words(chunk)
         for bucket, places in words.buckets(buckets):
             body = b"\n".join(words.distinct[i] for i in places)
-            yield bucket, C.pieces(np.int64(len(body)).tobytes(), pa.compress(body, "zstd", asbytes=True))
+            yield bucket, C.pieces(np.int64(len(body)).tobytes(), _squeezed(body))
 
     return ask
 
@@ -83,35 +93,56 @@ def _encoded(vocabulary: Vocabulary):
             ids += [np.array(x.ids, np.uint32) for x in found]
         for name, places in zip(names, asked):
             mine = [ids[i] for i in places]
-            counts = np.array([len(x) for x in mine], np.uint32)
-            flat = np.concatenate(mine)
-            parts = (pa.compress(x.tobytes(), "zstd", asbytes=True) for x in (counts, flat))
-            yield name, bucket, C.pieces(np.array([len(counts), len(flat)]).tobytes(), *parts)
+            parts = (np.array([len(x) for x in mine], np.uint32), np.concatenate(mine))
+            narrow = [part.astype(np.min_scalar_type(part.max(initial=0))) for part in parts]
+            head = np.array([(len(part), part.itemsize) for part in narrow])
+            yield name, bucket, C.pieces(head.tobytes(), *(_squeezed(part.tobytes()) for part in narrow))
 
     return judge
 
 
-def _joined(buckets: int):
+def _unpacked(head: tuple[int, int], body: bytes) -> np.ndarray:
+    count, width = head
+    return np.frombuffer(pa.decompress(body, count * width, "zstd", asbytes=True), f"<u{width}")
+
+
+def _joined(buckets: int, vocabulary: Vocabulary | None):
     def use(name: int, chunk: C.Chunk, answers: dict[int, list[bytes]]) -> pa.Table:
         words = Words(chunk)
         starts, counts = np.zeros(len(words.distinct), np.int64), np.zeros(len(words.distinct), np.int64)
         flat, size = [np.zeros(0, np.uint32)], 0
         for bucket, places in words.buckets(buckets):
-            sizes, each, ids = C.split_pieces(answers[bucket][0])
-            n_words, n_ids = np.frombuffer(sizes, np.int64).tolist()
-            counts[places] = np.frombuffer(pa.decompress(each, n_words * 4, "zstd", asbytes=True), np.uint32)
+            head, each, ids = C.split_pieces(answers[bucket][0])
+            head = np.frombuffer(head, np.int64).reshape(2, 2).tolist()
+            counts[places] = _unpacked(head[0], each)
             starts[places] = size + np.cumsum(counts[places]) - counts[places]
-            flat.append(np.frombuffer(pa.decompress(ids, n_ids * 4, "zstd", asbytes=True), np.uint32))
-            size += n_ids
-        pool = np.concatenate(flat)
+            flat.append(_unpacked(head[1], ids))
+            size += head[1][0]
+        pool = np.concatenate(flat).astype(np.int32)
         rows = [pool[ranges(starts[row], counts[row])] for row in words.by_row]
         offsets = np.concatenate(([0], np.cumsum([len(r) for r in rows])))
-        values = pa.array(np.concatenate(rows).astype(np.int32), pa.int32())
-        return pa.table([chunk.ids, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)], ["doc_id", "ids"])
+        values = pa.array(np.concatenate(rows), pa.int32())
+        table = pa.table([chunk.ids, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)], ["doc_id", "ids"])
+        if vocabulary is None:
+            return table
+        return table.append_column("text", pa.array([_text(ids, vocabulary.opened()[1]) for ids in rows], pa.string()))
 
     return use
 
 
+def _text(ids: np.ndarray, pieces: np.ndarray) -> str:
+    """The pieces of the ids in order: the join with the id-to-piece table."""
+    return " ".join(pieces[ids])
+
+
+def _coded(documents: DataFrame, path: str, id_column: str, text_column: str, decode: bool) -> DataFrame:
+    vocabulary = Vocabulary(documents.sparkSession, path)
+    buckets = C.bucket_count(documents, text_column)
+    chunks = C.packed(documents, id_column, text_column)
+    answers = C.judged(C.asked(chunks, _asked(buckets)), _encoded(vocabulary))
+    return C.answered(chunks, answers, _joined(buckets, vocabulary if decode else None), DECODED if decode else ENCODED)
+
+
 def encoded(documents: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, ids`` of every row: all token ids of the whole text, without special marks added.
 
@@ -121,11 +152,12 @@ def encoded(documents: DataFrame, path: str, id_column: str = "doc_id", text_col
     rows stay repeated, null ids stay null. Other columns are ignored; an empty
     table gives none.
     """
-    vocabulary = Vocabulary(documents.sparkSession, path)
-    buckets = C.bucket_count(documents, text_column)
-    chunks = C.packed(documents, id_column, text_column)
-    answers = C.judged(C.asked(chunks, _asked(buckets)), _encoded(vocabulary))
-    return C.answered(chunks, answers, _joined(buckets), ENCODED)
+    return _coded(documents, path, id_column, text_column, decode=False)
+
+
+def encoded_and_decoded(documents: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``doc_id, ids, text``: as :func:`encoded`, with what :func:`decoded` makes of the ids, in one pass."""
+    return _coded(documents, path, id_column, text_column, decode=True)
 
 
 def decoded(rows: DataFrame, path: str) -> DataFrame:
@@ -142,7 +174,8 @@ def decoded(rows: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             ids = batch.column(1)
             values, offsets = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
-            texts = [None if null else " ".join(pieces[values[a:b]]) for a, b, null in zip(offsets[:-1], offsets[1:], ids.is_null().to_numpy(zero_copy_only=False))]
+            nulls = ids.is_null().to_numpy(zero_copy_only=False)
+            texts = [None if null else _text(values[a:b], pieces) for a, b, null in zip(offsets[:-1], offsets[1:], nulls)]
             yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
-    return rows.select(F.col("doc_id").cast("long"), F.col("ids").cast("array<int>")).mapInArrow(run, f"{ENCODED}, text string")
+    return rows.select(F.col("doc_id").cast("long"), F.col("ids").cast("array<int>")).mapInArrow(run, DECODED)

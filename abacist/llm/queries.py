@@ -58,8 +58,7 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path()
-    found = bpe.decoded(bpe.encoded(table(spark, sf_dir, "documents"), path), path)
+    found = bpe.encoded_and_decoded(table(spark, sf_dir, "documents"), tokenizer_path())
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     return found.select(
         "doc_id",

@@ -15,7 +15,6 @@ from abacist.llm.queries import table, tokenizer_path
 from abacist.session import shared_folder
 
 
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model scores as toxic go."""
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
@@ -39,8 +38,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the text they decode to."""
-    path = tokenizer_path()
-    found = bpe.decoded(bpe.encoded(docs, path), path)
+    found = bpe.encoded_and_decoded(docs, tokenizer_path())
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("text").alias("decoded"))
 
 
