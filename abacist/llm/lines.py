@@ -90,14 +90,14 @@ def without_repeated_lines(documents: DataFrame, window: int = WINDOW, id_column
     same lines, so repeated rows keep or lose the same. Columns named ``n_lines``
     or ``n_removed`` are replaced. An empty table gives none.
     """
+    names = [c for c in documents.columns if c not in ("n_lines", "n_removed")]
     starts = repeated_starts(documents, window, id_column, text_column)
-    starts = starts.withColumnsRenamed({"_id": "_starts_id", "_text_key": "_starts_key"})
-    # The hash of the text is also a column of the join, so that texts move once.
-    same = documents[id_column].eqNullSafe(starts["_starts_id"]) & F.xxhash64(documents[text_column]).eqNullSafe(starts["_starts_key"])
-    joined = documents.join(starts, same, "left")
-    kept = F.when(F.col("_starts").isNotNull(), _kept(F.col(text_column), F.col("_starts"), window))
-    joined = joined.withColumn("_kept", kept)
-    text, names = F.col(text_column), [c for c in documents.columns if c not in ("n_lines", "n_removed")]
-    columns = [F.coalesce("_kept.text", text).alias(c) if c == text_column else F.col(c) for c in names]
+    starts = starts.select("_starts", F.col("_id").alias("_starts_id"), F.col("_text_key").alias("_starts_key"))
+    row, text = F.struct(*names), F.col(f"_row.{text_column}")
+    keyed = documents.select(row.alias("_row"), *_key(id_column, text_column))
+    joined = keyed.join(starts, F.col("_id").eqNullSafe(F.col("_starts_id")) & (F.col("_text_key") == F.col("_starts_key")), "left")
+    kept = F.when(F.col("_starts").isNotNull(), _kept(text, F.col("_starts"), window))
     n_lines = F.when(text.isNull(), F.lit(0)).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
-    return joined.select(*columns, n_lines.cast("long").alias("n_lines"), F.coalesce("_kept.n_removed", F.lit(0)).alias("n_removed"))
+    joined = joined.select("_row", kept.alias("_kept"), n_lines.cast("long").alias("n_lines"))
+    columns = [F.coalesce("_kept.text", text).alias(c) if c == text_column else F.col(f"_row.{c}") for c in names]
+    return joined.select(*columns, "n_lines", F.coalesce("_kept.n_removed", F.lit(0)).alias("n_removed"))

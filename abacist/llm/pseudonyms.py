@@ -231,15 +231,17 @@ def pseudonymised(documents: DataFrame, key: str, text_column: str = "text") ->
     """
     names = [c for c in documents.columns if c not in ("n_found", "n_replaced")]
 
+    text = F.col(f"_row.{text_column}")
+
     def of(found: Column) -> Column:
         def joined(new: Column) -> Column:
-            gaps = F.split(F.col(text_column), ANY, -1)
-            text = F.array_join(F.zip_with(gaps, new, lambda gap, value: F.concat(gap, F.coalesce(value, F.lit("")))), "")
+            gaps = F.split(text, ANY, -1)
+            told = F.array_join(F.zip_with(gaps, new, lambda gap, value: F.concat(gap, F.coalesce(value, F.lit("")))), "")
             changed = F.size(F.filter(F.zip_with(found, new, lambda a, b: a != b), lambda x: x))
-            return F.struct(text.alias("text"), F.size(found).cast("long").alias("n_found"), changed.cast("long").alias("n_replaced"))
+            return F.struct(told.alias("text"), F.size(found).cast("long").alias("n_found"), changed.cast("long").alias("n_replaced"))
 
         return F.when(F.size(found) > 0, bound(F.transform(found, lambda value: pseudonym(value, key)), joined))
 
-    held = documents.withColumn("_new", bound(F.regexp_extract_all(text_column, F.lit(ANY), 0), of))
-    columns = [F.coalesce("_new.text", F.col(c)).alias(c) if c == text_column else F.col(c) for c in names]
+    held = documents.select(F.struct(*names).alias("_row")).withColumn("_new", bound(F.regexp_extract_all(text, F.lit(ANY), 0), of))
+    columns = [F.coalesce("_new.text", text).alias(c) if c == text_column else F.col(f"_row.{c}") for c in names]
     return held.select(*columns, *[F.coalesce(f"_new.{c}", F.lit(0)).alias(c) for c in ("n_found", "n_replaced")])
