@@ -39,13 +39,69 @@ def hex_digits(value: Column) -> Column:
     return F.lower(F.lpad(F.hex(value), 16, "0"))
 
 
-@query()
+@query(
+    r"""
+    WITH texts AS (
+      SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents
+    ), blocks AS (
+      SELECT doc_id, a, substr(digits, 2 * a + 1, 2 * 299) AS part
+      FROM (SELECT *, unnest(range(0, length(digits) // 2 - 99, 200)) AS a FROM texts)
+    ), windows AS (
+      SELECT doc_id, a + i AS s, md5_number(substr(part, 2 * i + 1, 200)) AS k
+      FROM (SELECT *, unnest(range(length(part) // 2 - 99)) AS i FROM blocks)
+    ), firsts AS (
+      SELECT k, min(struct_pack(d := doc_id, s := s)) AS f FROM windows GROUP BY k HAVING count(*) > 1
+    ), later AS (
+      SELECT doc_id, s FROM windows JOIN firsts USING (k) WHERE struct_pack(d := doc_id, s := s) <> f
+    ), marked AS (
+      SELECT *, coalesce(s - lag(s) OVER w > 100, true)::INT AS new FROM later WINDOW w AS (PARTITION BY doc_id ORDER BY s)
+    ), numbered AS (
+      SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS span FROM marked
+    ), runs AS (
+      SELECT doc_id, min(s) AS a, max(s) + 100 AS b FROM numbered GROUP BY doc_id, span
+    ), gaps AS (
+      SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM runs
+    ), kept AS (
+      SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+        string_agg(substr(digits, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+      FROM gaps JOIN texts USING (doc_id) GROUP BY doc_id
+    )
+    SELECT doc_id, length(digits) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+      coalesce(n_spans, 0) AS n_spans,
+      sha256(unhex(coalesce(head, '') || substr(digits, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+    FROM texts LEFT JOIN kept USING (doc_id)
+    """
+)
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.without_repeated_strings(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query()
+@query(
+    r"""
+    WITH cut AS (
+      SELECT doc_id, list_filter(string_split(
+        regexp_replace(coalesce(text, ''), '([.!?]+\s+|\n\s*)', '\1' || chr(1), 'g'), chr(1)), lambda p: p <> '') AS parts
+      FROM documents
+    ), placed AS (
+      SELECT doc_id, i, parts[i] AS part, trim(parts[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS k
+      FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM cut)
+    ), runs AS (
+      SELECT doc_id, i, k AS k1, lead(k, 1) OVER w AS k2, lead(k, 2) OVER w AS k3
+      FROM placed WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+    ), ranked AS (
+      SELECT doc_id, i, row_number() OVER (PARTITION BY k1, k2, k3 ORDER BY doc_id, i) AS n FROM runs WHERE k3 IS NOT NULL
+    ), gone AS (
+      SELECT DISTINCT doc_id, i + unnest([0, 1, 2]) AS i FROM ranked WHERE n > 1
+    ), kept AS (
+      SELECT p.doc_id, count(*) AS n_sentences, count(g.i) AS n_removed,
+        coalesce(string_agg(part, '' ORDER BY p.i) FILTER (WHERE g.i IS NULL), '') AS text
+      FROM placed p LEFT JOIN gone g USING (doc_id, i) GROUP BY p.doc_id
+    )
+    SELECT doc_id, coalesce(n_sentences, 0) AS n_sentences, coalesce(n_removed, 0) AS n_removed, coalesce(text, '') AS text
+    FROM cut LEFT JOIN kept USING (doc_id)
+    """
+)
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.without_repeated_spans(table(spark, sf_dir, "documents"))
 
@@ -115,7 +171,36 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(
+    r"""
+    WITH texts AS (
+      SELECT true AS item, item_id AS id, text FROM benchmark UNION ALL SELECT false, doc_id, text FROM documents
+    ), worded AS (
+      SELECT item, id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+      FROM texts
+    ), item_windows AS (
+      SELECT DISTINCT id AS item_id, least(len(w), 13) AS size, w[i : i + least(len(w), 13) - 1] AS k
+      FROM (SELECT *, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM worded WHERE item AND len(w) > 0)
+    ), sizes AS (
+      SELECT DISTINCT size FROM item_windows
+    ), doc_windows AS (
+      SELECT id AS doc_id, i, size, w[i : i + size - 1] AS k
+      FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM worded, sizes WHERE NOT item)
+    ), found AS (
+      SELECT doc_id, i, d.size, item_id FROM doc_windows d JOIN item_windows USING (k)
+    ), hit AS (
+      SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM found) GROUP BY doc_id
+    ), named AS (
+      SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+      FROM found GROUP BY doc_id
+    )
+    SELECT id AS doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+      sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+    FROM worded LEFT JOIN hit ON id = hit.doc_id LEFT JOIN named ON id = named.doc_id WHERE NOT item
+    """
+)
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     items = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
@@ -129,7 +214,30 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(
+    r"""
+    WITH placed AS (
+      SELECT doc_id, i, parts[i] AS line
+      FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))
+    ), filled AS (
+      SELECT doc_id, i, trim(line, ' ') AS k, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS j
+      FROM placed WHERE trim(line, ' ') <> ''
+    ), runs AS (
+      SELECT doc_id, j, k AS k1, lead(k, 1) OVER w AS k2, lead(k, 2) OVER w AS k3
+      FROM filled WINDOW w AS (PARTITION BY doc_id ORDER BY j)
+    ), ranked AS (
+      SELECT doc_id, j, row_number() OVER (PARTITION BY k1, k2, k3 ORDER BY doc_id, j) AS n FROM runs WHERE k3 IS NOT NULL
+    ), gone AS (
+      SELECT doc_id, i FROM filled JOIN (SELECT DISTINCT doc_id, j + unnest([0, 1, 2]) AS j FROM ranked WHERE n > 1) USING (doc_id, j)
+    ), kept AS (
+      SELECT p.doc_id, count(*) AS n_lines, count(g.i) AS n_removed,
+        coalesce(string_agg(line, chr(10) ORDER BY p.i) FILTER (WHERE g.i IS NULL), '') AS text
+      FROM placed p LEFT JOIN gone g USING (doc_id, i) GROUP BY p.doc_id
+    )
+    SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, kept.text
+    FROM documents d LEFT JOIN kept USING (doc_id)
+    """
+)
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.without_repeated_lines(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_removed", "text")
