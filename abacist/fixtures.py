@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from abacist.sources.tables import read_spread
 
 # prediction sources of the evaluation queries, by rollout number
-MODELS = ("base", "sft", "dpo", "grpo")
+MODELS = ("base", "north", "south", "west")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,7 +55,7 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _question() -> Column:
     a, b, c, _, _ = _numbers()
-    return _text("商店有", a, "框苹果每框", b, "千克，卖出", c, "千克，还剩多少？")
+    return _text("仓库进了", a, "卷电缆，一卷长", b, "米，施工用掉", c, "米，现存几米？")
 
 
 def problems(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +70,7 @@ def preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id") % 6,
         _text("步骤：", a, "×", b, "=", ab, "，", ab, "-", c, "=", ans, "\n答案：", ans),
         _text("步骤：", a, "×", b, "=", ab, "，", ab, "-", c, "=", ans),
-        _text("先算", a, "x", b, "=", ab, "，再减", c, "\n答案:", ans, " 千克"),
+        _text("先得全长", a, "x", b, "=", ab, "，再去掉", c, "\n答案:", ans, " 米"),
         _text("步骤：", ab, "-", c, "=", ans + 1, "\n答案：", ans + 1, "\n重算\n答案：", ans),
         F.lit("  "),
         F.lit(None),
@@ -79,7 +79,7 @@ def preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id") % 4,
         _text("步骤：", a, "+", b, "=", a + b, "\n答案：", a + b),
         _text("步骤：", a, "+", b, "=", a + b),
-        _text("答案：", ans - 3, " 千克"),
+        _text("答案：", ans - 3, " 米"),
         F.lit("不会做\n答案："),
     )
     return base(spark, sf_dir).select(
@@ -156,24 +156,24 @@ FROM orders
 """
 
 PROBLEMS_SQL = """
-SELECT id, concat('商店有', a, '框苹果每框', b, '千克，卖出', c, '千克，还剩多少？') AS question,
+SELECT id, concat('仓库进了', a, '卷电缆，一卷长', b, '米，施工用掉', c, '米，现存几米？') AS question,
        CAST(ans AS STRING) AS answer FROM base
 """
 
 PREFERENCES_SQL = """
-SELECT id, concat('商店有', a, '框苹果每框', b, '千克，卖出', c, '千克，还剩多少？') AS question,
+SELECT id, concat('仓库进了', a, '卷电缆，一卷长', b, '米，施工用掉', c, '米，现存几米？') AS question,
   CAST(ans AS STRING) AS answer,
   CASE id % 6
     WHEN 0 THEN concat('步骤：', a, '×', b, '=', ab, '，', ab, '-', c, '=', ans, chr(10), '答案：', ans)
     WHEN 1 THEN concat('步骤：', a, '×', b, '=', ab, '，', ab, '-', c, '=', ans)
-    WHEN 2 THEN concat('先算', a, 'x', b, '=', ab, '，再减', c, chr(10), '答案:', ans, ' 千克')
+    WHEN 2 THEN concat('先得全长', a, 'x', b, '=', ab, '，再去掉', c, chr(10), '答案:', ans, ' 米')
     WHEN 3 THEN concat('步骤：', ab, '-', c, '=', ans + 1, chr(10), '答案：', ans + 1, chr(10),
                        '重算', chr(10), '答案：', ans)
     WHEN 4 THEN '  ' ELSE NULL END AS chosen,
   CASE id % 4
     WHEN 0 THEN concat('步骤：', a, '+', b, '=', a + b, chr(10), '答案：', a + b)
     WHEN 1 THEN concat('步骤：', a, '+', b, '=', a + b)
-    WHEN 2 THEN concat('答案：', ans - 3, ' 千克')
+    WHEN 2 THEN concat('答案：', ans - 3, ' 米')
     ELSE concat('不会做', chr(10), '答案：') END AS rejected
 FROM base
 """
@@ -202,7 +202,7 @@ FROM orders CROSS JOIN (VALUES (0), (1), (2), (3)) AS r(i)
 """
 
 RESPONSES_SQL = """
-SELECT id, ['base', 'sft', 'dpo', 'grpo'][rollout + 1] AS model, rollout AS variant, response
+SELECT id, ['base', 'north', 'south', 'west'][rollout + 1] AS model, rollout AS variant, response
 FROM rollouts
 """
 

@@ -17,6 +17,7 @@ from abacist.functions.text import strip
 
 DEFAULT_PROMPT_TYPE = "zero_shot"
 
+# Fixed names of prompt kinds, which tables of rows refer to; the wording is free.
 DEFAULT_PROMPTS: dict[str, str] = {
     "standard": "给出这道应用题的数值结果，只写一个数。",
     "zero_shot_simple": "先想清楚再作答，结尾写成“答案：数字”。",
@@ -40,7 +41,7 @@ MAX_CATALOGUE_ENTRIES = 1_000
 def check_catalogue(entries) -> None:
     if len(entries) > MAX_CATALOGUE_ENTRIES:
         raise ValueError(
-            f"{len(entries)} catalogue entries; pass a table through lookup_join instead"
+            f"{len(entries)} entries are too many for literals; pass them as a table"
         )
 
 

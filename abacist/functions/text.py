@@ -138,7 +138,7 @@ def integers(text: ColumnLike) -> Column:
     )
 
 
-def _plain_integer(digits: Column) -> Column:
+def plain_integer(digits: Column) -> Column:
     """A run of digits without leading zeros, in ASCII, of any length."""
     return F.regexp_replace(fold_digits(digits), r"\A0+(?=\d)", "")
 
@@ -163,7 +163,7 @@ def stated_result(solution: ColumnLike, marker: str = ANSWER_MARKER) -> Column:
     marked = F.nullif(
         F.regexp_extract(solution, f"(?U){marker}{SPACE}*({INTEGER})", 1), F.lit("")
     )
-    return _plain_integer(F.coalesce(*stated, marked))
+    return plain_integer(F.coalesce(*stated, marked))
 
 
 def equation_holds(solution: ColumnLike) -> Column:
@@ -244,13 +244,16 @@ def with_answer_line(
 ) -> Column:
     """A solution that ends in its answer.
 
-    Kept when a marker is present or when its last number already is the
-    answer; otherwise an answer line is added.
+    Kept when a marker is present, when its last number already is the answer or
+    when there is no answer; otherwise an answer line is added. A null solution
+    counts as empty.
     """
-    solution, answer = as_column(solution), as_column(answer)
+    solution, answer = F.coalesce(as_column(solution), F.lit("")), as_column(answer)
     last_number = last_match(solution, f"(?U)({UNSIGNED_NUMBER})", 1)
-    settled = has_marker(solution, marker) | F.coalesce(
-        last_number == strip(answer), F.lit(False)
+    settled = (
+        has_marker(solution, marker)
+        | F.coalesce(last_number == strip(answer), F.lit(False))
+        | answer.isNull()
     )
     return F.when(settled, solution).otherwise(
         F.concat(solution, F.lit("\n" + label), answer)
@@ -265,10 +268,11 @@ def repaired_answer_lines(
 ) -> Column:
     """A text whose answer lines all carry ``answer``.
 
-    Kept untouched when the first answer line is right already; otherwise every
-    answer line is rewritten, and one is added when there is none.
+    Kept untouched when the first answer line is right already or when there is
+    no answer; otherwise every answer line is rewritten, and one is added when
+    there is none. A null text counts as empty.
     """
-    text, answer = as_column(text), as_column(answer)
+    text, answer = F.coalesce(as_column(text), F.lit("")), as_column(answer)
     body = strip(text)
     # (?d) keeps "\n" the only line end for "$"
     line = rf"(?dmU){marker}{SPACE}*[\S\s]*?{SPACE}*$"
@@ -277,7 +281,8 @@ def repaired_answer_lines(
     # "\" and "$" are special in a replacement text
     literal = F.regexp_replace(F.concat(F.lit(label), answer), r"([\\$])", r"\\$1")
     return (
-        F.when(~has_marker(body, marker), F.concat(body, F.lit("\n" + label), answer))
+        F.when(answer.isNull(), text)
+        .when(~has_marker(body, marker), F.concat(body, F.lit("\n" + label), answer))
         .when(stated == strip(answer), text)
         .otherwise(F.regexp_replace(body, F.lit(line), literal))
     )

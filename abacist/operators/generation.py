@@ -1,13 +1,14 @@
 """Model and generator calls on batches of rows.
 
-The model stays outside: users pass ``load``, which is called once per task
-and returns the function to call. Results depend on it, so write the output
+The model stays outside: users pass ``load``, which is called once per Python
+worker, when its first row arrives, and returns the function to call. Results depend on it, so write the output
 before using it more than once. Spark may run a task again; turn speculation
 off where calls cost money, and keep the last row per id when appending.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -31,6 +32,19 @@ from abacist.operators.tables import copies
 
 Generate = Callable[..., list[str]]
 
+OUTPUT_ROWS = 50
+"""Answered rows that are handed on at a time."""
+
+_LOADED: dict[str, Callable] = {}
+
+
+def _loaded(name: str, load: Callable[[], Callable]) -> Callable:
+    """The result of ``load``, kept for later tasks of the same worker."""
+    if name not in _LOADED:
+        _LOADED.clear()
+        _LOADED[name] = load()
+    return _LOADED[name]
+
 
 def batch_responses(
     rows: DataFrame,
@@ -39,26 +53,31 @@ def batch_responses(
     response: str = "response",
     seed: str | None = None,
     batch_size: int = 16,
+    max_tasks: int | None = None,
 ) -> DataFrame:
     """Rows with the stripped response to their prompt.
 
-    ``load()`` returns ``generate(prompts)``, or ``generate(prompts, seeds)``
+    Every batch has to bring one response per prompt. ``max_tasks`` bounds how
+    many tasks run a model at a time. ``load()`` returns ``generate(prompts)``, or ``generate(prompts, seeds)``
     when ``seed`` names a column. Only the prompt, the seed and the columns of
     ``rows`` pass through Python: select what is needed first.
     """
     schema = T.StructType([*rows.schema.fields, T.StructField(response, T.StringType())])
+    name = uuid.uuid4().hex
+    if max_tasks is not None:
+        rows = rows.repartition(max_tasks)
 
     def respond(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        generate = load()
         for rows_in in batches:
-            texts: list[str] = []
             for start in range(0, len(rows_in), batch_size):
                 part = rows_in.iloc[start : start + batch_size]
                 inputs = [part[prompt].tolist()]
                 if seed is not None:
                     inputs.append(part[seed].tolist())
-                texts.extend(text.strip() for text in generate(*inputs))
-            yield rows_in.assign(**{response: texts})
+                texts = [text.strip() for text in _loaded(name, load)(*inputs)]
+                if len(texts) != len(part):
+                    raise ValueError(f"{len(texts)} responses to {len(part)} prompts")
+                yield part.assign(**{response: texts})
 
     return rows.mapInPandas(respond, schema)
 
@@ -111,6 +130,7 @@ def generated_pairs(
     ``status`` (``ok`` or ``failed``), ``attempts`` and ``error``; failed rows
     stay in the result. ``max_tasks`` bounds how many tasks call at a time.
     """
+    name = uuid.uuid4().hex
     if max_tasks is not None:
         rows = rows.repartition(max_tasks, "id")
     kept = [f for f in rows.schema.fields if f.name not in ("correct_request", "wrong_request")]
@@ -129,14 +149,12 @@ def generated_pairs(
     def generate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import time
 
-        call = load()
-
         def pause(seconds: float) -> None:
             if seconds > 0:
                 time.sleep(seconds)
 
         def attempt(kind: str, request: str) -> tuple[str | None, int, str | None]:
-            error = None
+            error, call = None, _loaded(name, load)
             for number in range(1, tries + 1):
                 try:
                     return call(kind, request).strip(), number, None
@@ -157,17 +175,14 @@ def generated_pairs(
                 return None, None, "failed", attempts + more, error
             return chosen, rejected, "ok", attempts + more, None
 
-        for rows_in in batches:
-            results = [
-                pair(correct, wrong)
-                for correct, wrong in zip(rows_in["correct_request"], rows_in["wrong_request"])
-            ]
-            added = pd.DataFrame(
-                results,
-                columns=["chosen", "rejected", "status", "attempts", "error"],
-                index=rows_in.index,
-            )
-            yield pd.concat([rows_in[kept_names], added], axis=1)
+        columns = ["chosen", "rejected", "status", "attempts", "error"]
+        for batch in batches:
+            for start in range(0, len(batch), OUTPUT_ROWS):
+                part = batch.iloc[start : start + OUTPUT_ROWS]
+                requests = zip(part["correct_request"], part["wrong_request"])
+                results = [pair(correct, wrong) for correct, wrong in requests]
+                added = pd.DataFrame(results, columns=columns, index=part.index)
+                yield pd.concat([part[kept_names], added], axis=1)
 
     return rows.mapInPandas(generate, schema)
 

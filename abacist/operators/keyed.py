@@ -7,12 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Groups from this size on never pass through a shuffle on their key ...
-HOT_GROUP_ROWS = 1_000_000
-# ... for the largest ones; this bounds what is broadcast. A group that is not
-# among them holds less than 1 / MAX_HOT_GROUPS of the rows.
-MAX_HOT_GROUPS = 1_000
-
 # Checked size up to which a lookup table is broadcast.
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 << 20
@@ -27,36 +21,19 @@ def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def with_group_stats(
-    rows: DataFrame,
-    keys: Sequence[str],
-    stats: Mapping[str, Column],
-    hot_group_rows: int = HOT_GROUP_ROWS,
-    max_hot_groups: int = MAX_HOT_GROUPS,
+    rows: DataFrame, keys: Sequence[str], stats: Mapping[str, Column]
 ) -> DataFrame:
     """Every row with the aggregates of its group.
 
     A window over the key would sort a whole group in one task. Here the
     aggregates come from a group-by (combined before its shuffle) and are joined
-    back: to rows of large groups through a broadcast of at most
-    ``max_hot_groups`` rows, to all other rows through a join on the key.
+    back; they are unique, so adaptive execution can split the rows of a large
+    group among tasks.
     """
     keys = list(keys)
-    grouped = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_group_rows"), *(c.alias(n) for n, c in stats.items())
-    )
+    grouped = rows.groupBy(*keys).agg(*(c.alias(n) for n, c in stats.items()))
     grouped = grouped.withColumnsRenamed({key: f"_key_{key}" for key in keys})
-    key_columns = [f"_key_{key}" for key in keys]
-    hot = (
-        grouped.where(F.col("_group_rows") >= hot_group_rows)
-        .orderBy(F.desc("_group_rows"), *key_columns)
-        .limit(max_hot_groups)
-    )
-    hot_keys = hot.select(*key_columns)
-    helpers = [*key_columns, "_group_rows"]
-    in_hot = rows.join(F.broadcast(hot), _same_key(rows, hot, keys)).drop(*helpers)
-    others = rows.join(F.broadcast(hot_keys), _same_key(rows, hot_keys, keys), "left_anti")
-    in_others = others.join(grouped, _same_key(others, grouped, keys)).drop(*helpers)
-    return in_hot.unionByName(in_others)
+    return rows.join(grouped, _same_key(rows, grouped, keys)).drop(*(f"_key_{key}" for key in keys))
 
 
 def fits_broadcast(
@@ -101,10 +78,12 @@ def last_by_key(rows: DataFrame, keys: Sequence[str], sequence: str) -> DataFram
     """The row with the largest ``sequence`` of every key.
 
     An aggregate instead of a window: copies of a key collapse before the
-    shuffle. ``sequence`` has to be unique within a key.
+    shuffle. ``sequence`` has to be unique within a key; a null one counts as
+    smaller than all others.
     """
     others = [c for c in rows.columns if c not in keys]
-    latest = F.max_by(F.struct(*others), F.col(sequence)).alias("_latest")
+    rank = F.struct(F.col(sequence).isNotNull(), F.col(sequence))
+    latest = F.max_by(F.struct(*others), rank).alias("_latest")
     return (
         rows.groupBy(*keys)
         .agg(latest)

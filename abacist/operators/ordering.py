@@ -17,9 +17,6 @@ from abacist.functions.hashing import hash32
 # which also bounds the table of slice sizes that is broadcast.
 _SLICE_BITS = 16
 
-# Up to this many rows are simply taken from the top; every task keeps as many.
-TOP_ROWS = 100_000
-
 
 def _with_order(rows: DataFrame, id_column: str, seed: int) -> DataFrame:
     return rows.withColumn("_order", hash32(id_column, seed=seed))
@@ -59,11 +56,12 @@ def seeded_sample(
     n: int = EVALUATION_SAMPLE,
     id_column: str = "id",
     seed: int = DEFAULT_SEED,
-    top_rows: int = TOP_ROWS,
 ) -> DataFrame:
-    """``min(n, count)`` rows without replacement, in the seeded order."""
-    if n <= top_rows:
-        return seeded_shuffle(rows, id_column, seed).limit(n)
+    """``min(n, count)`` rows without replacement, in the seeded order.
+
+    Slices that cannot hold one of them go before anything is sorted, so no task
+    keeps more than its share, whatever ``n`` is.
+    """
     sliced = _with_slices(rows, id_column, seed)
     whole = sliced.where(F.col("_until") <= n)
     cut = sliced.where((F.col("_from") < n) & (F.col("_until") > n))
@@ -104,25 +102,19 @@ def epoch_slices(
     drop_boundary: bool = True,
     id_column: str = "id",
     seed: int = DEFAULT_SEED,
-    top_rows: int = TOP_ROWS,
 ) -> DataFrame:
     """Rows of every epoch, taken one after the other from one seeded order.
 
     Adds ``epoch`` and ``step``. With ``drop_boundary`` the row after each
     epoch is passed over, as when a loop reads one row too many before it stops.
-    Only ``epochs * (steps + 1)`` rows are numbered, slice by slice when there
-    are many.
+    Only slices with some of those ``epochs * (steps + 1)`` rows are numbered,
+    each on its own.
     """
     steps = min(max_steps, max_samples) if max_samples else max_steps
     block = steps + 1 if drop_boundary else steps
     needed = epochs * block
-    if needed <= top_rows:
-        top = seeded_sample(rows, needed, id_column, seed)
-        order = W.orderBy(hash32(id_column, seed=seed), id_column)
-        numbered = top.withColumn("_position", F.row_number().over(order) - 1)
-    else:
-        sliced = _with_slices(rows, id_column, seed).where(F.col("_from") < needed)
-        numbered = _with_position(sliced, id_column).where(F.col("_position") < needed)
+    sliced = _with_slices(rows, id_column, seed).where(F.col("_from") < needed)
+    numbered = _with_position(sliced, id_column).where(F.col("_position") < needed)
     return (
         numbered.withColumn("epoch", F.floor(F.col("_position") / block).cast("int"))
         .withColumn("step", F.pmod(F.col("_position"), F.lit(block)).cast("int"))

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from abacist.functions.chat import DEFAULT_INSTRUCTION, check_catalogue
 from abacist.functions.text import is_blank
 
+# Slices in which a table of variants is dealt out by fan_out().
+FAN_OUT_SLICES = 64
+
 
 def optional(rows: DataFrame, column: str, default: str | None = None) -> Column:
     """A string column that may be missing or null."""
@@ -54,14 +57,21 @@ def not_augmented(rows: DataFrame) -> DataFrame:
 
 
 def fan_out(
-    rows: DataFrame, variants: Sequence[Mapping[str, str]], order: str = "variant"
+    rows: DataFrame, variants: Sequence[Mapping[str, str]] | DataFrame, order: str = "variant"
 ) -> DataFrame:
     """Every row once per variant, with the variant's fields as columns.
 
-    Variants are a short list of parameters (models, prompts); they become an
-    array literal that is exploded in place, without a join or a shuffle.
-    ``order`` holds the position in the list.
+    A list of variants (models, prompts) becomes an array literal that is
+    exploded in place, without a join or a shuffle; ``order`` holds the position
+    in the list. A table of variants of any length, with ``order`` as one of its
+    columns, is dealt out in slices: rows repeat per slice and meet its variants
+    by an equal join, whose result is what was asked for.
     """
+    if isinstance(variants, DataFrame):
+        slices = F.lit(FAN_OUT_SLICES)
+        own = variants.withColumn("_slice", F.pmod(F.xxhash64(order), slices).cast("int"))
+        asked = rows.withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
+        return asked.join(own, "_slice").select(*rows.columns, *variants.columns)
     check_catalogue(variants)
     literal = F.array(
         *(

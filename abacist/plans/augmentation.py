@@ -17,12 +17,12 @@ from abacist.functions.hashing import HASH_RANGE, hash32
 from abacist.functions.text import (
     equation_holds,
     integer_strings,
-    integers,
     parse_integer,
+    plain_integer,
     replace_numbers,
     stated_result,
 )
-from abacist.operators.generation import generated_pairs, solution_requests, succeeded
+from abacist.operators.generation import failed, generated_pairs, solution_requests, succeeded
 from abacist.operators.keyed import rows_to_do
 from abacist.operators.ordering import first_rows
 from abacist.operators.tables import (
@@ -34,10 +34,11 @@ from abacist.operators.tables import (
     row_id,
     solution_records,
 )
-from abacist.sources.selection import path_exists
+from abacist.session import shared_folder
+from abacist.sources.selection import finished
 
-# keeps a doubled number within a bigint
-LARGEST_SUBSTITUTED = 10**18
+# digits of a number that are scaled; what follows them stays
+SCALED_DIGITS = 18
 
 
 def substituted_value(value: Column, factor_draw: Column, sign_draw: Column) -> Column:
@@ -51,28 +52,35 @@ def substituted_value(value: Column, factor_draw: Column, sign_draw: Column) ->
     return F.when(scaled == value, F.greatest(F.lit(1).cast("bigint"), moved)).otherwise(scaled)
 
 
+def substituted_digits(digits: Column, factor_draw: Column, sign_draw: Column) -> Column:
+    """A whole number of any length as text, substituted in its first 18 digits."""
+    head = F.substr(digits, F.lit(1), F.lit(SCALED_DIGITS)).cast("bigint")
+    new = substituted_value(head, factor_draw, sign_draw).cast("string")
+    return F.concat(new, F.substr(digits, F.lit(SCALED_DIGITS + 1)))
+
+
 def with_substitutions(
     rows: DataFrame, question: str = "question", seed: int = DEFAULT_SEED
 ) -> DataFrame:
-    """Adds ``substitutions``: ``array<struct<old, new>>`` for two numbers of the
-    question, drawn by ``id`` and ``copy``.
+    """Adds ``substitutions``: ``array<struct<old, new>>`` of digits for two numbers of
+    the question, drawn by ``id`` and ``copy``.
 
-    The second draw wins when both have the same value. Numbers of more than 18
-    digits are left alone.
+    The second draw wins when both have the same value. A question of fewer than
+    two numbers has none.
     """
 
     def draw(purpose: str) -> Column:
         return hash32("id", F.concat(F.col("copy").cast("string"), F.lit(f":{purpose}")), seed)
 
     def pair(at: str, number: int) -> Column:
-        value = F.get(F.col("_numbers"), F.col(at).cast("int"))["value"]
-        value = F.when(value < LARGEST_SUBSTITUTED, value)
-        new = substituted_value(value, draw(f"factor{number}"), draw(f"sign{number}"))
-        return F.struct(value.alias("old"), new.alias("new"))
+        digits = F.get(F.col("_numbers"), F.col(at).cast("int"))
+        new = substituted_digits(digits, draw(f"factor{number}"), draw(f"sign{number}"))
+        return F.struct(digits.alias("old"), new.alias("new"))
 
     count = F.size("_numbers")
+    count = F.when(count >= SUBSTITUTED_NUMBERS, count)
     drawn = (
-        rows.withColumn("_numbers", integers(question))
+        rows.withColumn("_numbers", F.transform(integer_strings(question), plain_integer))
         .withColumn("_at1", F.pmod(draw("position1"), count))
         .withColumn(
             "_at2", F.pmod(F.col("_at1") + 1 + F.pmod(draw("position2"), count - 1), count)
@@ -82,8 +90,8 @@ def with_substitutions(
     both = F.when(
         F.col("_pair1.old") == F.col("_pair2.old"), F.array("_pair2")
     ).otherwise(F.array("_pair1", "_pair2"))
-    known = F.filter(both, lambda p: p["old"].isNotNull())
-    return drawn.withColumn("substitutions", known).drop(
+    drawn_pairs = F.filter(both, lambda p: p["old"].isNotNull())
+    return drawn.withColumn("substitutions", F.coalesce(drawn_pairs, F.array())).drop(
         "_numbers", "_at1", "_at2", "_pair1", "_pair2"
     )
 
@@ -94,7 +102,7 @@ def ratio_answer(answer: ColumnLike, substitutions: ColumnLike) -> Column:
     Null when the answer is no whole number or the substituted value was 0.
     """
     last = F.try_element_at(as_column(substitutions), F.lit(-1))
-    ratio = F.try_divide(last["new"], last["old"])
+    ratio = F.try_divide(last["new"].cast("double"), last["old"].cast("double"))
     scaled = (parse_integer(answer) * ratio).try_cast("bigint")
     return F.when(scaled.isNotNull(), F.greatest(F.lit(0).cast("bigint"), scaled))
 
@@ -161,6 +169,11 @@ def augmentation_growth(combined: DataFrame) -> DataFrame:
     )
 
 
+def rejects_path(generated_path: str) -> str:
+    """Where questions stay whose calls failed in the last run."""
+    return f"{generated_path.rstrip('/')}-rejects"
+
+
 def build_training_tables(
     spark: SparkSession,
     questions: DataFrame,
@@ -177,11 +190,16 @@ def build_training_tables(
 
     Returns the final solutions and the preference pairs. Both come from one
     table of generated pairs, so a lost run never leaves one without the other.
+    Answers are written once before they are used; what failed in this run goes
+    to :func:`rejects_path` with its error.
     """
     rows = row_id(first_rows(questions, max_samples, sequence))
-    if resume and path_exists(spark, generated_path):
+    if resume and finished(spark, generated_path):
         rows = rows_to_do(rows, spark.read.parquet(generated_path))
-    generated = generated_pairs(solution_requests(rows), load, **generation)
+    answers = shared_folder(spark, "answers")
+    generated_pairs(solution_requests(rows), load, **generation).write.parquet(answers)
+    generated = spark.read.parquet(answers)
+    generated.transform(failed).write.mode("overwrite").parquet(rejects_path(generated_path))
     generated.transform(succeeded).write.mode("append" if resume else "overwrite").parquet(
         generated_path
     )

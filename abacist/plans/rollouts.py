@@ -39,7 +39,7 @@ def group_rewards(rewards: DataFrame) -> DataFrame:
 
 
 def with_advantages(
-    rewards: DataFrame, keep: Sequence[str] = (), score_once: bool = True, **skew
+    rewards: DataFrame, keep: Sequence[str] = (), score_once: bool = True
 ) -> DataFrame:
     """``id, rollout, reward`` with ``advantage``: the reward relative to its
     group of rollouts.
@@ -58,7 +58,7 @@ def with_advantages(
         "_mean": F.avg("reward"),
         "_std": F.stddev_pop("reward"),
     }
-    joined = with_group_stats(narrow, ["id"], stats, **skew)
+    joined = with_group_stats(narrow, ["id"], stats)
     advantage = relative_advantage(F.col("reward"), F.col("_size"), F.col("_mean"), F.col("_std"))
     return joined.withColumn("advantage", advantage).drop(*stats)
 
@@ -80,8 +80,9 @@ def with_log_probs(rewards: DataFrame, log_probs: DataFrame) -> DataFrame:
 def _token_ratios(rows: DataFrame) -> DataFrame:
     """One row per token that both vectors have, at least one per rollout.
 
-    Adds ``at`` (null without a token), ``ratio``, ``gap`` (old minus current)
-    and ``weight`` (one over the number of tokens). Long vectors are summed much
+    Adds ``at`` (null without a token), ``ratio``, ``gap`` (old minus current),
+    ``weight`` (one over the number of tokens) and ``is_item`` (whether there are
+    old log-probabilities). Long vectors are summed much
     faster as rows in generated code than with array functions.
     """
     length = F.coalesce(shared_length("current_log_probs", "old_log_probs"), F.lit(0))
@@ -93,6 +94,7 @@ def _token_ratios(rows: DataFrame) -> DataFrame:
         .select(
             *(c for c in rows.columns if c not in VECTORS),
             F.try_divide(F.lit(1.0), F.col("_length")).alias("weight"),
+            (F.coalesce(F.size("old_log_probs"), F.lit(0)) > 0).alias("is_item"),
             F.posexplode_outer("_tokens").alias("at", "_token"),
         )
         .withColumns(
@@ -108,15 +110,14 @@ def _token_ratios(rows: DataFrame) -> DataFrame:
 def rollout_losses(
     rows: DataFrame, clip: float = CLIP_EPSILON, kl_coefficient: float = KL_COEFFICIENT
 ) -> DataFrame:
-    """``id, rollout, advantage, loss, kl`` of the rollouts that count.
+    """``id, rollout, advantage, loss, kl`` of the items of a step: rollouts with an
+    advantage and old log-probabilities.
 
-    Rollouts without shared tokens or advantage are left out. The sums over
-    tokens are combined before the shuffle; after a join on the same key there
-    is none.
+    Loss and KL are null without shared tokens; such an item counts only for the
+    divisor of the step. The sums over tokens are combined before the shuffle;
+    after a join on the same key there is none.
     """
-    counted = rows.where(
-        (F.abs("advantage") >= ADVANTAGE_EPSILON) & (shared_length(*VECTORS) > 0)
-    )
+    counted = active_rollouts(rows)
     tokens = _token_ratios(counted.select(*KEYS, "advantage", *VECTORS))
     ratio, advantage = F.col("ratio"), F.col("advantage")
     objective = F.least(ratio * advantage, clipped_ratio(ratio, clip) * advantage)
@@ -133,19 +134,22 @@ def rollout_losses(
 
 
 def group_losses(losses: DataFrame) -> DataFrame:
-    """Sums of loss and KL and the number of rollouts per id."""
-    return losses.groupBy("id").agg(
+    """Sums of loss and KL per id, and how many rollouts they are of
+    (``n_active``) out of how many items (``n_items``); ids without any are left out."""
+    groups = losses.groupBy("id").agg(
         F.sum("loss").alias("total_loss"),
         F.sum("kl").alias("total_kl"),
-        F.count(F.lit(1)).alias("n_active"),
+        F.count("loss").alias("n_active"),
+        F.count(F.lit(1)).alias("n_items"),
     )
+    return groups.where("n_active > 0")
 
 
 def with_step_losses(groups: DataFrame, accumulation: int = 2) -> DataFrame:
-    """Adds the scaled loss of a gradient step and the per-rollout averages."""
+    """Adds the loss of a gradient step, per item, and the averages per active rollout."""
     return groups.withColumns(
         {
-            "scaled_loss": scaled_group_loss("total_loss", "n_active", accumulation),
+            "scaled_loss": scaled_group_loss("total_loss", "n_items", accumulation),
             "loss": per_active("total_loss", "n_active"),
             "kl": per_active("total_kl", "n_active"),
         }
@@ -181,6 +185,7 @@ def group_objectives(
         .agg(
             F.count_if(F.coalesce(F.col("at"), F.lit(0)) == 0).alias("_rows"),
             F.count_if(F.col("at") == 0).alias("_active"),
+            F.count_if((F.coalesce(F.col("at"), F.lit(0)) == 0) & F.col("is_item")).alias("_items"),
             F.sum(F.least(ratio, F.lit(1 + clip)) * weight).alias("_low"),
             F.sum(F.greatest(ratio, F.lit(1 - clip)) * weight).alias("_high"),
             F.sum(F.col("gap") * weight).alias("_kl"),
@@ -205,11 +210,13 @@ def group_objectives(
     )
     return (
         with_std.withColumn("_advantage", advantage)
-        .where((F.abs("_advantage") >= ADVANTAGE_EPSILON) & (F.col("_active") > 0))
+        .where((F.abs("_advantage") >= ADVANTAGE_EPSILON) & (F.col("_items") > 0))
         .groupBy("id")
         .agg(
             F.sum(kl_coefficient * F.col("_kl") - objective).alias("total_loss"),
             F.sum("_kl").alias("total_kl"),
             F.sum("_active").alias("n_active"),
+            F.sum("_items").alias("n_items"),
         )
+        .where("n_active > 0")
     )

@@ -92,16 +92,16 @@ SELECT id, question, answer, CASE WHEN ok THEN chosen END AS chosen,
        CASE WHEN ok THEN rejected END AS rejected, CASE WHEN ok THEN 'ok' ELSE 'failed' END AS status,
        CAST(CASE WHEN ok THEN 2 ELSE 3 END AS INTEGER) AS attempts,
        CASE WHEN NOT ok THEN 'RuntimeError: refused' END AS error
-FROM (SELECT *, NOT contains(chosen, '每框13千克') AS ok FROM pairs)""",
+FROM (SELECT *, NOT contains(chosen, '一卷长13米') AS ok FROM pairs)""",
         "problems",
         pairs=_PAIRS,
     )
 )
 def generated_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requests about one price fail on every try and stay marked as failed."""
+    """Requests about one length fail on every try and stay marked as failed."""
     rows = problems(spark, sf_dir).withColumn("id", F.col("id").cast("string"))
     return generation.generated_pairs(
-        generation.solution_requests(rows), _echo_loader("每框13千克"), **_NO_WAIT
+        generation.solution_requests(rows), _echo_loader("一卷长13米"), **_NO_WAIT
     )
 
 
@@ -111,7 +111,7 @@ def resumed_training_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "tables")
     rows = problems(spark, sf_dir)
     paths = (f"{path}/generated", f"{path}/final")
-    build_training_tables(spark, rows, _echo_loader("每框13千克"), *paths, **_NO_WAIT)
+    build_training_tables(spark, rows, _echo_loader("一卷长13米"), *paths, **_NO_WAIT)
     _, pairs = build_training_tables(spark, rows, _echo_loader(), *paths, **_NO_WAIT)
     return pairs
 
@@ -141,7 +141,7 @@ def _shop_loaders(models):
             def generate(prompts):
                 texts = []
                 for prompt in prompts:
-                    numbers = re.search(r"有(\d+)框苹果每框(\d+)千克，卖出(\d+)千克", prompt).groups()
+                    numbers = re.search(r"进了(\d+)卷电缆，一卷长(\d+)米，施工用掉(\d+)米", prompt).groups()
                     boxes, weight, sold = map(int, numbers)
                     left = boxes * weight - (sold if len(prompt) % 4 > rest else 0)
                     texts.append(f"步骤：略\n答案：{left}")
@@ -164,7 +164,7 @@ def _prompt(kind: str) -> str:
     return f"concat({turns}, '<|im_start|>assistant', chr(10))"
 
 
-_SHOP_MODELS = {"base": "zero_shot", "sft": "sft", "dpo": "dpo", "grpo": "grpo"}
+_SHOP_MODELS = {"base": "standard", "north": "zero_shot", "south": "sft", "west": "zero_shot_simple"}
 _SHOP_VARIANTS = ", ".join(f"({n}, '{m}', '{p}')" for n, (m, p) in enumerate(_SHOP_MODELS.items()))
 _SHOP_SQL = f"""
 SELECT id, v.m AS model, v.p AS prompt_type, v.o AS variant, answer AS truth,

@@ -122,7 +122,7 @@ def rewards_with_log_probs(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LOSS, _KL = sql.loss_terms("cur", "old", "adv")
 _LOSSES = f"""
 SELECT id, rollout, {_LOSS} AS loss, {_KL} AS kl FROM log_probs
-WHERE abs(adv) >= 1e-6 AND least(len(cur), len(old)) > 0"""
+WHERE abs(adv) >= 1e-6 AND len(old) > 0"""
 
 
 @query(
@@ -162,10 +162,10 @@ def token_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     with_views(
         """
-SELECT id, round(sum(loss), 6) AS total_loss, round(sum(kl), 6) AS total_kl, count(*) AS n_active,
-       round(sum(loss) / (count(*) * 2), 6) AS scaled_loss, round(sum(loss) / count(*), 6) AS loss,
-       round(sum(kl) / count(*), 6) AS kl
-FROM losses GROUP BY id""",
+SELECT id, round(sum(loss), 6) AS total_loss, round(sum(kl), 6) AS total_kl, count(loss) AS n_active,
+       count(*) AS n_items, round(sum(loss) / (count(*) * 2), 6) AS scaled_loss,
+       round(sum(loss) / count(loss), 6) AS loss, round(sum(kl) / count(kl), 6) AS kl
+FROM losses GROUP BY id HAVING count(loss) > 0""",
         "log_probs",
         losses=_LOSSES,
     )
@@ -186,11 +186,11 @@ _CHAIN_LOSS, _CHAIN_KL = sql.loss_terms("cur", "old", "advantage")
 _CHAIN = with_views(
     f"""
 SELECT id, round(sum(loss), 6) AS total_loss, round(sum(kl), 6) AS total_kl,
-       CAST(count(*) AS BIGINT) AS n_active
+       count(loss) AS n_active, count(*) AS n_items
 FROM (SELECT id, {_CHAIN_LOSS} AS loss, {_CHAIN_KL} AS kl
       FROM weighed JOIN log_probs USING (id, rollout)
-      WHERE abs(advantage) >= 1e-6 AND least(len(cur), len(old)) > 0)
-GROUP BY id""",
+      WHERE abs(advantage) >= 1e-6 AND len(old) > 0)
+GROUP BY id HAVING count(loss) > 0""",
     "rollouts",
     "log_probs",
     scored=_SCORED,
@@ -406,7 +406,7 @@ def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     _evaluation_sql(
         """
 SELECT model, priority FROM (
-    SELECT DISTINCT model, CAST(list_position(['tuned', 'grpo', 'dpo', 'sft', 'base'], model) AS BIGINT)
+    SELECT DISTINCT model, CAST(list_position(['tuned', 'west', 'south', 'north', 'base'], model) AS BIGINT)
         AS priority FROM responses)
 ORDER BY priority LIMIT 1"""
     )

@@ -79,17 +79,20 @@ def reward(response: str, truth: str) -> str:
 
 
 def answer_line(cot: str, answer: str) -> str:
+    cot = f"coalesce({cot}, '')"
     last = rf"regexp_extract_all({cot}, '\p{{Nd}}+(?:\.\p{{Nd}}+)?')[-1]"
-    return f"""CASE WHEN {has_marker(cot)} THEN {cot}
+    return f"""CASE WHEN {has_marker(cot)} OR {answer} IS NULL THEN {cot}
         WHEN {last} = {strip(answer)} THEN {cot}
         ELSE {cot} || chr(10) || '答案：' || {answer} END"""
 
 
 def repaired(t: str, answer: str) -> str:
+    t = f"coalesce({t}, '')"
     line = rf"(?m)答案[：:]{SP}*[\s\S]*?{SP}*$"
     first = f"regexp_extract({strip(t)}, '{line}')"
     stated_value = strip(f"string_split(string_split({first}, '：')[-1], ':')[-1]")
-    return f"""CASE WHEN NOT {has_marker(t)} THEN {strip(t)} || chr(10) || '答案：' || {answer}
+    return f"""CASE WHEN {answer} IS NULL THEN {t}
+        WHEN NOT {has_marker(t)} THEN {strip(t)} || chr(10) || '答案：' || {answer}
         WHEN {stated_value} = {strip(answer)} THEN {t}
         ELSE regexp_replace({strip(t)}, '{line}', '答案：' || {answer}, 'g') END"""
 

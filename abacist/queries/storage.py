@@ -43,14 +43,9 @@ def submission_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One result file per model, read back with its name."""
     path = shared_folder(spark, "submission")
     rows = predictions(model_responses(spark, sf_dir))
-    read = None
-    for name in ("base", "sft", "dpo", "grpo"):
-        one = rows.where(F.col("model") == name)
-        submission.write_submission(one, f"{path}/{name}")
-        back = spark.read.schema("id string, ret string").option("header", True).csv(f"{path}/{name}")
-        back = back.withColumn("model", F.lit(name))
-        read = back if read is None else read.unionByName(back)
-    return read
+    submission.write_submissions(rows, path, "model")
+    back = spark.read.schema("id string, ret string, model string").option("header", True)
+    return back.option("basePath", path).csv(path)
 
 
 @query(with_views("SELECT id, question, answer FROM problems", "problems"))
@@ -130,6 +125,6 @@ FROM preferences""",
 def nested_pairs_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Message lists written as nested Parquet and read back."""
     path = shared_folder(spark, "pairs")
-    rows = preferences(spark, sf_dir).fillna({"chosen": ""})
+    rows = preferences(spark, sf_dir)
     json_tables.write_parquet_table(training_rows.preference_pairs(rows, keep=["id"]), path)
     return flat_pairs(spark.read.parquet(path))

@@ -84,13 +84,12 @@ def texts_with_two_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     with_views(
         """
-SELECT id, question, answer, chosen AS cot, '' AS instruction, false AS augmented
-FROM preferences WHERE chosen IS NOT NULL""",
+SELECT id, question, answer, chosen AS cot, '' AS instruction, false AS augmented FROM preferences""",
         "preferences",
     )
 )
 def solution_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.solution_records(preferences(spark, sf_dir).where("chosen is not null"))
+    return tables.solution_records(preferences(spark, sf_dir))
 
 
 @query(
@@ -151,7 +150,7 @@ def _generation_prompt():
     return chat_text(messages(prompt_text("prompt_type"), "question"), generation_prompt=True)
 
 
-_MODEL_PROMPTS = {"base": "zero_shot", "sft": "sft", "dpo": "dpo", "grpo": "grpo"}
+_MODEL_PROMPTS = {"base": "standard", "north": "zero_shot", "south": "sft", "west": "zero_shot_simple"}
 
 
 @query(
@@ -159,8 +158,8 @@ _MODEL_PROMPTS = {"base": "zero_shot", "sft": "sft", "dpo": "dpo", "grpo": "grpo
         f"""
 SELECT id, v.o AS variant, v.m AS model, v.p AS prompt_type,
        {_prompt_sql(_prompt_case("v.p", tuple(_MODEL_PROMPTS.values())))} AS prompt
-FROM problems CROSS JOIN (VALUES (0, 'base', 'zero_shot'), (1, 'sft', 'sft'), (2, 'dpo', 'dpo'),
-    (3, 'grpo', 'grpo')) AS v(o, m, p)""",
+FROM problems CROSS JOIN (VALUES (0, 'base', 'standard'), (1, 'north', 'zero_shot'), (2, 'south', 'sft'),
+    (3, 'west', 'zero_shot_simple')) AS v(o, m, p)""",
         "problems",
     )
 )
@@ -174,12 +173,12 @@ def prompts_per_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     with_views(
         "SELECT id, model, variant, response FROM responses WHERE model IN "
-        "(SELECT DISTINCT ['base', 'sft', 'tuned'][CAST(l_linenumber % 3 + 1 AS INTEGER)] FROM lineitem)",
+        "(SELECT DISTINCT ['base', 'north', 'tuned'][CAST(l_linenumber % 3 + 1 AS INTEGER)] FROM lineitem)",
         "responses",
     )
 )
 def responses_of_available_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = F.array(*map(F.lit, ("base", "sft", "tuned")))
+    names = F.array(*map(F.lit, ("base", "north", "tuned")))
     available = table(spark, sf_dir, "lineitem").select(
         F.get(names, F.col("l_linenumber") % 3).alias("model")
     )

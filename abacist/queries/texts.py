@@ -148,16 +148,13 @@ def replaced_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     with_views(
-        f"SELECT id, {sql.answer_line('chosen', 'answer')} AS solution FROM preferences "
-        "WHERE chosen IS NOT NULL",
+        f"SELECT id, {sql.answer_line('chosen', 'answer')} AS solution FROM preferences",
         "preferences",
     )
 )
 def answer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        preferences(spark, sf_dir)
-        .where("chosen is not null")
-        .select("id", text.with_answer_line("chosen", "answer").alias("solution"))
+    return preferences(spark, sf_dir).select(
+        "id", text.with_answer_line("chosen", "answer").alias("solution")
     )
 
 

@@ -25,6 +25,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(hadoop_path)
 
 
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to its end; a crashed write leaves no mark."""
+    return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+
+
 def first_existing(spark: SparkSession, candidates: Sequence[str]) -> str:
     """The first candidate that exists, else the first one."""
     return next((c for c in candidates if path_exists(spark, c)), candidates[0])
@@ -42,28 +47,41 @@ def existing_names(
     return kept
 
 
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at a path; None if it holds no file."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise
+
+
 def derive_if_absent(
     spark: SparkSession,
     path: str,
     derive: Callable[[], DataFrame],
     required_text: str = "cot",
 ) -> DataFrame:
-    """The Parquet table at ``path``; derived and written when it is missing,
-    empty or without any non-blank ``required_text``."""
-    if path_exists(spark, path):
-        try:
-            existing = spark.read.parquet(path)
-            if not existing.where(~is_blank(required_text)).limit(1).isEmpty():
-                return existing
-        except AnalysisException:
-            pass  # no readable table: write it anew
+    """The Parquet table at ``path``; derived and written when it is missing, half
+    written, empty or without any non-blank ``required_text``.
+
+    A finished table without that column is another table and never replaced.
+    """
+    if finished(spark, path):
+        existing = _stored(spark, path)
+        if existing is not None and required_text not in existing.columns:
+            raise ValueError(f"{path} has no column {required_text!r}: {existing.columns}")
+        if existing is not None and not existing.where(~is_blank(required_text)).limit(1).isEmpty():
+            return existing
     derive().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
 def write_if_absent(table: DataFrame, path: str) -> None:
-    """Write a Parquet table unless the output exists already."""
-    table.write.mode("ignore").parquet(path)
+    """Write a Parquet table unless it was written to its end already."""
+    if not finished(table.sparkSession, path):
+        table.write.mode("overwrite").parquet(path)
 
 
 def latest_version(

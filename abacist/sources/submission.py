@@ -15,6 +15,17 @@ def submission(predictions: DataFrame, prediction: ColumnLike = "prediction") ->
     )
 
 
+def write_submissions(
+    predictions: DataFrame, path: str, name: str, prediction: ColumnLike = "prediction"
+) -> None:
+    """The result files of all ``name`` values in one pass, a folder ``name=...`` each."""
+    rows = predictions.select(
+        F.col("id").cast("string").alias("id"), as_column(prediction).alias("ret"), name
+    )
+    writer = rows.write.mode("overwrite").partitionBy(name)
+    writer.option("header", True).option("emptyValue", "").csv(path)
+
+
 def write_submission(
     predictions: DataFrame,
     path: str,
