@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from abacist.constants import IGNORED_LABEL, TURN_END, TURN_START
+from abacist.constants import DEFAULT_SEED, IGNORED_LABEL, TURN_END, TURN_START
 from abacist.functions.chat import (
     DEFAULT_INSTRUCTION,
     DEFAULT_PROMPTS,
@@ -25,6 +26,7 @@ from abacist.functions.features import (
     padded,
     truncated,
 )
+from abacist.functions.hashing import hash32
 from abacist.functions.text import (
     extract_answer,
     marked_token,
@@ -36,6 +38,11 @@ from abacist.operators.keyed import with_group_stats
 from abacist.operators.tables import optional, solution_text
 
 
+# Lengths that share a batch, and rows that one task numbers.
+LENGTHS_PER_BUCKET = 32
+ROWS_PER_SLICE = 100_000
+
+
 def _features(tokens: DataFrame, max_length: int, keep: Sequence[str]) -> DataFrame:
     """Features of rows with ``_ids`` and ``_prefix_length``: the prefix is
     masked in the labels, and all arrays are cut to ``max_length``."""
@@ -137,6 +144,34 @@ def suffix_quality(solutions: DataFrame) -> DataFrame:
     )
 
 
+def assigned_batches(
+    features: DataFrame,
+    batch_size: int,
+    id_column: str = "id",
+    array: str = "input_ids",
+    lengths_per_bucket: int = LENGTHS_PER_BUCKET,
+    rows_per_slice: int = ROWS_PER_SLICE,
+    seed: int = DEFAULT_SEED,
+) -> DataFrame:
+    """Adds ``bucket``, ``slice`` and ``batch``: rows of similar length in a seeded
+    order, ``batch_size`` at a time.
+
+    A bucket is numbered in slices of about ``rows_per_slice`` rows, given by a
+    hash of the id, so that one length may have any number of rows. The last
+    batch of a slice may be smaller. A null array counts as empty.
+    """
+    length = F.coalesce(F.size(array), F.lit(0))
+    ordered = features.withColumn("bucket", F.ceil(length / lengths_per_bucket).cast("int"))
+    ordered = ordered.withColumn("_order", hash32(id_column, seed=seed))
+    # one row per bucket: no more than the longest array has lengths
+    counts = ordered.groupBy("bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    slices = counts.select("bucket", F.ceil(F.col("_rows") / rows_per_slice).alias("_slices"))
+    sliced = ordered.join(slices, "bucket").withColumn("slice", F.pmod("_order", "_slices").cast("int"))
+    place = F.row_number().over(W.partitionBy("bucket", "slice").orderBy("_order", id_column))
+    batch = F.floor((place - 1) / batch_size).cast("int")
+    return sliced.withColumn("batch", batch).drop("_order", "_slices")
+
+
 def pad_batches(
     features: DataFrame,
     batch: Sequence[str],

@@ -173,15 +173,24 @@ def choose_and_submit(
     sample: int = EVALUATION_SAMPLE,
     seed: int = DEFAULT_SEED,
     catalogue: Mapping[str, str] = DEFAULT_PROMPTS,
+    available: Sequence[str] | None = None,
+    priority: Sequence[str] | None = None,
 ) -> tuple[str, str, DataFrame]:
     """Best model, best prompt type and their submission for ``test``.
 
     Models, each with its own prompt, are compared on a seeded sample of
     ``train``; the winner is then compared with itself under ``prompt_types``.
-    Without answers in ``train`` the last named model and the default prompt are
-    taken. Predictions are written under ``work_path`` before they are compared.
+    Only models named in ``available`` take part, see
+    :func:`~abacist.sources.selection.existing_names`. Without answers in
+    ``train`` the first available model of ``priority`` (the last named one
+    without a list) and the default prompt are taken. Predictions are written
+    under ``work_path`` before they are compared.
     """
     spark = train.sparkSession
+    if available is not None:
+        model_prompts = {m: p for m, p in model_prompts.items() if m in available}
+    if not model_prompts:
+        raise ValueError("no model is available")
     if has_ground_truth(train):
         items = seeded_sample(train, sample, seed=seed)
 
@@ -197,7 +206,9 @@ def choose_and_submit(
         by_prompt = [{"model": model, "prompt_type": p} for p in prompt_types]
         prompt_type = winner(by_prompt, "prompts")["prompt_type"]
     else:
-        model, prompt_type = list(model_prompts)[-1], DEFAULT_PROMPT_TYPE
+        order = [m for m in priority or () if m in model_prompts]
+        model = (order or [*reversed(model_prompts)])[0]
+        prompt_type = DEFAULT_PROMPT_TYPE
     chosen = [{"model": model, "prompt_type": prompt_type}]
     final = variant_predictions(test, chosen, loaders, catalogue)
     return model, prompt_type, submission(final)

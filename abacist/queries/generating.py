@@ -17,7 +17,7 @@ from abacist.functions.chat import (
 )
 from abacist.operators import generation
 from abacist.plans import evaluation
-from abacist.plans.augmentation import build_training_tables
+from abacist.plans.augmentation import build_training_tables, rejects_path
 from abacist.queries import sql
 from abacist.queries.registry import query, rounded
 from abacist.session import shared_folder
@@ -116,6 +116,23 @@ def resumed_training_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs
 
 
+@query(
+    with_views(
+        """
+SELECT id, question, answer, CAST(3 AS INTEGER) AS attempts, 'RuntimeError: refused' AS error
+FROM pairs WHERE contains(chosen, '一卷长13米')""",
+        "problems",
+        pairs=_PAIRS,
+    )
+)
+def rejected_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run could not answer, with the reason."""
+    path = shared_folder(spark, "rejects")
+    paths = (f"{path}/generated", f"{path}/final")
+    build_training_tables(spark, problems(spark, sf_dir), _echo_loader("一卷长13米"), *paths, **_NO_WAIT)
+    return spark.read.parquet(rejects_path(paths[0])).select("id", "question", "answer", "attempts", "error")
+
+
 @query(with_views("SELECT id, question, answer, chosen, rejected FROM pairs", "problems", pairs=_PAIRS))
 def streamed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Question files taken up by two starts of the stream, with repeated ids."""

@@ -128,3 +128,28 @@ def nested_pairs_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = preferences(spark, sf_dir)
     json_tables.write_parquet_table(training_rows.preference_pairs(rows, keep=["id"]), path)
     return flat_pairs(spark.read.parquet(path))
+
+
+@query("SELECT o_orderkey AS id, o_totalprice FROM orders")
+def fallback_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reviewed table is preferred; the given one is read where there is none."""
+    candidates = [f"{sf_dir}/reviewed_orders.parquet", f"{sf_dir}/orders.parquet"]
+    rows = spark.read.parquet(selection.first_existing(spark, candidates))
+    return rows.select(F.col("o_orderkey").alias("id"), "o_totalprice")
+
+
+@query(
+    with_views(
+        "SELECT CAST(id AS VARCHAR) AS id, question, answer, chosen, rejected FROM preferences",
+        "preferences",
+    )
+)
+def json_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one JSON array each, of at most a thousand rows."""
+    path = shared_folder(spark, "arrays")
+    rows = preferences(spark, sf_dir)
+    part = F.floor(F.col("id") / 1000).alias("part")
+    arrays = rows.groupBy(part).agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value"))
+    arrays.write.partitionBy("part").text(path)
+    read = json_tables.read_json_table(spark, f"{path}/part=*", RAW_PREFERENCE)
+    return read.drop("instruction")

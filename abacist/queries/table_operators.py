@@ -365,3 +365,38 @@ def latest_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Earlier and new outputs in one table; the last one of an id counts."""
     rows = rollouts(spark, sf_dir).select("id", F.col("rollout").alias("sequence"), "response")
     return keyed.last_by_key(rows, ["id"], "sequence")
+
+
+_TYPES = {"o_orderkey": "bigint", "o_totalprice": "double", "o_orderpriority": "string", "o_orderstatus": "string"}
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS \"column\", '{kind}' AS type, count({name}) AS n_filled FROM orders"
+        for name, kind in _TYPES.items()
+    )
+)
+def column_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type of every column, with how many of its values are there."""
+    rows = table(spark, sf_dir, "orders").select(*_TYPES)
+    counts = rows.agg(*(F.count(name).alias(name) for name in _TYPES))
+    filled = counts.unpivot([], [*_TYPES], "column", "n_filled")
+    return tables.column_types(rows).join(filled, "column")
+
+
+@query(
+    with_views(
+        "SELECT 'train' AS name, count(*) AS n_rows, count(answer) AS n_answers FROM problems "
+        "UNION ALL SELECT 'test', count(*), 0 FROM problems",
+        "problems",
+    )
+)
+def answers_where_present(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers are only counted in a table that has them."""
+    found = None
+    for name, rows in (("train", problems(spark, sf_dir)), ("test", problems(spark, sf_dir).drop("answer"))):
+        answers = F.count("answer") if tables.has_ground_truth(rows) else F.lit(0).cast("bigint")
+        one = rows.agg(F.count(F.lit(1)).alias("n_rows"), answers.alias("n_answers"))
+        one = one.select(F.lit(name).alias("name"), "n_rows", "n_answers")
+        found = one if found is None else found.unionByName(one)
+    return found

@@ -136,6 +136,22 @@ def padded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(training_rows.pad_batches(rows, ["batch"])).drop("batch")
 
 
+@query(
+    with_views(
+        f"""
+SELECT id, bucket, CAST(0 AS INTEGER) AS slice, CAST((row_number() OVER (
+         PARTITION BY bucket ORDER BY {sql.hash32('id')}, id) - 1) // 8 AS INTEGER) AS batch
+FROM (SELECT id, CAST(ceil(length(coalesce(chosen, '')) / 32) AS INTEGER) AS bucket FROM preferences)""",
+        "preferences",
+    )
+)
+def assigned_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = preferences(spark, sf_dir).select(
+        "id", features.code_points(F.coalesce("chosen", F.lit(""))).alias("input_ids")
+    )
+    return training_rows.assigned_batches(rows, 8).drop("input_ids")
+
+
 @query(
     with_views(
         f"""

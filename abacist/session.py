@@ -8,12 +8,17 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+INITIAL_PARTITIONS_SETTING = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+# Shuffle partitions of a cluster before small ones are merged.
+INITIAL_PARTITIONS = 8_000
 
 
 def build_session(master: str | None = None, app_name: str = "abacist", **settings) -> SparkSession:
     """A session with the settings the operators rely on.
 
-    Partition counts are left to adaptive execution unless given.
+    Partition counts are left to adaptive execution unless given. It merges
+    partitions but never adds any, so a cluster starts from many.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -25,6 +30,8 @@ def build_session(master: str | None = None, app_name: str = "abacist", **settin
     )
     if master:
         builder = builder.master(master)
+    if not (master or "").startswith("local"):
+        builder = builder.config(INITIAL_PARTITIONS_SETTING, INITIAL_PARTITIONS)
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

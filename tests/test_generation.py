@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from abacist.operators import generation
-from abacist.plans.augmentation import build_training_tables
+from abacist.plans import evaluation
+from abacist.plans.augmentation import build_training_tables, rejects_path
 from abacist.session import shared_folder
 from abacist.streaming import enrichment
 
@@ -144,3 +145,57 @@ def test_failed_questions_can_be_retried(spark):
     enrichment.retry_failed(spark, sink, loader(), **NO_WAIT)
     assert enrichment.failed_questions(spark, sink).count() == 0
     assert sorted(r.id for r in enrichment.enriched_pairs(spark, sink).collect()) == ["1", "2"]
+
+
+def test_models_load_once_and_never_for_nothing(spark, tmp_path):
+    marks = str(tmp_path)
+
+    def load():
+        import tempfile
+
+        tempfile.mkstemp(dir=marks)
+        return lambda prompts: [p + "!" for p in prompts]
+
+    rows = spark.range(60).select("id", F.concat(F.lit("p"), "id").alias("prompt"))
+    assert generation.batch_responses(rows.where("id < 0"), load).count() == 0
+    assert not list(tmp_path.iterdir())
+    assert generation.batch_responses(rows.repartition(12), load, batch_size=2).count() == 60
+    assert 1 <= len(list(tmp_path.iterdir())) <= 4
+
+
+def test_a_batch_with_too_few_responses_fails(spark):
+    def load():
+        return lambda prompts: prompts[1:] if len(prompts) > 1 else [*prompts, "more"]
+
+    rows = spark.range(7).select("id", F.lit("p").alias("prompt")).coalesce(1)
+    with pytest.raises(Exception, match="responses to"):
+        generation.batch_responses(rows, load, batch_size=2).collect()
+
+
+def test_rejects_are_kept_and_taken_up_again(spark):
+    folder = shared_folder(spark, "rejects")
+    paths = (f"{folder}/generated", f"{folder}/final")
+    rows = questions(spark, [1, 2, 3])
+    build_training_tables(spark, rows, loader(refuse="q2"), *paths, **NO_WAIT)
+    [reject] = spark.read.parquet(rejects_path(paths[0])).collect()
+    assert (reject.id, reject.error) == ("2", "ValueError: no")
+    _, pairs = build_training_tables(spark, rows, loader(), *paths, **NO_WAIT)
+    assert sorted(r.id for r in pairs.collect()) == ["1", "2", "3"]
+    assert spark.read.parquet(rejects_path(paths[0])).count() == 0
+
+
+def test_fallback_model_is_the_first_available(spark):
+    def load():
+        return lambda prompts: ["答案：1"] * len(prompts)
+
+    items = spark.createDataFrame([("1", "q")], "id string, question string")
+    prompts = {"base": "standard", "north": "sft", "south": "sft"}
+    options = {"available": ["base", "north"], "priority": ["south", "base", "north"]}
+    loaders = dict.fromkeys(prompts, load)
+    folder = shared_folder(spark, "choice")
+    model, _, result = evaluation.choose_and_submit(items, items, prompts, loaders, ["sft"], folder, **options)
+    assert model == "base" and result.count() == 1
+    model, *_ = evaluation.choose_and_submit(items, items, prompts, loaders, ["sft"], folder, available=["base", "north"])
+    assert model == "north"
+    with pytest.raises(ValueError):
+        evaluation.choose_and_submit(items, items, prompts, loaders, ["sft"], folder, available=[])

@@ -146,6 +146,15 @@ def test_single_and_constant_groups_have_no_advantage(spark):
     assert found == {(1, 0): 0.0, (2, 0): 0.0, (2, 1): 0.0, (3, 0): -1.0, (3, 1): 1.0}
 
 
+def test_batches_of_one_length_are_numbered_in_slices(spark):
+    rows = spark.range(1000).select("id", F.array_repeat(F.lit(7), 5).alias("input_ids"))
+    found = training_rows.assigned_batches(rows, 8, rows_per_slice=100)
+    sizes = found.groupBy("bucket", "slice", "batch").count()
+    assert found.count() == 1000 and found.select("slice").distinct().count() == 10
+    assert sizes.agg(F.max("count")).first()[0] == 8
+    assert sizes.where("count < 8").count() <= 10
+
+
 def test_step_loss_is_per_item(spark):
     """Two items, one without a current vector: the sum is divided by both."""
     rows = spark.createDataFrame(

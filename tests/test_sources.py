@@ -85,3 +85,21 @@ def test_write_if_absent(spark):
     selection.write_if_absent(spark.range(3), path)
     selection.write_if_absent(spark.range(9), path)
     assert spark.read.parquet(path).agg(F.count("*")).first()[0] == 3
+
+
+def test_half_written_and_foreign_tables(spark, tmp_path):
+    path, good = str(tmp_path / "t"), spark.createDataFrame([(1, "x")], "id int, cot string")
+    good.write.parquet(path)
+    (tmp_path / "t" / "_SUCCESS").unlink()
+    selection.write_if_absent(spark.createDataFrame([(2, "y")], "id int, cot string"), path)
+    assert spark.read.parquet(path).first().id == 2
+    selection.write_if_absent(good, path)
+    assert spark.read.parquet(path).first().id == 2
+    other = str(tmp_path / "other")
+    spark.range(5).write.parquet(other)
+    with pytest.raises(ValueError):
+        selection.derive_if_absent(spark, other, lambda: good)
+    assert spark.read.parquet(other).count() == 5
+    blank = str(tmp_path / "blank")
+    spark.createDataFrame([(1, " ")], "id int, cot string").write.parquet(blank)
+    assert selection.derive_if_absent(spark, blank, lambda: good).first().cot == "x"
