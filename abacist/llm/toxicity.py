@@ -31,6 +31,8 @@ RATE = 0.3
 SPARSITY = 1e-4
 """Weight that a word needs to earn, so that words of single documents get none."""
 
+_SAMPLE = pa.schema([("doc_id", pa.int64()), ("text", pa.binary()), ("toxic", pa.int32())])
+
 RARE = 5
 """Words in fewer sampled documents are not learned."""
 
@@ -83,15 +85,19 @@ def noisy_or(scores: np.ndarray) -> float:
     return float(-np.expm1(np.log1p(-np.minimum(scores, 1 - 1e-12)).sum()))
 
 
-def fitted(documents: list[tuple[bytes, int]]) -> Model:
+def fitted(documents: Iterable[tuple[bytes, int]]) -> Model:
     """A model of these texts and labels. Without both labels it is the prior alone."""
-    read = [(parts, label) for text, label in documents if (parts := sentences(text))]
-    weights = np.zeros(FEATURES)
-    if len({label for _, label in read}) < 2:
-        return Model(weights.astype(np.float32), PRIOR)
+    weights = np.zeros(FEATURES, np.float32)
     numbers: dict[bytes, int] = {}
-    coded = [np.array([numbers.setdefault(w, len(numbers)) for words in parts for w in words]) for parts, _ in read]
-    word, counts = np.concatenate(coded), np.array([len(words) for parts, _ in read for words in parts])
+    coded, sizes, labels = [], [], []
+    for text, label in documents:
+        if parts := sentences(text):
+            coded.append(np.array([numbers.setdefault(w, len(numbers)) for words in parts for w in words], np.int32))
+            sizes.append(np.array([len(words) for words in parts], np.int32))
+            labels.append(float(label))
+    if len(set(labels)) < 2:
+        return Model(weights, PRIOR)
+    word, counts = np.concatenate(coded), np.concatenate(sizes)
     starts = np.cumsum(counts) - counts
     lists = [features(w) for w in numbers]
     of_word, feature = np.repeat(np.arange(len(lists)), [len(x) for x in lists]), np.concatenate(lists)
@@ -102,9 +108,9 @@ def fitted(documents: list[tuple[bytes, int]]) -> Model:
     common = spread[feature] >= RARE
     of_word, feature = of_word[common], feature[common]
     used, feature = np.unique(feature, return_inverse=True)
-    sentence_counts = np.array([len(parts) for parts, _ in read])
+    sentence_counts = np.array([len(x) for x in sizes])
     heads = np.cumsum(sentence_counts) - sentence_counts
-    labels = np.array([label for _, label in read], np.float64)
+    labels = np.array(labels)
     owner = np.repeat(np.arange(len(labels)), sentence_counts)
     own, moved, bias, bias_moved = np.zeros(len(used)), np.full(len(used), 1e-8), PRIOR, 1e-8
     for _ in range(ROUNDS):  # full steps, scaled by past slopes
@@ -123,11 +129,11 @@ def fitted(documents: list[tuple[bytes, int]]) -> Model:
         bias_moved += total**2
         bias -= RATE * total / np.sqrt(bias_moved)
     weights[used] = own
-    return Model(weights.astype(np.float32), float(bias))
+    return Model(weights, float(bias))
 
 
-def training_sample(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[tuple[bytes, int]]:
-    """At most ``sample`` texts with labels, the same in every run.
+def training_sample(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """``doc_id, text, toxic`` of at most ``sample`` documents with labels, the same in every run.
 
     A document with several labels is toxic if one says so; rows without a label
     are left out. Of documents that share an id one is taken.
@@ -135,8 +141,26 @@ def training_sample(documents: DataFrame, labels: DataFrame, sample: int = SAMPL
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.withColumn("rank", F.xxhash64("doc_id")).orderBy("rank", "doc_id").limit(sample).select("doc_id", "toxic")
     texts = documents.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
-    return [(row.text.encode(), int(row.toxic)) for row in rows.orderBy("doc_id").toLocalIterator()]
+    return texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+
+
+def fitted_to(sample: DataFrame) -> Model:
+    """A model of ``doc_id, text, toxic`` rows, fitted in one task: the sample is bounded."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches), _SAMPLE).sort_by("doc_id")
+        texts = (text.as_buffer().to_pybytes() for text in table.column("text"))
+        model = fitted(zip(texts, table.column("toxic").to_pylist()))
+        used = np.flatnonzero(model.weights)
+        parts = ([model.bias], [used.astype(np.int32).tobytes()], [model.weights[used].tobytes()])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in parts], ["bias", "used", "weights"])
+
+    rows = sample.select("doc_id", F.col("text").cast("binary"), F.col("toxic").cast("int")).repartition(1)
+    found = rows.mapInArrow(run, "bias double, used binary, weights binary").first()
+    weights = np.zeros(FEATURES, np.float32)
+    if found:
+        weights[np.frombuffer(found.used, np.int32)] = np.frombuffer(found.weights, np.float32)
+    return Model(weights, found.bias if found else PRIOR)
 
 
 SCORED = "doc_id long, score double, offending array<struct<sentence:int,score:double>>"
@@ -174,7 +198,7 @@ def held_out(id_column: str = "doc_id"):
 
 def learned(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model of labelled documents that are not held out."""
-    return fitted(training_sample(documents, labels.where(~held_out()), sample))
+    return fitted_to(training_sample(documents, labels.where(~held_out()), sample))
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:

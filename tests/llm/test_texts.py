@@ -208,7 +208,7 @@ def test_toxicity_odd_rows(spark):
     assert found == [(1, True, []), (2, True, []), (2, True, []), (3, True, []), (99, True, [])]
     empty = table.limit(0)
     assert toxicity.scored(empty, model).count() == 0
-    assert toxicity.training_sample(empty, spark.createDataFrame([], "doc_id long, toxic int")) == []
+    assert toxicity.training_sample(empty, spark.createDataFrame([], "doc_id long, toxic int")).count() == 0
     assert toxicity.without_toxic(table, spark.createDataFrame([], "doc_id long, toxic int")).count() == 5
 
 
