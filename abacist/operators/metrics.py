@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from abacist.constants import TRAILING_STEPS
 from abacist.functions.text import is_blank
+from abacist.operators.keyed import with_group_stats
 
-# Steps per window partition of trailing(); (run, step) is unique, so this is
-# also the largest number of rows in one.
-STEPS_PER_SPAN = 100_000
+# Rows per window partition of trailing(), about.
+ROWS_PER_SPAN = 100_000
 
 
 def row_count(rows: DataFrame) -> DataFrame:
@@ -47,14 +47,17 @@ def trailing(
     step: str = "step",
     width: int = TRAILING_STEPS,
     statistic: str = "avg",
-    steps_per_span: int = STEPS_PER_SPAN,
+    rows_per_span: int = ROWS_PER_SPAN,
 ) -> DataFrame:
     """Average (or sum) of the last ``width`` rows of a run, per row.
 
     Adds ``trailing_<metric>``. Rows are windowed per span of consecutive steps,
-    so that a long run is spread over tasks. The first rows of a span also need
-    rows before it; they are computed once more from the edges of all spans of
-    the run. ``(run, step)`` has to be unique and ``step`` a whole number.
+    so that a long run is spread over tasks; how wide a span is follows from the
+    run's first and last step and its number of rows, so logs of every tenth or
+    thousandth step are spread as well. The first rows of a span also need rows
+    before it; they are computed once more from the edges of all spans of the
+    run, at most ``2 * (width - 1)`` rows each. ``(run, step)`` has to be unique
+    and ``step`` a whole number.
     """
     if statistic not in ("avg", "sum"):
         raise ValueError(f"statistic must be 'avg' or 'sum', not {statistic!r}")
@@ -66,8 +69,15 @@ def trailing(
         return rows.withColumns({f"trailing_{m}": function(m).over(frame) for m in metrics})
 
     span = W.partitionBy(run, "_span")
+    bounds = {"_first": F.min(step), "_last": F.max(step), "_count": F.count(F.lit(1))}
+    each = (F.col("_last") - F.col("_first") + 1).cast("double") / F.col("_count")
+    reach = F.greatest(F.lit(1.0), each * rows_per_span)
+    # dealt out once, so that what makes the steps runs once for all uses of them
+    dealt = steps.repartition(run, step)
     spans = (
-        steps.withColumn("_span", F.floor(F.col(step) / steps_per_span))
+        with_group_stats(dealt, [run], bounds)
+        .withColumn("_span", F.floor((F.col(step) - F.col("_first")) / reach))
+        .drop(*bounds)
         .withColumn("_rank", F.row_number().over(span.orderBy(step)))
         .withColumn("_behind", F.count(F.lit(1)).over(span) - F.col("_rank"))
     )

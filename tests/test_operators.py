@@ -72,7 +72,7 @@ def test_trailing_equals_window(spark, span, statistic):
     steps = spark.range(400).where("id % 5 <> 2 and (id < 90 or id > 210)").select(
         (F.col("id") % 2).alias("epoch"), F.col("id").alias("step"), (F.col("id") * 1.0).alias("v")
     )
-    found = metrics.trailing(steps, ["v"], statistic=statistic, steps_per_span=span)
+    found = metrics.trailing(steps, ["v"], statistic=statistic, rows_per_span=span)
     frame = W.partitionBy("epoch").orderBy("step").rowsBetween(-19, 0)
     wanted = steps.withColumn("t", getattr(F, statistic)("v").over(frame))
     assert rows_of(found.select(F.round("trailing_v", 6), "epoch", "step")) == rows_of(
@@ -155,6 +155,14 @@ def test_batches_of_one_length_are_numbered_in_slices(spark):
     assert sizes.where("count < 8").count() <= 10
 
 
+def test_trailing_of_sparse_steps_is_spread(spark):
+    """Steps ten thousand apart: spans still hold many rows each."""
+    rows = spark.range(600).select(F.lit(1).alias("epoch"), (F.col("id") * 10_000 + 7).alias("step"), (F.col("id") % 13).cast("double").alias("v"))
+    found = metrics.trailing(rows, ["v"], rows_per_span=100)
+    frame = W.partitionBy("epoch").orderBy("step").rowsBetween(-19, 0)
+    assert rows_of(found) == rows_of(rows.withColumn("trailing_v", F.avg("v").over(frame)))
+
+
 def test_step_loss_is_per_item(spark):
     """Two items, one without a current vector: the sum is divided by both."""
     rows = spark.createDataFrame(
