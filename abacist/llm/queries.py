@@ -86,13 +86,25 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), placed AS (
       SELECT doc_id, i, parts[i] AS part, trim(parts[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS k
       FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM cut)
-    ), runs AS (
-      SELECT doc_id, i, k AS k1, lead(k, 1) OVER w AS k2, lead(k, 2) OVER w AS k3
-      FROM placed WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+    ), said AS (
+      SELECT *, sum(len(regexp_extract_all(part, '[^ \t-\r]+'))) OVER (PARTITION BY doc_id ORDER BY i) AS total,
+        len(regexp_extract_all(part, '[^ \t-\r]+')) AS own
+      FROM placed
+    ), starts AS (
+      SELECT doc_id, i, CAST((total - own + 25) * 1048576 AS BIGINT) AS target FROM said
+    ), ends AS (
+      SELECT doc_id, i, CAST(total * 1048576 + i AS BIGINT) AS reached FROM said
+    ), spans AS (
+      SELECT s.doc_id, s.i AS a, greatest(e.i, s.i + 1) AS b
+      FROM starts s ASOF JOIN ends e ON s.doc_id = e.doc_id AND s.target <= e.reached
+    ), keyed AS (
+      SELECT s.doc_id, a, b, string_agg(k, chr(1) ORDER BY p.i) AS key
+      FROM spans s JOIN placed p ON p.doc_id = s.doc_id AND p.i BETWEEN a AND b
+      JOIN cut ON cut.doc_id = s.doc_id AND b <= len(parts) GROUP BY s.doc_id, a, b
     ), ranked AS (
-      SELECT doc_id, i, row_number() OVER (PARTITION BY k1, k2, k3 ORDER BY doc_id, i) AS n FROM runs WHERE k3 IS NOT NULL
+      SELECT doc_id, a, b, row_number() OVER (PARTITION BY key ORDER BY doc_id, a) AS n FROM keyed
     ), gone AS (
-      SELECT DISTINCT doc_id, i + unnest([0, 1, 2]) AS i FROM ranked WHERE n > 1
+      SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS i FROM ranked WHERE n > 1
     ), kept AS (
       SELECT p.doc_id, count(*) AS n_sentences, count(g.i) AS n_removed,
         coalesce(string_agg(part, '' ORDER BY p.i) FILTER (WHERE g.i IS NULL), '') AS text

@@ -65,26 +65,31 @@ def test_repeated_strings_odd_rows(spark):
     assert suffixes.without_repeated_strings(table.limit(0)).count() == 0
 
 
-def brute_spans(docs, span):
+def brute_spans(docs, span, words):
     seen, found = set(), {}
     for doc, text in sorted(docs):
         parts = spans.sentences(text.encode())
         assert b"".join(parts) == text.encode()
         keys, gone = [p.strip() for p in parts], set()
-        for at in range(len(keys) - span + 1):
-            key = tuple(keys[at : at + span])
+        for at in range(len(keys)):
+            end = at + span
+            while end <= len(keys) and sum(len(p.split()) for p in keys[at:end]) < words:
+                end += 1
+            if end > len(keys):
+                continue
+            key = tuple(keys[at:end])
             if key in seen:
-                gone |= set(range(at, at + span))
+                gone |= set(range(at, end))
             seen.add(key)
         found[doc] = (len(parts), len(gone), b"".join(p for i, p in enumerate(parts) if i not in gone).decode())
     return found
 
 
-@pytest.mark.parametrize("span", [2, 3])
-def test_repeated_spans(spark, span):
+@pytest.mark.parametrize("span,words", [(3, 0), (2, 25), (1, 12)])
+def test_repeated_spans(spark, span, words):
     docs = corpus(3)
-    found = spans.without_repeated_spans(frame(spark, docs), span).collect()
-    assert {r.doc_id: (r.n_sentences, r.n_removed, r.text) for r in found} == brute_spans(docs, span)
+    found = spans.without_repeated_spans(frame(spark, docs), span, words).collect()
+    assert {r.doc_id: (r.n_sentences, r.n_removed, r.text) for r in found} == brute_spans(docs, span, words)
     assert sum(r.n_removed for r in found) > 50
 
 
@@ -97,7 +102,7 @@ def test_repeated_spans_odd_rows(spark):
     text = "One is. Two is. Three is."
     rows = [(1, None), (2, ""), (3, text), (3, text), (None, text)]
     table = frame(spark, rows).withColumn("bucket", F.lit("x"))
-    found = sorted((r.doc_id or 99, r.n_sentences, r.n_removed, r.text) for r in spans.without_repeated_spans(table).collect())
+    found = sorted((r.doc_id or 99, r.n_sentences, r.n_removed, r.text) for r in spans.without_repeated_spans(table, 3, 6).collect())
     assert found == [(1, 0, 0, ""), (2, 0, 0, ""), (3, 3, 0, text), (3, 3, 3, ""), (99, 3, 3, "")]
     assert spans.without_repeated_spans(table.limit(0)).count() == 0
 
