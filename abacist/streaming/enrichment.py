@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from abacist.functions.hashing import hash32
 from abacist.operators.generation import (
     failed,
     generated_pairs,
@@ -20,24 +21,43 @@ from abacist.operators.tables import preference_records, row_id, solution_record
 from abacist.sources.selection import path_exists
 
 BATCH_COLUMN = "batch"
+BUCKET_COLUMN = "bucket"
 
+# Folders of a batch in the sink, by id; a later batch reads those of its own ids.
+BUCKETS = 16
 
-def _earlier_successes(spark: SparkSession, sink: str, batch: int) -> DataFrame | None:
+
+def _bucketed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(BUCKET_COLUMN, F.pmod(hash32("id"), F.lit(BUCKETS)).cast("int"))
+
+
+def _earlier_successes(
+    spark: SparkSession, sink: str, batch: int, buckets: list[int]
+) -> DataFrame | None:
+    """Ids answered by other batches, of these buckets alone."""
     if not path_exists(spark, sink):
         return None
-    stored = spark.read.schema(f"id string, status string, {BATCH_COLUMN} bigint").parquet(sink)
-    return stored.where((F.col(BATCH_COLUMN) != batch) & (F.col("status") == "ok"))
+    columns = f"id string, status string, {BATCH_COLUMN} bigint, {BUCKET_COLUMN} int"
+    stored = spark.read.schema(columns).parquet(sink)
+    other = (F.col(BATCH_COLUMN) != batch) & F.col(BUCKET_COLUMN).isin(buckets)
+    return stored.where(other & (F.col("status") == "ok"))
 
 
 def _write_batch(
     rows: DataFrame, sink: str, batch: int, load: Callable, generation: dict
 ) -> None:
-    todo = row_id(rows).dropDuplicates(["id"])
-    done = _earlier_successes(rows.sparkSession, sink, batch)
+    todo = _bucketed(row_id(rows).dropDuplicates(["id"]))
+    buckets = [row[0] for row in todo.select(BUCKET_COLUMN).distinct().collect()]  # at most BUCKETS
+    done = _earlier_successes(rows.sparkSession, sink, batch, buckets)
     if done is not None:
         todo = rows_to_do(todo, done)
     pairs = generated_pairs(solution_requests(todo), load, **generation)
-    pairs.write.mode("overwrite").parquet(f"{sink}/{BATCH_COLUMN}={batch}")
+    writer = pairs.write.mode("overwrite").partitionBy(BUCKET_COLUMN)
+    writer.parquet(f"{sink}/{BATCH_COLUMN}={batch}")
+
+
+def _stored(spark: SparkSession, sink: str) -> DataFrame:
+    return spark.read.parquet(sink).drop(BATCH_COLUMN, BUCKET_COLUMN)
 
 
 def enrich_new_questions(
@@ -54,7 +74,8 @@ def enrich_new_questions(
     """Start a query that generates pairs for all questions not in the sink yet.
 
     Each batch of the files (Parquet or JSON lines) under ``source`` is reduced
-    to unseen ids, enriched and written to its own ``batch=<n>`` folder of the sink. A batch
+    to unseen ids, enriched and written to its own ``batch=<n>`` folder of the sink,
+    in buckets of the id; only buckets of its own ids are read for that. A batch
     that is run again after a crash overwrites its folder, so an id is never
     there twice. Questions whose calls failed are kept with their error, see
     :func:`retry_failed`. The query stops when all present files are done;
@@ -80,12 +101,12 @@ def enrich_new_questions(
 
 def enriched_pairs(spark: SparkSession, sink: str) -> DataFrame:
     """All pairs generated so far."""
-    return succeeded(spark.read.parquet(sink).drop(BATCH_COLUMN))
+    return succeeded(_stored(spark, sink))
 
 
 def failed_questions(spark: SparkSession, sink: str) -> DataFrame:
     """Questions without a pair, one row per id."""
-    stored = spark.read.parquet(sink).drop(BATCH_COLUMN)
+    stored = _stored(spark, sink)
     open_rows = rows_to_do(failed(stored), succeeded(stored))
     return open_rows.dropDuplicates(["id"])
 
