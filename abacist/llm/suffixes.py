@@ -3,7 +3,8 @@
 Every 100-byte window has one anchor: the smallest hash of its 32-byte strings.
 Windows of one document that share an anchor form a segment of at most 168
 bytes, and equal windows always have equal anchors, so anchors deal segments out
-to shards. Equal segments count once: all windows of a later one are repeated.
+to shards. Equal segments (told by 104 hashed bits) count once: all windows of a
+later one are repeated.
 Segments that share an anchor but differ meet in a shard, whose suffix array
 (induced sorting) and common prefixes show which of their windows are equal.
 Anchors with very many different segments, as at the edges of a very common
