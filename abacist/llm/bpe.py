@@ -125,7 +125,8 @@ def _joined(buckets: int, vocabulary: Vocabulary | None):
         table = pa.table([chunk.ids, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)], ["doc_id", "ids"])
         if vocabulary is None:
             return table
-        return table.append_column("text", pa.array([_text(ids, vocabulary.opened()[1]) for ids in rows], pa.string()))
+        _, pieces = vocabulary.opened()
+        return table.append_column("text", pa.array([_text(ids, pieces) for ids in rows], pa.string()))
 
     return use
 
