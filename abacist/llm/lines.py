@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from abacist.llm.components import saved
 
 WINDOW = 3
-"""Lines of a window: shorter repeated runs stay."""
+"""Lines of a window: shorter repeated runs stay, unless words count too."""
+
+WORDS = 25
+"""Words that make a run of fewer lines count, where words do."""
 
 
 def bound(value: Column, use) -> Column:
@@ -33,17 +36,50 @@ def _filled(lines: Column) -> Column:
     return F.filter(places, lambda i: i.isNotNull())
 
 
-def _windows(lines: Column, window: int) -> Column:
-    """For each window: its first line's number, its selected line hash, two hashes of all its lines."""
+def _runs(full: Column, window: int, words: int | None) -> Column:
+    """First line's number and length of each run that is compared.
+
+    Those are all runs of ``window`` lines, and shorter ones of ``words`` words.
+    A run whose first and whose last line can each go while ``words`` words stay
+    is left out: the two shorter runs cover it and repeat wherever it does.
+    """
+
+    def sized(count: Column, size: int) -> Column:
+        starts = F.when(count >= size, F.sequence(F.lit(0), F.greatest(count - size, F.lit(0))))
+        runs = F.transform(starts, lambda i: F.struct(i.alias("start"), F.lit(size).alias("size")))
+        return F.coalesce(runs, F.array().cast("array<struct<start:int,size:int>>"))
+
+    def worth(said: Column, size: int) -> Column:
+        def kept(run: Column) -> Column:
+            total = F.aggregate(F.slice(said, run["start"] + 1, size), F.lit(0), lambda a, b: a + b)
+            reaches = F.lit(True) if size == window else total >= words
+            if size == 1:
+                return reaches
+            return reaches & ~((total - said[run["start"]] >= words) & (total - said[run["start"] + size - 1] >= words))
+
+        return F.filter(sized(F.size(said), size), kept)
+
+    if words is None:
+        return sized(F.size(full), window)
+    return bound(F.transform(full, lambda line: F.regexp_count(line, F.lit(r"\S+"))), lambda said: F.concat(*[worth(said, n + 1) for n in range(window)]))
+
+
+def _windows(lines: Column, window: int, words: int | None) -> Column:
+    """For each run: first line's number, length, selected line's hash and number, two hashes of all its lines."""
 
     def of(full: Column, hashes: Column) -> Column:
-        def one(i: Column) -> Column:
-            inside = F.slice(full, i + 1, window)
-            least = F.array_min(F.slice(hashes, i + 1, window))
-            return F.struct(i.alias("start"), least.alias("selected"), F.xxhash64(inside).alias("h1"), F.xxhash64(F.lit(window), inside).alias("h2"))
+        def one(run: Column) -> Column:
+            inside = F.slice(full, run["start"] + 1, run["size"])
+
+            def selected(some: Column) -> Column:
+                least = F.array_min(some)
+                place = run["start"] + F.array_position(some, least).cast("int") - 1
+                own = (run["start"].alias("start"), run["size"].alias("size"), least.alias("selected"), place.alias("place"))
+                return F.struct(*own, F.xxhash64(inside).alias("h1"), F.xxhash64(F.lit(window), inside).alias("h2"))
+
+            return bound(F.slice(hashes, run["start"] + 1, run["size"]), selected)
 
-        count = F.size(full) - window + 1
-        return F.when(count > 0, F.transform(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1), one))
+        return F.transform(_runs(full, window, words), one)
 
     trimmed = F.filter(F.transform(lines, lambda line: F.trim(line)), lambda line: F.length(line) > 0)
     return bound(trimmed, lambda full: bound(F.transform(full, lambda line: F.xxhash64(line)), lambda hashes: of(full, hashes)))
@@ -53,23 +89,23 @@ def _key(id_column: str, text_column: str) -> list[Column]:
     return [F.col(id_column).alias("_id"), F.xxhash64(text_column).alias("_text_key")]
 
 
-def repeated_starts(documents: DataFrame, window: int, id_column: str, text_column: str) -> DataFrame:
-    """``_id, _text_key, _starts``: numbers of the windows that also occur earlier, by document."""
-    found = documents.select(*_key(id_column, text_column), F.explode(_windows(_lines(text_column), window)).alias("w"))
-    rank = F.struct(F.col("_id").isNull().alias("last"), "_id", "start")
+def repeated_runs(documents: DataFrame, window: int, words: int | None, id_column: str, text_column: str) -> DataFrame:
+    """``_id, _text_key, _runs``: first lines and lengths of the runs that also occur earlier, by document."""
+    found = documents.select(*_key(id_column, text_column), F.explode(_windows(_lines(text_column), window, words)).alias("w"))
+    place, rank = (F.struct(F.col("_id").isNull().alias("last"), "_id", at) for at in ("place", "start"))
     found = saved(found.select("_id", "_text_key", "w.*"))
-    shared = found.groupBy("selected").agg(F.min(rank).alias("least"), F.max(rank).alias("most")).where("least <> most").select("selected")
+    shared = found.groupBy("selected").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most").select("selected")
     matches = found.join(shared, "selected", "left_semi")
     first = matches.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.max(rank).alias("final")).where("first <> final")
     later = matches.join(first, ["h1", "h2"]).where(rank != F.col("first"))
-    return later.groupBy("_id", "_text_key").agg(F.collect_set("start").alias("_starts"))
+    return later.groupBy("_id", "_text_key").agg(F.collect_set(F.struct("start", "size")).alias("_runs"))
 
 
-def _kept(text: Column, starts: Column, window: int) -> Column:
-    """The text without the lines of those windows, and how many went."""
+def _kept(text: Column, runs: Column) -> Column:
+    """The text without the lines of those runs, and how many went."""
 
     def of(lines: Column, filled: Column) -> Column:
-        covered = F.array_distinct(F.flatten(F.transform(starts, lambda s: F.sequence(s, s + window - 1))))
+        covered = F.array_distinct(F.flatten(F.transform(runs, lambda r: F.sequence(r["start"], r["start"] + r["size"] - 1))))
         gone = F.transform(covered, lambda i: filled[i])
         stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
         kept = F.array_join(F.transform(stay, lambda i: lines[i]), "\n")
@@ -78,11 +114,14 @@ def _kept(text: Column, starts: Column, window: int) -> Column:
     return bound(_lines(text), lambda lines: bound(_filled(lines), lambda filled: of(lines, filled)))
 
 
-def without_repeated_lines(documents: DataFrame, window: int = WINDOW, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def without_repeated_lines(
+    documents: DataFrame, window: int = WINDOW, id_column: str = "doc_id", text_column: str = "text", words: int | None = None
+) -> DataFrame:
     """All rows and columns of ``documents``, their texts without repeated runs, plus ``n_lines, n_removed``.
 
     A line goes if it lies in a run of ``window`` lines that also starts earlier:
-    in a document of smaller id, or further ahead in the same one. Lines are
+    in a document of smaller id, or further ahead in the same one. With ``words``,
+    so does a line of a shorter run that has as many words or more. Lines are
     compared without spaces around them; blank lines do not count and stay. Runs
     are judged on the input, so a document may lose all its lines and stays as an
     empty text. Null texts stay null, null ids come last and rank as one; rows
@@ -91,12 +130,12 @@ def without_repeated_lines(documents: DataFrame, window: int = WINDOW, id_column
     or ``n_removed`` are replaced. An empty table gives none.
     """
     names = [c for c in documents.columns if c not in ("n_lines", "n_removed")]
-    starts = repeated_starts(documents, window, id_column, text_column)
-    starts = starts.select("_starts", F.col("_id").alias("_starts_id"), F.col("_text_key").alias("_starts_key"))
+    runs = repeated_runs(documents, window, words, id_column, text_column)
+    runs = runs.select("_runs", F.col("_id").alias("_runs_id"), F.col("_text_key").alias("_runs_key"))
     row, text = F.struct(*names), F.col(f"_row.{text_column}")
     keyed = documents.select(row.alias("_row"), *_key(id_column, text_column))
-    joined = keyed.join(starts, F.col("_id").eqNullSafe(F.col("_starts_id")) & (F.col("_text_key") == F.col("_starts_key")), "left")
-    kept = F.when(F.col("_starts").isNotNull(), _kept(text, F.col("_starts"), window))
+    joined = keyed.join(runs, F.col("_id").eqNullSafe(F.col("_runs_id")) & (F.col("_text_key") == F.col("_runs_key")), "left")
+    kept = F.when(F.col("_runs").isNotNull(), _kept(text, F.col("_runs")))
     n_lines = F.when(text.isNull(), F.lit(0)).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
     joined = joined.select("_row", kept.alias("_kept"), n_lines.cast("long").alias("n_lines"))
     columns = [F.coalesce("_kept.text", text).alias(c) if c == text_column else F.col(f"_row.{c}") for c in names]

@@ -255,6 +255,41 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", "text")
 
 
+@query(
+    r"""
+    WITH placed AS (
+      SELECT doc_id, i, parts[i] AS line
+      FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))
+    ), filled AS (
+      SELECT doc_id, i, trim(line, ' ') AS k, len(regexp_extract_all(line, '[^ \t-\r]+')) AS said,
+        row_number() OVER (PARTITION BY doc_id ORDER BY i) AS j
+      FROM placed WHERE trim(line, ' ') <> ''
+    ), ahead AS (
+      SELECT doc_id, j, k AS k1, lead(k, 1) OVER w AS k2, lead(k, 2) OVER w AS k3, said, said + lead(said, 1) OVER w AS said2
+      FROM filled WINDOW w AS (PARTITION BY doc_id ORDER BY j)
+    ), runs AS (
+      SELECT doc_id, j, [k1] AS k FROM ahead WHERE said >= 25
+      UNION ALL SELECT doc_id, j, [k1, k2] FROM ahead WHERE said2 >= 25
+      UNION ALL SELECT doc_id, j, [k1, k2, k3] FROM ahead WHERE k3 IS NOT NULL
+    ), ranked AS (
+      SELECT doc_id, j, len(k) AS size, row_number() OVER (PARTITION BY k ORDER BY doc_id, j) AS n FROM runs
+    ), gone AS (
+      SELECT doc_id, i FROM filled JOIN (SELECT DISTINCT doc_id, j + unnest(range(size)) AS j FROM ranked WHERE n > 1) USING (doc_id, j)
+    ), kept AS (
+      SELECT p.doc_id, count(*) AS n_lines, count(g.i) AS n_removed,
+        coalesce(string_agg(line, chr(10) ORDER BY p.i) FILTER (WHERE g.i IS NULL), '') AS text
+      FROM placed p LEFT JOIN gone g USING (doc_id, i) GROUP BY p.doc_id
+    )
+    SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, kept.text
+    FROM documents d LEFT JOIN kept USING (doc_id)
+    """
+)
+def op9_line_dedup_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As the pipeline does it: runs of one or two lines count too if they have 25 words."""
+    found = lines.without_repeated_lines(table(spark, sf_dir, "documents"), words=lines.WORDS)
+    return found.select("doc_id", "n_lines", "n_removed", "text")
+
+
 @query()
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")

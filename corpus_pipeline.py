@@ -21,8 +21,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later runs of repeated lines go; every document stays, if as an empty text."""
-    found = lines.without_repeated_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+    """Later runs of repeated lines go, of three lines or 25 words; every document stays, if as an empty text."""
+    found = lines.without_repeated_lines(docs, words=lines.WORDS).withColumn("n_chars", F.length("text").cast("long"))
     return found.select(*docs.columns)
 
 

@@ -7,6 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from abacist.llm import components, lines, simhash, spans, suffixes
 
 DOCS = "doc_id long, text string"
@@ -130,6 +131,45 @@ def test_repeated_lines(spark, window):
     assert sum(r.n_removed for r in found) > 50
 
 
+def brute_lines_and_words(docs, window, words):
+    seen, found = set(), {}
+    for doc, text in sorted(docs):
+        parts = text.split("\n")
+        filled = [i for i, line in enumerate(parts) if line.strip(" ")]
+        gone = set()
+        for at in range(len(filled)):
+            for size in range(1, min(window, len(filled) - at) + 1):
+                key = tuple(parts[i].strip(" ") for i in filled[at : at + size])
+                if size < window and sum(len(line.split()) for line in key) < words:
+                    continue
+                if key in seen:
+                    gone |= set(filled[at : at + size])
+                seen.add(key)
+        found[doc] = (len(parts), len(gone), "\n".join(p for i, p in enumerate(parts) if i not in gone))
+    return found
+
+
+@pytest.mark.parametrize("window,words", [(3, 25), (3, 12), (4, 14), (2, 8)])
+def test_repeated_lines_of_many_words(spark, window, words):
+    docs = corpus(11)
+    found = lines.without_repeated_lines(frame(spark, docs), window, words=words).collect()
+    wanted = brute_lines_and_words(docs, window, words)
+    assert {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in found} == wanted
+    assert sum(n for _, n, _ in wanted.values()) >= sum(n for _, n, _ in brute_lines(docs, window).values())
+
+
+def test_one_long_line(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, f"a\n{long}\nb"), (2, f"c\n {long}\nd"), (3, f"{long}\nshort\nc"), (4, f"{long}\nshort\ne"), (5, "short\nc")]
+    result = lines.without_repeated_lines(frame(spark, rows), words=lines.WORDS)
+    found = {r.doc_id: (r.text, r.n_removed) for r in result.collect()}
+    assert found == {1: (rows[0][1], 0), 2: ("c\nd", 1), 3: ("short\nc", 1), 4: ("e", 2), 5: ("short\nc", 0)}
+    staged = corpus_pipeline.drop_repeated_lines(spark, frame(spark, rows).withColumn("n_chars", F.lit(0).cast("long")), "")
+    assert {r.doc_id: (r.text, r.n_chars) for r in staged.collect()} == {i: (text, len(text)) for i, (text, _) in found.items()}
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 def test_repeated_lines_odd_rows(spark):
     text = "a\n b\n\nc"
     rows = [(1, None), (2, ""), (3, text), (3, text), (4, "x\na\nb\nc\ny"), (None, text)]
