@@ -3,10 +3,11 @@
 What a text holds of these kinds is validated and replaced within its format by
 a keyed permutation (a Feistel network with SHA-256 rounds), so equal values get
 equal pseudonyms in every document and different values different ones. Cards
-keep a valid check digit, telephone and social security numbers stay valid
-numbers, dates stay dates, IPv4 addresses stay addresses, and the local part of
-an e-mail address keeps its letters and digits in their places. A permutation
-may map a value to itself; for short local parts that happens now and then.
+keep a valid check digit, social security numbers stay valid numbers and
+telephone numbers keep their layout (a usual area code and exchange stay usual),
+dates stay dates, IPv4 addresses stay addresses, and the local part of an e-mail
+address keeps its letters and digits in their places. A permutation may map a
+value to itself; for short local parts that happens now and then.
 """
 
 from __future__ import annotations
@@ -23,7 +24,10 @@ ADDRESS = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)"
 YEAR_FIRST = r"(?<!\d)\d{4}([-/.])\d{2}\1\d{2}(?!\d)"
 YEAR_LAST = r"(?<!\d)\d{1,2}(?:/\d{1,2}/|\.\d{1,2}\.)\d{4}(?!\d)"
 SOCIAL = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-PHONE = r"(?<![\w])(?:\+?1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .-])[2-9]\d{2}[ .-]\d{4}(?!\d)"
+MARKED_PHONE = r"(?<!\w)(?:\+1[ .-]?(?:\(\d{3}\) ?|\d{3}[ .-])|(?:1[ .-]?)?\(\d{3}\) ?)\d{3}[ .-]\d{4}(?!\d)"
+PLAIN_PHONE = r"(?<!\w)(?:1[ .-]?)?[2-9]\d{2}[ .-][2-9]\d{2}[ .-]\d{4}(?!\d)"
+PHONE = f"{MARKED_PHONE}|{PLAIN_PHONE}"
+"""Ten digits of any kind if parentheses or +1 mark them, else only as area codes and exchanges are given out."""
 CARD = r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?!\d)"
 KINDS = (EMAIL, ADDRESS, YEAR_FIRST.replace("([-/.])", "[-/.]").replace(r"\1", "[-/.]"), YEAR_LAST, SOCIAL, PHONE, CARD)
 ANY = "|".join(f"(?:{kind})" for kind in KINDS)
@@ -126,18 +130,28 @@ def _card(key: str, text: Column) -> Column:
 
 
 def _phone(key: str, text: Column) -> Column:
+    """Two permutations that share the ten digits: numbers that are told without marks, and all others."""
+
     def of(digits: Column) -> Column:
         ahead = F.substr(digits, F.lit(1), F.length(digits) - 10)
         core = F.substr(digits, F.length(digits) - 9)
-        value = ((_number(core, 1, 3) - 200) * 800 + _number(core, 4, 3) - 200) * 10_000 + _number(core, 7, 4)
+        area, exchange, line = _number(core, 1, 3), _number(core, 4, 3), _number(core, 7, 4)
+        value = ((area - 200) * 800 + exchange - 200) * 10_000 + line
+        odd = F.when(area < 200, area * 1_000 + exchange).otherwise(200_000 + (area - 200) * 200 + exchange)
 
-        def told(pair: Column) -> Column:
+        def usual(pair: Column) -> Column:
             new = pair["left"] * 80_000 + pair["right"]
-            area, rest = F.floor(new / 8_000_000) + 200, new % 8_000_000
-            parts = (area, F.floor(rest / 10_000) + 200, F.lpad((rest % 10_000).cast("string"), 4, "0"))
-            return F.concat(ahead, *[part.cast("string") for part in parts])
+            rest = new % 8_000_000
+            return F.concat(_padded(F.floor(new / 8_000_000) + 200, 3), _padded(F.floor(rest / 10_000) + 200, 3), _padded(rest % 10_000, 4))
+
+        def unusual(pair: Column) -> Column:
+            more = pair["left"] - 200_000
+            late = F.concat(_padded(F.floor(more / 200) + 200, 3), _padded(more % 200, 3))
+            return F.concat(F.when(more < 0, _padded(pair["left"], 6)).otherwise(late), _padded(pair["right"], 4))
 
-        return bound(permuted(key, "phone", F.floor(value / 80_000), value % 80_000, (80_000, 80_000)), lambda pair: _refilled(text, told(pair)))
+        told = F.when((area >= 200) & (exchange >= 200), bound(permuted(key, "phone", F.floor(value / 80_000), value % 80_000, (80_000, 80_000)), usual))
+        told = told.otherwise(bound(permuted(key, "odd phone", odd, line, (360_000, 10_000)), unusual))
+        return bound(told, lambda new: _refilled(text, F.concat(ahead, new)))
 
     return bound(_digits(text), of)
 

@@ -137,6 +137,24 @@ def test_pseudonyms(spark):
     assert pseudonyms.pseudonymised(table.limit(0), "key").count() == 0
 
 
+def test_pseudonyms_of_any_area_code(spark):
+    numbers = ["0175557713", "1325551352", "7840555812", "0000000000", "1999999999", "9991999999", "2000000000", "7845558120", "9999999999"]
+    texts = [f"+1 ({n[:3]}) {n[3:6]}-{n[6:]}, ({n[:3]}) {n[3:6]}-{n[6:]} or +1 {n[:3]}-{n[3:6]}-{n[6:]}." for n in numbers]
+    texts += ["017-555-7713 and 1 132 555 1352 are not marked", "784-555-8120 and +1 784.555.8120"]
+    found = {r.doc_id: r for r in pseudonyms.pseudonymised(spark.createDataFrame(list(enumerate(texts)), DOCS), "key").collect()}
+    new = {}
+    for i, number in enumerate(numbers):
+        told = re.fullmatch(r"\+1 \((\d{3})\) (\d{3})-(\d{4}), \((\d{3})\) (\d{3})-(\d{4}) or \+1 (\d{3})-(\d{3})-(\d{4})\.", found[i].text).groups()
+        assert (found[i].n_found, found[i].n_replaced) == (3, 3) and told[:3] == told[3:6] == told[6:]
+        new[number] = "".join(told[:3])
+        assert new[number] != number
+        assert (min(new[number][0], new[number][3]) >= "2") == (min(number[0], number[3]) >= "2")
+    assert len(set(new.values())) == len(numbers)
+    assert found[len(numbers)].n_found == 0
+    plain = new["7845558120"]
+    assert found[len(numbers) + 1].text == f"{plain[:3]}-{plain[3:6]}-{plain[6:]} and +1 {plain[:3]}.{plain[3:6]}.{plain[6:]}"
+
+
 def test_permutations_are_one_to_one(spark):
     pairs = spark.range(12 * 7).select((F.col("id") / 7).cast("long").alias("l"), (F.col("id") % 7).alias("r"))
     found = pairs.select(pseudonyms.permuted("k", "t", F.col("l"), F.col("r"), (12, 7)).alias("p")).collect()
