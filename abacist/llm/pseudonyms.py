@@ -19,6 +19,9 @@ from abacist.llm.lines import bound
 
 ROUNDS = 8
 
+CARD_DIGITS = (13, 19)
+BLOCK = 64
+
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+)+"
 ADDRESS = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)"
 YEAR_FIRST = r"(?<!\d)\d{4}([-/.])\d{2}\1\d{2}(?!\d)"
@@ -28,8 +31,10 @@ MARKED_PHONE = r"(?<!\w)(?:\+1[ .-]?(?:\(\d{3}\) ?|\d{3}[ .-])|(?:1[ .-]?)?\(\d{
 PLAIN_PHONE = r"(?<!\w)(?:1[ .-]?)?[2-9]\d{2}[ .-][2-9]\d{2}[ .-]\d{4}(?!\d)"
 PHONE = f"{MARKED_PHONE}|{PLAIN_PHONE}"
 """Ten digits of any kind if parentheses or +1 mark them, else only as area codes and exchanges are given out."""
-CARD = r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?!\d)"
-KINDS = (EMAIL, ADDRESS, YEAR_FIRST.replace("([-/.])", "[-/.]").replace(r"\1", "[-/.]"), YEAR_LAST, SOCIAL, PHONE, CARD)
+CARD = r"(?<![\d.-])\d(?:[ -]?\d){12,}+"
+"""Digits among which a card may stand, beside other numbers."""
+
+KINDS = (EMAIL, ADDRESS, YEAR_FIRST.replace("([-/.])", "[-/.]").replace(r"\1", "[-/.]"), YEAR_LAST, SOCIAL, PHONE)
 ANY = "|".join(f"(?:{kind})" for kind in KINDS)
 
 FIRST_DAY, DAYS = "1600-01-01", (378, 773)
@@ -120,15 +125,90 @@ def _check_digit(payload: Column) -> Column:
     return ((10 - F.aggregate(worths, F.lit(0), lambda total, x: total + x) % 10) % 10).cast("string")
 
 
+def _valid(digits: Column) -> Column:
+    return _check_digit(F.substr(digits, F.lit(1), F.length(digits) - 1)) == F.substr(digits, F.length(digits))
+
+
 def _card(key: str, text: Column) -> Column:
     def of(digits: Column) -> Column:
         payload = F.substr(digits, F.lit(1), F.length(digits) - 1)
-        valid = _check_digit(payload) == F.substr(digits, F.length(digits))
-        return F.when(valid, bound(permuted_text(key, "card", payload), lambda new: _refilled(text, F.concat(new, _check_digit(new)))))
+        return bound(permuted_text(key, "card", payload), lambda new: _refilled(text, F.concat(new, _check_digit(new))))
 
     return bound(_digits(text), of)
 
 
+def _chosen_cards(pieces: Column) -> Column:
+    """First piece and number of pieces of the valid cards, the longest first where they overlap.
+
+    "First" is within a block of starts, so that a card need only be compared with those chosen
+    in its block and the one before it, however long the run of digits is.
+    """
+
+    def begun(i: Column) -> Column:
+        def sized(count: Column) -> Column:
+            digits = _digits(F.array_join(F.slice(pieces, i + 1, count), ""))
+            return F.struct(F.floor(i / BLOCK).alias("block"), (-F.length(digits)).alias("less"), i.alias("start"), count.alias("size"), digits.alias("digits"))
+
+        sizes = F.sequence(F.lit(1), F.least(F.lit(CARD_DIGITS[1]), F.size(pieces) - i))
+        return F.filter(F.transform(sizes, sized), lambda c: c["less"].between(-CARD_DIGITS[1], -CARD_DIGITS[0]) & _valid(c["digits"]))
+
+    def placed(c: Column) -> Column:
+        return F.struct(c["start"].alias("start"), c["size"].alias("size"))
+
+    def taken(chosen: Column, c: Column) -> Column:
+        near = F.slice(chosen, -F.least(F.size(chosen), F.lit(2 * BLOCK)), F.lit(2 * BLOCK))
+        near = F.when(F.size(chosen) > 0, near).otherwise(chosen)
+        meets = F.exists(near, lambda o: (o["start"] < c["start"] + c["size"]) & (c["start"] < o["start"] + o["size"]))
+        return F.when(meets, chosen).otherwise(F.concat(chosen, F.array(placed(c))))
+
+    found = F.array_sort(F.flatten(F.transform(F.sequence(F.lit(0), F.size(pieces) - 1), begun)))
+    return F.array_sort(F.aggregate(found, F.array().cast("array<struct<start:int,size:int>>"), taken))
+
+
+def _cards(key: str, run: Column) -> Column:
+    """``text, n_found, n_replaced`` of a run of digits; one without a valid card counts as one found."""
+
+    def of(pieces: Column) -> Column:
+        def renamed(c: Column) -> Column:
+            old = F.array_join(F.slice(pieces, c["start"] + 1, c["size"]), "")
+            return F.struct(c["start"].alias("start"), c["size"].alias("size"), old.alias("old"), _card(key, old).alias("new"))
+
+        def joined(cards: Column) -> Column:
+            def upto(i: Column) -> Column:
+                return F.when(i == 0, 0).otherwise(F.get(cards, i - 1)["start"] + F.get(cards, i - 1)["size"])
+
+            def ahead(c: Column, i: Column) -> Column:
+                return F.concat(F.array_join(F.slice(pieces, upto(i) + 1, c["start"] - upto(i)), ""), c["new"])
+
+            rest = F.array_join(F.slice(pieces, upto(F.size(cards)) + 1, F.size(pieces)), "")
+            told = F.concat(F.array_join(F.transform(cards, ahead), ""), rest)
+            changed = F.size(F.filter(cards, lambda c: c["old"] != c["new"]))
+            return F.struct(told.alias("text"), F.greatest(F.size(cards), F.lit(1)).alias("n_found"), changed.alias("n_replaced"))
+
+        return bound(F.transform(_chosen_cards(pieces), renamed), joined)
+
+    return bound(F.regexp_extract_all(run, F.lit("[0-9]+[ -]?"), 0), of)
+
+
+def _without_cards(key: str, text: Column) -> Column:
+    """``text, n_found, n_replaced`` of what lies between the other kinds."""
+
+    def of(runs: Column) -> Column:
+        def joined(new: Column) -> Column:
+            gaps = F.split(text, CARD, -1)
+            told = F.array_join(F.zip_with(gaps, new["text"], lambda gap, value: F.concat(gap, F.coalesce(value, F.lit("")))), "")
+            return F.struct(told.alias("text"), *[_total(new[c]).alias(c) for c in ("n_found", "n_replaced")])
+
+        none = F.struct(text.alias("text"), F.lit(0).alias("n_found"), F.lit(0).alias("n_replaced"))
+        return F.when(F.size(runs) > 0, bound(F.transform(runs, lambda run: _cards(key, run)), joined)).otherwise(none)
+
+    return bound(F.regexp_extract_all(text, F.lit(CARD), 0), of)
+
+
+def _total(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda a, b: a + b)
+
+
 def _phone(key: str, text: Column) -> Column:
     """Two permutations that share the ten digits: numbers that are told without marks, and all others."""
 
@@ -211,7 +291,7 @@ def _same_width(value: Column, like: Column) -> Column:
 
 
 def pseudonym(found: Column, key: str) -> Column:
-    """What replaces a match; itself if its number or date is not valid."""
+    """What replaces a match of ``ANY``; itself if its number or date is not valid."""
 
     def slashes(day: Column, parts: Column) -> Column:
         return F.concat_ws("/", _same_width(F.month(day), parts[0]), _same_width(F.dayofmonth(day), parts[1]), F.year(day).cast("string"))
@@ -230,7 +310,6 @@ def pseudonym(found: Column, key: str) -> Column:
         .when(F.rlike(found, F.lit(r"^\d{1,2}\.\d{1,2}\.\d{4}$")), _date(key, found, (2, 1, 0), dots))
         .when(F.rlike(found, F.lit(_whole(SOCIAL))), _social(key, found))
         .when(F.rlike(found, F.lit(_whole(PHONE))), _phone(key, found))
-        .when(F.rlike(found, F.lit(_whole(CARD))), _card(key, found))
     )
     return F.coalesce(new, found)
 
@@ -239,7 +318,8 @@ def pseudonymised(documents: DataFrame, key: str, text_column: str = "text") ->
     """All rows and columns, the text with pseudonyms, plus ``n_found, n_replaced``.
 
     ``n_found`` counts what looks like a personal value, ``n_replaced`` what was
-    valid and changed. Dates are y-m-d, m/d/y or d.m.y. Null texts stay null with
+    valid and changed. A card is 13 to 19 digits that begin and end at a space, a
+    hyphen or the end of a run of digits. Dates are y-m-d, m/d/y or d.m.y. Null texts stay null with
     0; empty ones stay empty; repeated rows stay repeated. Columns of those names
     are replaced. The key is part of the query plan, so keep plans as safe as it.
     """
@@ -248,13 +328,15 @@ def pseudonymised(documents: DataFrame, key: str, text_column: str = "text") ->
     text = F.col(f"_row.{text_column}")
 
     def of(found: Column) -> Column:
-        def joined(new: Column) -> Column:
-            gaps = F.split(text, ANY, -1)
-            told = F.array_join(F.zip_with(gaps, new, lambda gap, value: F.concat(gap, F.coalesce(value, F.lit("")))), "")
-            changed = F.size(F.filter(F.zip_with(found, new, lambda a, b: a != b), lambda x: x))
-            return F.struct(told.alias("text"), F.size(found).cast("long").alias("n_found"), changed.cast("long").alias("n_replaced"))
-
-        return F.when(F.size(found) > 0, bound(F.transform(found, lambda value: pseudonym(value, key)), joined))
+        def joined(new: Column, gaps: Column) -> Column:
+            told = F.array_join(F.zip_with(gaps["text"], new, lambda gap, value: F.concat(gap, F.coalesce(value, F.lit("")))), "")
+            changed = F.size(F.filter(F.zip_with(found, new, lambda a, b: a != b), lambda x: x)) + _total(gaps["n_replaced"])
+            n_found = F.size(found) + _total(gaps["n_found"])
+            return F.struct(told.alias("text"), n_found.cast("long").alias("n_found"), changed.cast("long").alias("n_replaced"))
+
+        gaps = F.transform(F.split(text, ANY, -1), lambda gap: _without_cards(key, gap))
+        new = F.transform(found, lambda value: pseudonym(value, key))
+        return F.when(text.isNotNull(), bound(gaps, lambda gaps: bound(new, lambda new: joined(new, gaps))))
 
     held = documents.select(F.struct(*names).alias("_row")).withColumn("_new", bound(F.regexp_extract_all(text, F.lit(ANY), 0), of))
     columns = [F.coalesce("_new.text", text).alias(c) if c == text_column else F.col(f"_row.{c}") for c in names]

@@ -155,6 +155,28 @@ def test_pseudonyms_of_any_area_code(spark):
     assert found[len(numbers) + 1].text == f"{plain[:3]}-{plain[3:6]}-{plain[6:]} and +1 {plain[:3]}.{plain[3:6]}.{plain[6:]}"
 
 
+def test_cards_beside_other_numbers(spark):
+    card, other = "4111 1111 1111 1111", "5500-0000-0000-0004"
+    texts = [
+        f"{card} 123", "4111111111111111 12/27", "pay 2 4111111111111111", f"1234567 {card} 123 456", f"{card} {other}",
+        f"{card} 784-555-8120", "5 2024-01-02 2024-01-03 2024-01-04", "4111 1111 1111 1112 x", card, "1 " * 3_000 + card, None,
+    ]
+    result = pseudonyms.pseudonymised(spark.createDataFrame(list(enumerate(texts)), DOCS), "key")
+    assert native(result)
+    found = {r.doc_id: r for r in result.collect()}
+    new = found[8].text
+    assert re.fullmatch(r"(\d{4} ){3}\d{4}", new) and new != card
+    joined = new.replace(" ", "")
+    assert [found[i].text for i in range(3)] == [f"{new} 123", f"{joined} 12/27", f"pay 2 {joined}"]
+    assert found[3].text == f"1234567 {new} 123 456"
+    assert found[4].text.startswith(f"{new} ") and other not in found[4].text and found[4].n_replaced == 2
+    assert found[5].text.startswith(f"{new} ") and "784-555-8120" not in found[5].text and found[5].n_replaced == 2
+    assert found[6].text.startswith("5 ") and "2024" not in found[6].text and found[6].n_replaced == 3
+    assert (found[7].text, found[7].n_found, found[7].n_replaced) == (texts[7], 1, 0)
+    assert card not in found[9].text and len(found[9].text) == len(texts[9])
+    assert found[10].text is None and [found[i].n_found for i in (0, 1, 2, 3, 8, 10)] == [1, 1, 1, 1, 1, 0]
+
+
 def test_permutations_are_one_to_one(spark):
     pairs = spark.range(12 * 7).select((F.col("id") / 7).cast("long").alias("l"), (F.col("id") % 7).alias("r"))
     found = pairs.select(pseudonyms.permuted("k", "t", F.col("l"), F.col("r"), (12, 7)).alias("p")).collect()
