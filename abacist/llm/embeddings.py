@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from abacist.llm.components import components, saved
-from abacist.llm.hnsw import Graph
+from abacist.llm.hnsw import AUDIT, Graph
 
 COSINE = 0.9
 SHARD_VECTORS = 200_000
@@ -36,9 +36,12 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def _graphs(cosine: float):
-    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        table = table.sort_by("first")
-        graph = Graph(table.column("first").to_numpy(), _matrix(table.column("embedding")), cosine)
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table, sample: pa.Table) -> pa.Table:
+        if not len(table):
+            return pa.table([pa.array([], k) for k in (pa.int32(), pa.int32(), pa.binary(), pa.binary())], ["size", "shard", "graph", "weights"])
+        table, sample = table.sort_by("first"), sample.sort_by("first")
+        asked = (sample.column("first").to_numpy(), _matrix(sample.column("embedding"))) if len(sample) else None
+        graph = Graph(table.column("first").to_numpy(), _matrix(table.column("embedding")), cosine, asked)
         copies = dict(zip(table.column("first").to_pylist(), table.column("copies").to_pylist()))
         weights = np.array([copies[i] for i in graph.ids.tolist()], np.int64)
         return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([key[1].as_py()], pa.int32()), pa.array([graph.to_bytes()], pa.binary()), pa.array([weights.tobytes()], pa.binary())], ["size", "shard", "graph", "weights"])
@@ -90,17 +93,20 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, shard_vectors: int
 
     Vectors of equal length whose cosine in double precision reaches ``cosine``
     are linked as far as the graphs find them (each graph audits its recall when
-    it is built); none below is. Equal vectors are searched once and all linked.
+    it is built, on vectors of its own and about 1,024 of the whole table); none below is. Equal vectors are searched once and all linked.
     A null, empty or zero vector, one with a null or non-finite component, or one
     without an id links with nothing and is its own component. Rows that share an
     id but differ share their links. Other columns are ignored.
     """
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
     distinct = saved(_distinct(rows).withColumn("size", F.size("embedding")))
-    count = max(shards, -(-distinct.count() // shard_vectors))
+    total = distinct.count()
+    count = max(shards, -(-total // shard_vectors))
     placed = distinct.withColumn("shard", F.pmod(F.xxhash64("first"), F.lit(count)).cast("int"))
-    graphs = saved(placed.groupBy("size", "shard").applyInArrow(_graphs(cosine), "size int, shard int, graph binary, weights binary"))
     every = F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    sample = distinct.where(F.pmod(F.xxhash64("first", F.lit("audit")), F.lit(max(total, 1))) < AUDIT).select("size", "embedding", "first", every.alias("shard"))
+    dealt = placed.groupBy("size", "shard").cogroup(sample.groupBy("size", "shard"))
+    graphs = saved(dealt.applyInArrow(_graphs(cosine), "size int, shard int, graph binary, weights binary"))
     asked = placed.select("size", "embedding", "first", F.col("shard").alias("block"), every.alias("shard"))
     served = graphs.select("*", every.alias("block"))
     keys = ("size", "shard", "block")

@@ -19,10 +19,13 @@ SMALL = 64
 """Nodes that a layer links by comparing all."""
 
 AUDIT = 1024
-"""Vectors of a shard whose true links are compared with those found."""
+"""Vectors of a shard, and about as many of all shards, whose true neighbours are compared with those found."""
+
+NEAREST = 10
+"""Neighbours that every one of these vectors has, near or not."""
 
 RECALL = 0.98
-"""Share of true links that the audit wants found."""
+"""Share of true neighbours, and of true links, that the audit wants found."""
 
 
 def _levels(ids: np.ndarray) -> np.ndarray:
@@ -181,7 +184,8 @@ class Layer:
 class Graph:
     """All layers over unit vectors, and the beam width that its audit asked for."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, threshold: float) -> None:
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, threshold: float, asked: tuple[np.ndarray, np.ndarray] | None = None) -> None:
+        """``asked``: ids and vectors from all shards that the audit asks for, besides those of its own."""
         level = _levels(ids)
         order = np.lexsort((ids, -level))  # higher nodes first, so every layer is a prefix
         self.ids, self.exact, level = ids[order], vectors[order], level[order]
@@ -189,7 +193,7 @@ class Graph:
         for number in range(len(self.layers) - 1, -1, -1):
             self.layers[number].build(lambda queries, done, above=number + 1: np.minimum(self._entries(queries, above), done - 1))
         self.beam = FIRST_BEAM
-        self._audit(threshold)
+        self._audit(threshold, asked)
 
     def _arrange(self, sizes: list[int]) -> None:
         vectors = np.vstack((self.exact, np.zeros((1, self.exact.shape[1])))).astype(np.float32)  # -1 is the last row
@@ -238,16 +242,36 @@ class Graph:
                 left, width = left[~done], width * 2
         return np.concatenate(rows), np.concatenate(nodes)
 
-    def _audit(self, threshold: float) -> None:
-        """Widen the beam until enough true links of a sample of nodes are found, apart from each node itself."""
+    def _near_recall(self, ids: np.ndarray, queries: np.ndarray) -> float:
+        """Share of the nearest nodes of these vectors that a beam finds, apart from each vector itself."""
+        wanted = right = 0
+        for at in range(0, len(ids), QUERIES):
+            own, asked = ids[at : at + QUERIES, None], queries[at : at + QUERIES]
+            exact = np.where(self.ids[None, :] == own, -np.inf, asked @ self.exact.T)
+            count = min(NEAREST, len(self.ids) - 1)
+            least = -np.partition(-exact, count - 1, axis=1)[:, count - 1] - 1e-9
+            single = asked.astype(np.float32)
+            found, near = self.layers[0].search(single, self._entries(single, 1), self.beam)
+            reached = np.where(np.isfinite(near), np.take_along_axis(exact, np.maximum(found, 0).astype(np.int64), 1), -np.inf)
+            right += int(np.minimum((reached >= least[:, None]).sum(1), count).sum())
+            wanted += count * len(asked)
+        return right / wanted
+
+    def _audit(self, threshold: float, asked: tuple[np.ndarray, np.ndarray] | None) -> None:
+        """Widen the beam until enough of the nearest nodes of a sample, which every vector has, and of its true links are found."""
         sample = np.argsort((self.ids.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)), kind="stable")[:AUDIT]
-        row, node = self._scan(self.exact[sample], threshold)
-        own = sample[row] == node
-        wanted = set(zip(row[~own].tolist(), node[~own].tolist()))
+        groups = [(self.ids[sample], self.exact[sample])]  # judged apart: a graph finds its own nodes more easily
+        if asked is not None and len(asked[0]):
+            groups.append(asked)
+        ids, queries = (np.concatenate(part) for part in zip(*groups))
+        row, node = self._scan(queries, threshold)
+        other = ids[row] != self.ids[node]
+        wanted = set(zip(row[other].tolist(), node[other].tolist()))
         while self.beam * self.layers[0].links < len(self.ids):
-            found = set(zip(*(x.tolist() for x in self.within(self.exact[sample], threshold))))
-            if len(wanted & found) >= RECALL * len(wanted):
-                break
+            if all(self._near_recall(*group) >= RECALL for group in groups):
+                found = set(zip(*(x.tolist() for x in self.within(queries, threshold))))
+                if len(wanted & found) >= RECALL * len(wanted):
+                    break
             self.beam *= 2
 
     def to_bytes(self) -> bytes:

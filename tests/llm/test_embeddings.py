@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from abacist.llm import embeddings
-from abacist.llm.hnsw import Graph
+from abacist.llm.hnsw import FIRST_BEAM, RECALL, Graph
 
 VECTORS = "vec_id long, embedding array<float>"
 
@@ -30,6 +30,24 @@ def test_graph_recall():
     assert len(found) >= 0.95 * len(wanted)
 
 
+def test_audit_without_links():
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(5000, 32))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    alone, more = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in rng.normal(size=(2, 1000, 32)))
+    graph = Graph(np.arange(5000), vectors, 0.9, (np.arange(9000, 10000), alone))
+    assert (vectors @ vectors.T >= 0.9).sum() == 5000
+    queries = vectors[:1000] + rng.normal(size=(1000, 32)) * 0.06  # pairs: the other one is in another shard
+    queries /= np.linalg.norm(queries, axis=1, keepdims=True)
+    at, node = graph.within(queries, 0.9)
+    found, wanted = set(zip(at.tolist(), graph.ids[node].tolist())), set(zip(*(x.tolist() for x in np.nonzero(queries @ vectors.T >= 0.9))))
+    assert len(wanted) > 500 and found <= wanted and len(found) >= 0.98 * len(wanted)
+    before, graph.beam = graph.beam, FIRST_BEAM
+    assert graph._near_recall(np.full(1000, -1), more) < RECALL
+    graph.beam = before
+    assert graph._near_recall(np.full(1000, -1), more) >= RECALL - 0.01 and before > FIRST_BEAM
+
+
 def test_near_vectors(spark):
     vectors = clustered(2)
     rows = [(i, vectors[i].tolist()) for i in range(len(vectors))]
