@@ -2,9 +2,9 @@
 
 Every window of three lines selects the smallest of its line hashes, so a run of
 three or more lines that occurs twice has a selected line in common. Selected
-lines that occur once rule out all their windows; where positions do join, the
-match is extended to both sides by comparing the windows around them. Windows
-that overlap form the repeated run.
+lines that occur once rule out all their windows. Of the rest, every whole window
+is hashed and grouped; no match is extended. Windows that overlap form the
+repeated run.
 """
 
 from __future__ import annotations
