@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abacist.llm import bpe, chat, decontamination, embeddings, lines, pseudonyms, simhash, spans, suffixes, toxicity
+from abacist.llm import bpe, chat, decontamination, embeddings, lines, pseudonyms, simhash, spans, suffixes, toxicity, whitening
 
 TOKENIZER_FILE = "word_bpe_49k.json"
 
@@ -310,3 +310,9 @@ PSEUDONYM_KEY = "example key, to be replaced"
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pseudonyms.pseudonymised(documents, PSEUDONYM_KEY).select("doc_id", "n_found", "n_replaced", "text")
+
+
+@query()
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whitened_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
