@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abacist.llm import bpe, chat, decontamination, embeddings, lines, pseudonyms, simhash, spans, suffixes, toxicity, whitening
+from abacist.llm import bpe, chat, decontamination, embeddings, lines, periods, pseudonyms, simhash, spans, suffixes, toxicity, whitening
 
 TOKENIZER_FILE = "word_bpe_49k.json"
 
@@ -316,3 +316,35 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.whitened_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def with_repeats(documents: DataFrame) -> DataFrame:
+    """``doc_id, text``: every tenth document, by the checksum of its id, repeats a part of itself to its end."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    repeated = F.expr(
+        """array_join(transform(sequence(0, size(w) - 1), i -> w[int(if(i < a, i, a + (i - a) % p))]), ' ')"""
+    )
+    told = documents.select("doc_id", "text", checksum.alias("h"), F.floor(checksum / 10).alias("g"))
+    chosen = told.where((F.col("h") % 10 == 0) & F.col("text").isNotNull())
+    placed = chosen.select("doc_id", "g", words.alias("w")).where(F.size("w") > 0).withColumn("a", F.col("g") % F.size("w"))
+    placed = placed.withColumn("p", 1 + F.floor((F.size("w") - F.col("a")) / (3 + F.col("g") % 8)))
+    rest = told.where(~F.coalesce((F.col("h") % 10 == 0) & F.exists(F.array("text"), lambda t: t.rlike(r"[^\x20\x09-\x0D]")), F.lit(False)))
+    return placed.select("doc_id", repeated.alias("text")).union(rest.select("doc_id", "text"))
+
+
+@query()
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.periodic_runs(with_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    best = periods.longest("runs")
+    told = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.call_function("div", 1000 * best["length"], best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(told, ""), 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )
