@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abacist.llm import bpe, chat, decontamination, embeddings, lines, periods, pseudonyms, simhash, spans, suffixes, toxicity, whitening
+from abacist.llm import bpe, chat, credentials, decontamination, embeddings, lines, periods, pseudonyms, simhash, spans, suffixes, toxicity, whitening
 
 TOKENIZER_FILE = "word_bpe_49k.json"
 
@@ -348,3 +348,69 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(told, ""), 256).alias("runs_sha256"),
         F.sha2("text", 256).alias("collapsed_sha256"),
     )
+
+
+def _placed(number: int, kind: str, condition: str) -> str:
+    """SQL: places of a pattern's matches, from the pieces that marks around them leave."""
+    pattern = credentials.PATTERNS[kind].replace("'", "''")
+    return rf"""
+      SELECT doc_id, {number} AS k, '{kind}' AS kind, s, s + n AS e, scope FROM (
+        SELECT doc_id, place, strpos(piece, chr(2)) - 1 AS n, substr(piece, 1, strpos(piece, chr(2)) - 1) AS m, '{pattern}' AS p,
+          sum(length(piece) - 1) OVER (PARTITION BY doc_id ORDER BY place) - length(piece) + 2 AS s,
+          len(string_split(substr(text, 1, CAST(s AS BIGINT)), chr(10) || chr(10))) - 1 AS scope
+        FROM (SELECT doc_id, text, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS place
+              FROM (SELECT *, string_split(regexp_replace(text, '{pattern}', chr(1) || '\0' || chr(2), 'g'), chr(1)) AS pieces FROM texts))
+      ) WHERE place > 1 AND ({condition})"""
+
+
+def _near(kinds: str) -> str:
+    return f"""EXISTS (SELECT 1 FROM parts o WHERE o.doc_id = w.doc_id AND o.scope = w.scope AND o.kind IN ({kinds})
+        AND o.s <= w.e + {credentials.REACH} AND w.s <= o.e + {credentials.REACH})"""
+
+
+@query(
+    rf"""
+    WITH texts AS (
+      SELECT doc_id, replace(replace(coalesce(text, ''), chr(1), chr(3)), chr(2), chr(3)) AS text FROM documents
+    ), base AS MATERIALIZED (
+      {_placed(0, "assign", "length(regexp_extract(m, p, 1)) >= 6")}
+      UNION ALL {_placed(1, "access", "n >= 20")}
+      UNION ALL {_placed(2, "hex", "n >= 24")}
+    ), weak AS MATERIALIZED (
+      SELECT * FROM (
+        {_placed(3, "identifier", "length(regexp_extract(m, p, 1)) >= 3")}
+        UNION ALL {_placed(4, "secret", "if(regexp_matches(m, '[:=]'), length(regexp_extract(m, p, 1)) >= 6, regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[0-9]'))")}
+        UNION ALL {_placed(5, "endpoint", "length(regexp_extract(m, p, 1)) >= 4 OR regexp_matches(m, '^[Hh][Tt][Tt][Pp]')")}
+      ) w WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = w.doc_id AND b.s < w.e AND w.s < b.e)
+    ), parts AS MATERIALIZED (
+      SELECT * FROM base UNION ALL SELECT * FROM weak
+    ), linked AS (
+      SELECT * FROM weak w
+      WHERE (kind = 'secret' OR {_near("'assign', 'hex', 'secret'")}) AND (kind = 'identifier' OR {_near("'access', 'identifier'")})
+    ), told AS (
+      SELECT doc_id, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) AS spans FROM (SELECT * FROM base UNION ALL SELECT * FROM linked) GROUP BY doc_id
+    ), counted AS (
+      SELECT doc_id, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access, count(*) FILTER (WHERE k = 2) AS n_hex,
+        string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) AS spans
+      FROM base GROUP BY doc_id
+    )
+    SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+      sha256(coalesce(counted.spans, '')) AS base_sha256, coalesce(told.spans, '') AS spans
+    FROM documents d LEFT JOIN counted USING (doc_id) LEFT JOIN told USING (doc_id)
+    """
+)
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = credentials.secret_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(kind: str) -> Column:
+        number = credentials.KINDS.index(kind)
+        return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        count("assign"),
+        count("access"),
+        count("hex"),
+        F.sha2(credentials.told("base"), 256).alias("base_sha256"),
+        credentials.told("spans").alias("spans"),
+    )
