@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from abacist.constants import IGNORED_LABEL
 from abacist.functions.columns import ColumnLike, as_column
+from abacist.functions.workers import loaded
 
 Tokenizer = Callable[[Column], Column]
 
@@ -26,16 +28,16 @@ def code_points(text: ColumnLike) -> Column:
 def batch_tokenizer(load: Callable[[], Callable[[list[str]], list[list[int]]]]) -> Tokenizer:
     """A tokenizer column function around a user-supplied batch encoder.
 
-    ``load`` runs once per Python worker task and returns a function from a
-    list of texts to a list of id lists.
+    ``load`` runs once per Python worker and returns a function from a list of
+    texts to a list of id lists.
     """
+    name = uuid.uuid4().hex
 
     @F.pandas_udf("array<int>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = load()
         for texts in batches:
             filled = texts.fillna("").tolist()
-            yield pd.Series(list(encoder(filled)), index=texts.index)
+            yield pd.Series(list(loaded(name, load)(filled)), index=texts.index)
 
     return lambda text: encode(as_column(text))
 

@@ -25,6 +25,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(hadoop_path)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder, with those it lies in, unless it is there."""
+    file_system, hadoop_path = _hadoop_path(spark, path)
+    file_system.mkdirs(hadoop_path)
+
+
 def finished(spark: SparkSession, path: str) -> bool:
     """Whether a table was written to its end; a crashed write leaves no mark."""
     return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")

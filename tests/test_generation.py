@@ -1,5 +1,6 @@
 """Retries, rejects, restarts."""
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,21 +131,107 @@ def test_stream_goes_on_after_a_crash(spark):
 
 def test_a_batch_run_twice_overwrites_itself(spark):
     sink = shared_folder(spark, "twice")
-    rows = questions(spark, [1, 2])
+    rows = questions(spark, [1, 2]).withColumn("attempt", F.lit(0))
     for _ in range(2):
-        enrichment._write_batch(rows, sink, 7, loader(), NO_WAIT)
-    assert sorted(r.id for r in enrichment.enriched_pairs(spark, sink).collect()) == ["1", "2"]
+        enrichment._write_batch(rows, sink, 7, loader(refuse="q2"), NO_WAIT)
+    assert [r.id for r in enrichment.enriched_pairs(spark, sink).collect()] == ["1"]
+    [again] = spark.read.parquet(enrichment.reopened_path(sink)).collect()
+    assert (again.id, again.question, again.attempt) == ("2", "q2", 1)
 
 
-def test_failed_questions_can_be_retried(spark):
+def test_failed_questions_are_opened_again(spark):
     path = shared_folder(spark, "retry")
-    questions(spark, [1, 2]).write.parquet(f"{path}/in")
-    run_stream(spark, path, loader(refuse="q2"))
     sink = f"{path}/sink"
-    assert [r.id for r in enrichment.failed_questions(spark, sink).collect()] == ["2"]
-    enrichment.retry_failed(spark, sink, loader(), **NO_WAIT)
+    questions(spark, [1, 2]).write.parquet(f"{path}/in")
+    for _ in range(2):
+        run_stream(spark, path, loader(refuse="q2"))
+        [left] = enrichment.failed_questions(spark, sink).collect()
+        assert (left.id, left.error) == ("2", "ValueError: no")
+    questions(spark, [2, 3]).write.mode("append").parquet(f"{path}/in")
+    run_stream(spark, path, loader())
     assert enrichment.failed_questions(spark, sink).count() == 0
-    assert sorted(r.id for r in enrichment.enriched_pairs(spark, sink).collect()) == ["1", "2"]
+    run_stream(spark, path, loader())
+    assert sorted(r.id for r in enrichment.enriched_pairs(spark, sink).collect()) == ["1", "2", "3"]
+
+
+def test_a_start_reads_no_sink(spark):
+    path = shared_folder(spark, "state")
+    questions(spark, [1, 2]).write.parquet(f"{path}/in")
+    run_stream(spark, path, loader())
+    other = shared_folder(spark, "state")
+    questions(spark, [2, 3]).write.mode("append").parquet(f"{path}/in")
+    query = enrichment.enrich_new_questions(  # the sink of before is out of reach
+        spark, f"{path}/in", SCHEMA, f"{other}/sink", f"{path}/checkpoint", loader(), **NO_WAIT
+    )
+    query.awaitTermination()
+    assert [r.id for r in enrichment.enriched_pairs(spark, f"{other}/sink").collect()] == ["3"]
+
+
+def test_answers_are_handed_on_by_rows_and_by_time():
+    rows = pd.DataFrame({"n": range(10)})
+    times = iter([0.0, 1.0, 2.0, 40.0, 40.0, 41.0, 42.0, 42.0])
+    answers = ([(f"a{n}",), (f"a{n + 1}",)] for n in range(0, 10, 2))
+    frames = list(generation.flushed(rows, ["text"], answers, 4, 30.0, lambda: next(times)))
+    assert [len(f) for f in frames] == [4, 2, 4]  # by rows, by time, the rest
+    assert [(r.n, r.text) for f in frames for r in f.itertuples()] == [(n, f"a{n}") for n in range(10)]
+    single = ([(n,)] for n in range(10))
+    assert [len(f) for f in generation.flushed(rows, ["v"], single, 100, 30.0)] == [10]
+
+
+def test_calls_get_prompts_of_similar_length(spark):
+    def load():
+        return lambda prompts: [str(max(map(len, prompts)) - min(map(len, prompts))) for _ in prompts]
+
+    prompt = F.repeat(F.lit("x"), (F.col("id") * 37 % 100 + 1).cast("int"))
+    rows = spark.range(100).select("id", prompt.alias("prompt")).coalesce(1)
+    found = generation.batch_responses(rows, load, batch_size=10).collect()
+    assert len(found) == 100 and {r.response for r in found} == {"9"}
+
+
+def test_tasks_share_one_call_rate():
+    def waits(task):
+        now = [1000.0 + task / 7]
+        slots = generation.CallSlots(0.5, task, 4, lambda: now[0], lambda s: now.__setitem__(0, now[0] + s))
+        for _ in range(20):
+            slots.wait()
+            yield now[0]
+
+    times = sorted(t for task in range(4) for t in waits(task))
+    assert len(times) == 80 and all(b - a > 0.49 for a, b in zip(times, times[1:]))
+    late = [100.0]
+    slots = generation.CallSlots(1.0, 1, 2, lambda: late[0], lambda s: late.__setitem__(0, late[0] + s))
+    slots.wait()
+    late[0] += 50  # a slow call: no slots are saved up
+    begun = []
+    for _ in range(3):
+        slots.wait()
+        begun.append(late[0])
+    assert [b - a for a, b in zip(begun, begun[1:])] == [2.0, 2.0]
+
+
+def test_calls_a_second_over_four_tasks(spark, tmp_path):
+    marks = str(tmp_path)
+
+    def load():
+        import os
+        import time
+
+        def call(kind, request):
+            begun = time.time()
+            time.sleep(0.3)  # longer than the interval: several calls are open
+            with open(f"{marks}/{os.getpid()}", "a") as log:
+                log.write(f"{begun}\n")
+            return kind
+
+        return call
+
+    rows = generation.solution_requests(questions(spark, range(16)))
+    options = {"call_interval": 0.1, "retry_wait": 0.0, "max_tasks": 4, "open_calls": 4}
+    assert generation.generated_pairs(rows, load, **options).where("status = 'ok'").count() == 16
+    begun = sorted(float(line) for log in tmp_path.iterdir() for line in log.read_text().split())
+    assert len(begun) == 32 and len(list(tmp_path.iterdir())) > 1
+    for first, later in zip(begun, begun[10:]):
+        assert later - first > 0.85  # ten slots
 
 
 def test_models_load_once_and_never_for_nothing(spark, tmp_path):
