@@ -31,8 +31,8 @@ LEAST = 6
 TILE_WORDS = 512
 """Words between the first and the last boundary of a tile, if the octave's boundaries are nearer."""
 
-GRAM = 8
-"""Words that are compared, as one hash, to tell which boundaries may have a run."""
+SHORT = 8
+"""Periods below are looked for at all places, to tell which boundaries may have a run."""
 
 OUTPUT_BYTES = 8 << 20
 
@@ -71,67 +71,49 @@ class Words:
         return spaced[:-1].tobytes()
 
 
-def _grams(numbers: np.ndarray) -> list[np.ndarray]:
-    """Hashes of the 1, 2, 4 and 8 words from every place."""
-    found = [(numbers.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)]
-    width = 1
-    while width < GRAM and len(found[-1]) > width:
-        last = found[-1]
-        found.append(last[:-width] * np.uint64(0xC2B2AE3D27D4EB4F) + last[width:])
-        width *= 2
-    return found
-
+def _short(numbers: np.ndarray, low: int) -> np.ndarray:
+    """Which boundaries lie in a matching stretch of a run of a short period; all places are compared."""
+    count = len(numbers)
+    marks = np.zeros(count // (2 * low) + 2, np.int64)
+    for period in range(low, min(2 * low, count // EXPONENT + 1)):
+        same = numbers[:-period] == numbers[period:]
+        edges = np.flatnonzero(np.diff(same.view(np.int8), prepend=0, append=0))
+        starts, ends = edges[::2], edges[1::2]
+        long = ends - starts >= max(LEAST - period, (EXPONENT - 1) * period)
+        np.add.at(marks, -(-starts[long] // (2 * low)), 1)
+        np.add.at(marks, (ends[long] - 1) // (2 * low) + 1, -1)
+    return np.cumsum(marks) > 0
 
-class _Repeats:
-    """Where hashes that occur more than once stand."""
 
-    def __init__(self, hashes: np.ndarray) -> None:
-        order = np.argsort(hashes, kind="stable")
-        ranked = hashes[order]
-        new = np.concatenate(([True], ranked[1:] != ranked[:-1]))
-        group = np.cumsum(new) - 1
-        several = np.bincount(group)[group] > 1
-        self.size = len(hashes)
-        self.rank = np.full(self.size, -1, np.int64)
-        self.rank[order[several]] = group[several]
-        self.places = group[several] * self.size + order[several]
-
-    def again(self, at: np.ndarray, low: int) -> np.ndarray:
-        """Whether the hash at these places stands again ``low`` to ``2 * low - 1`` places later."""
-        rank = self.rank[at]
-        key = rank * self.size + at + low
-        found = np.searchsorted(self.places, key)
-        there = self.places[np.minimum(found, len(self.places) - 1)] if len(self.places) else np.full(len(at), -1)
-        limit = rank * self.size + np.minimum(at + 2 * low, self.size)
-        return (rank >= 0) & (there >= key) & (there < limit)
+def _repeated(hashes: np.ndarray, low: int) -> np.ndarray:
+    """At which boundaries the ``low`` words ahead, or those behind, stand again one period later."""
+    blocks = -(-len(hashes) // (2 * low))
+    table = np.zeros(blocks * 2 * low, np.uint64)
+    table[: len(hashes)] = hashes
+    table = table.reshape(blocks, 2 * low)
+    hit = (table[:, low:] == table[:, :1]).any(1)
+    hit[1:] |= (table[1:, :low] == table[:-1, low : low + 1]).any(1)
+    return hit
 
 
 def boundaries(numbers: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Octaves and those of their boundaries where some period of the octave may match.
 
     A matching stretch reaches ``low`` places ahead of a boundary or behind it, so
-    the words there have to stand again one period later.
+    the words there, here as one hash, have to stand again one period later.
     """
-    count, grams, repeats = len(numbers), _grams(numbers), None
-    octave = 0
-    while max(LEAST, EXPONENT << octave) <= count:
+    octave, width, hashes = 0, 1, (numbers.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    while max(LEAST, EXPONENT << octave) <= len(numbers):
         low = 1 << octave
-        width = min(low, GRAM)
-        hashes = grams[width.bit_length() - 1]
-        at = np.arange(0, count - low, 2 * low)
-        hit = np.zeros(len(at), bool)
-        for begin in (at, at - width):
-            real = np.flatnonzero((begin >= 0) & (begin + low < len(hashes)))
-            places = begin[real]
-            if low < GRAM:
-                for period in range(low, 2 * low):
-                    near = places + period < len(hashes)
-                    hit[real[near]] |= hashes[places[near]] == hashes[places[near] + period]
-            else:
-                repeats = repeats or _Repeats(hashes)
-                hit[real] |= repeats.again(places, low)
+        if low < SHORT:
+            hit = _short(numbers, low)
+        else:
+            while width < low:
+                hashes = hashes[:-width] * np.uint64(0xC2B2AE3D27D4EB4F) + hashes[width:]
+                width *= 2
+            hit = _repeated(hashes, low)
         if hit.any():
-            yield octave, at[hit]
+            yield octave, np.flatnonzero(hit) * 2 * low
         octave += 1
 
 

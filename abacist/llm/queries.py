@@ -321,16 +321,18 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 def with_repeats(documents: DataFrame) -> DataFrame:
     """``doc_id, text``: every tenth document, by the checksum of its id, repeats a part of itself to its end."""
     checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    group = F.floor(checksum / 10)
     words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    repeated = F.expr(
-        """array_join(transform(sequence(0, size(w) - 1), i -> w[int(if(i < a, i, a + (i - a) % p))]), ' ')"""
-    )
-    told = documents.select("doc_id", "text", checksum.alias("h"), F.floor(checksum / 10).alias("g"))
-    chosen = told.where((F.col("h") % 10 == 0) & F.col("text").isNotNull())
-    placed = chosen.select("doc_id", "g", words.alias("w")).where(F.size("w") > 0).withColumn("a", F.col("g") % F.size("w"))
-    placed = placed.withColumn("p", 1 + F.floor((F.size("w") - F.col("a")) / (3 + F.col("g") % 8)))
-    rest = told.where(~F.coalesce((F.col("h") % 10 == 0) & F.exists(F.array("text"), lambda t: t.rlike(r"[^\x20\x09-\x0D]")), F.lit(False)))
-    return placed.select("doc_id", repeated.alias("text")).union(rest.select("doc_id", "text"))
+
+    def repeated(w: Column, a: Column, p: Column) -> Column:
+        places = F.sequence(F.lit(0).cast("long"), F.size(w) - 1)
+        return F.array_join(F.transform(places, lambda i: F.get(w, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int"))), " ")
+
+    def placed(w: Column) -> Column:
+        return lines.bound(group % F.size(w), lambda a: repeated(w, a, 1 + F.floor((F.size(w) - a) / (3 + group % 8))))
+
+    chosen = (checksum % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return documents.select("doc_id", F.when(chosen, lines.bound(words, placed)).otherwise(F.col("text")).alias("text"))
 
 
 @query()
