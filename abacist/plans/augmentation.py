@@ -14,13 +14,15 @@ from pyspark.sql import functions as F
 from abacist.constants import DEFAULT_SEED, FACTOR_HIGH, FACTOR_LOW, SUBSTITUTED_NUMBERS
 from abacist.functions.columns import ColumnLike, as_column
 from abacist.functions.hashing import HASH_RANGE, hash32
+from abacist.functions.limbs import FACTOR_DIGITS, moved_digits, scaled_digits
 from abacist.functions.text import (
     equation_holds,
+    fold_digits,
     integer_strings,
-    parse_integer,
     plain_integer,
     replace_numbers,
     stated_result,
+    strip,
 )
 from abacist.operators.generation import failed, generated_pairs, solution_requests, succeeded
 from abacist.operators.keyed import rows_to_do
@@ -37,8 +39,12 @@ from abacist.operators.tables import (
 from abacist.session import shared_folder
 from abacist.sources.selection import finished
 
-# digits of a number that are scaled; what follows them stays
-SCALED_DIGITS = 18
+# Numbers of up to so many digits are scaled in double precision, like those of a
+# question of everyday numbers; longer ones digit by digit, without rounding.
+WORD_DIGITS = 18
+
+_FACTOR_STEPS = 2
+_LOW_STEPS, _WIDTH_STEPS = round(FACTOR_LOW * _FACTOR_STEPS), round((FACTOR_HIGH - FACTOR_LOW) * _FACTOR_STEPS)
 
 
 def substituted_value(value: Column, factor_draw: Column, sign_draw: Column) -> Column:
@@ -53,10 +59,13 @@ def substituted_value(value: Column, factor_draw: Column, sign_draw: Column) ->
 
 
 def substituted_digits(digits: Column, factor_draw: Column, sign_draw: Column) -> Column:
-    """A whole number of any length as text, substituted in its first 18 digits."""
-    head = F.substr(digits, F.lit(1), F.lit(SCALED_DIGITS)).cast("bigint")
-    new = substituted_value(head, factor_draw, sign_draw).cast("string")
-    return F.concat(new, F.substr(digits, F.lit(SCALED_DIGITS + 1)))
+    """A whole number of any length as text, substituted like :func:`substituted_value`."""
+    short = substituted_value(digits.try_cast("bigint"), factor_draw, sign_draw).cast("string")
+    numerator = F.lit(_LOW_STEPS * HASH_RANGE) + F.lit(_WIDTH_STEPS) * factor_draw
+    scaled = scaled_digits(digits, numerator, F.lit(_FACTOR_STEPS * HASH_RANGE))
+    sign = F.when(F.pmod(sign_draw, F.lit(2)) == 0, F.lit(-1)).otherwise(F.lit(1))
+    long = F.when(scaled == digits, moved_digits(digits, sign)).otherwise(scaled)
+    return F.when(F.length(digits) <= WORD_DIGITS, short).otherwise(long)
 
 
 def with_substitutions(
@@ -97,14 +106,29 @@ def with_substitutions(
 
 
 def ratio_answer(answer: ColumnLike, substitutions: ColumnLike) -> Column:
-    """The old answer scaled by the last substitution, at least 0.
+    """The old answer scaled by the last substitution, at least 0, as digits.
 
-    Null when the answer is no whole number or the substituted value was 0.
+    Null when the answer is no whole number or the substituted value was 0. If a
+    number has more than 18 digits, the ratio is that of the first twelve digits
+    of both values (of the longer one; as many places go from the other), and the
+    answer is multiplied without rounding.
     """
     last = F.try_element_at(as_column(substitutions), F.lit(-1))
-    ratio = F.try_divide(last["new"].cast("double"), last["old"].cast("double"))
-    scaled = (parse_integer(answer) * ratio).try_cast("bigint")
-    return F.when(scaled.isNotNull(), F.greatest(F.lit(0).cast("bigint"), scaled))
+    old, new = last["old"], last["new"]
+    plain = fold_digits(strip(answer))
+    plain = F.when(plain.rlike(r"\A[+-]?\d+\z"), plain)
+    digits = plain_integer(F.regexp_replace(plain, r"\A[+-]", ""))
+
+    ratio = F.try_divide(new.cast("double"), old.cast("double"))
+    short = (plain.try_cast("bigint") * ratio).try_cast("bigint")
+    short = F.when(short.isNotNull(), F.greatest(F.lit(0).cast("bigint"), short)).cast("string")
+
+    cut = F.greatest(F.length(old), F.length(new), F.lit(FACTOR_DIGITS)) - FACTOR_DIGITS
+    head = lambda value: F.left(value, F.length(value) - cut).try_cast("bigint")
+    scaled = scaled_digits(digits, head(new), head(old))
+    long = F.when(plain.startswith("-") & scaled.isNotNull(), "0").otherwise(scaled)
+    fits = F.greatest(F.length(digits), F.length(old), F.length(new)) <= WORD_DIGITS
+    return F.when(fits, short).otherwise(long)
 
 
 def augmented_copies(
@@ -133,9 +157,7 @@ def augmented_copies(
             }
         )
     )
-    answer = F.coalesce(
-        stated_result("_cot"), ratio_answer("answer", "substitutions").cast("string")
-    )
+    answer = F.coalesce(stated_result("_cot"), ratio_answer("answer", "substitutions"))
     # one row or none; a filter on the answer would be pushed below the
     # substitutions and have all of them computed twice
     answered = F.explode(F.array_compact(F.array(answer)))

@@ -227,12 +227,73 @@ FROM substituted""",
 )
 def number_substitutions(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = augmentation.with_substitutions(tables.copies(problems(spark, sf_dir), 2))
+    drawn = drawn.withColumn("ratio_answer", augmentation.ratio_answer("answer", "substitutions"))
     pairs = F.transform("substitutions", lambda p: F.concat(p["old"], F.lit(">"), p["new"]))
     return drawn.select(
         "id",
         "copy",
         F.array_join(pairs, ",").alias("substitutions"),
-        augmentation.ratio_answer("answer", "substitutions").alias("ratio_answer"),
+        F.col("ratio_answer").cast("bigint").alias("ratio_answer"),
+    )
+
+
+def _padded(column: str, width: int) -> str:
+    return f"lpad(CAST({column} AS VARCHAR), {width}, '0')"
+
+
+_LONG_NUMBERS = f"""
+SELECT *, concat('仓库进货', a, '件，售出', b, '件') AS question, CASE WHEN id % 4 = 0 THEN a ELSE concat(CAST(customer % 9 + 1 AS VARCHAR),
+         {_padded('id', 14)}, {_padded('customer', 15)}) END AS answer
+FROM (SELECT o_orderkey AS id, o_custkey AS customer, concat(CAST(o_custkey % 9 + 1 AS VARCHAR), {_padded('o_orderkey', 9)}, {_padded('o_custkey', 10)}) AS a,
+             concat(CAST(o_orderkey % 9 + 1 AS VARCHAR), {_padded('o_custkey', 9)}, {_padded('o_orderkey', 10)},
+                    {_padded('o_custkey', 10)}, {_padded('o_orderkey', 10)}) AS b
+      FROM orders)"""
+
+
+def _long_scaled(digits: str, numerator: str, divisor: str) -> str:
+    """SQL: digits of up to 40 places times a fraction, in two halves."""
+    half, unit = 20, f"{10**20}::HUGEINT"
+    high = f"coalesce(try_cast(left({digits}, greatest(length({digits}) - {half}, 0)) AS HUGEINT), 0::HUGEINT)"
+    product = f"({high} * ({numerator})::HUGEINT)"
+    rest = f"({product} % ({divisor})::HUGEINT * {unit} + right({digits}, {half})::HUGEINT * ({numerator})::HUGEINT) // ({divisor})::HUGEINT"
+    upper = f"({product} // ({divisor})::HUGEINT + {rest} // {unit})"
+    return f"ltrim(concat(CAST({upper} AS VARCHAR), lpad(CAST({rest} % {unit} AS VARCHAR), {half}, '0')), '0')"
+
+
+@query(
+    with_views(
+        f"""
+SELECT id, copy, concat(o1, '>', n1, ',', o2, '>', n2) AS substitutions, {_long_scaled('answer', 'left(n2, length(n2) - cut)', 'left(o2, length(o2) - cut)')} AS ratio_answer
+FROM (SELECT *, greatest(length(n2), length(o2)) - 12 AS cut FROM drawn)""",
+        long_numbers=_LONG_NUMBERS,
+        drawn=f"""
+SELECT *, {_long_scaled('o1', f"4294967296 + 3 * {_draw('factor1')}", "8589934592")} AS n1,
+       {_long_scaled('o2', f"4294967296 + 3 * {_draw('factor2')}", "8589934592")} AS n2
+FROM (SELECT *, CASE WHEN first = 0 THEN a ELSE b END AS o1, CASE WHEN first = 0 THEN b ELSE a END AS o2
+      FROM (SELECT *, {_draw('position1')} % 2 AS first FROM long_numbers CROSS JOIN (VALUES (0), (1)) AS r(copy)))""",
+    )
+)
+def long_number_substitutions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of 20 and 40 digits, and answers of 20 and 30."""
+    customer, order = F.col("o_custkey"), F.col("o_orderkey")
+
+    def digits(first, *parts):
+        return F.concat((first % 9 + 1).cast("string"), *(F.lpad(c.cast("string"), n, "0") for c, n in parts))
+
+    short, long = digits(customer, (order, 9), (customer, 10)), digits(order, (customer, 9), (order, 10), (customer, 10), (order, 10))
+    rows = table(spark, sf_dir, "orders").select(
+        order.alias("id"),
+        F.concat(F.lit("仓库进货"), short, F.lit("件，售出"), long, F.lit("件")).alias("question"),
+        F.when(order % 4 == 0, short).otherwise(digits(customer, (order, 14), (customer, 15))).alias("answer"),
+    )
+    drawn = augmentation.with_substitutions(tables.copies(rows, 2))
+    drawn = drawn.withColumn("ratio_answer", augmentation.ratio_answer("answer", "substitutions"))
+    pairs = F.transform("substitutions", lambda p: F.concat(p["old"], F.lit(">"), p["new"]))
+    return drawn.select(
+        "id",
+        "copy",
+        F.array_join(pairs, ",").alias("substitutions"),
+        "ratio_answer",
     )
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from abacist.functions.text import joined_text
 from abacist.schemas import CORRUPT_COLUMN
+from abacist.session import shared_folder
+from abacist.sources.json_arrays import json_array_records
 
 
 def read_json_table(
@@ -23,20 +25,17 @@ def read_json_table(
     ``4.50``. Malformed records fill ``_corrupt_record``; they are part of the
     result with ``keep_corrupt`` and raise otherwise when they are read.
 
-    A JSON array cannot be split over tasks: convert it once with
-    :func:`write_parquet_table` or :func:`write_json_table` and read that.
+    A JSON array is cut into lines by many tasks, see :mod:`abacist.sources.json_arrays`;
+    the lines lie in the shared folder and are what is read from then on.
     """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
-    reader = spark.read.option("multiLine", json_array)
-    if keep_corrupt:
-        raw = (
-            reader.schema(with_corrupt)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-            .json(path)
-        )
-    else:
-        raw = reader.schema(schema).option("mode", "FAILFAST").json(path)
+    wanted = with_corrupt if keep_corrupt else schema
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN} if keep_corrupt else {"mode": "FAILFAST"}
+    if json_array:
+        array, path = path, shared_folder(spark, "json-lines")
+        line = F.translate("text", "\n\r", "  ")  # white space: strings have none but escaped
+        json_array_records(spark, array).select(line).write.text(path)
+    raw = spark.read.schema(wanted).options(**options).json(path)
     return raw.select(
         *(
             joined_text(field.name).alias(field.name)

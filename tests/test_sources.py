@@ -1,5 +1,8 @@
 """Files: polymorphic JSON, submissions, input selection, versions."""
 
+import json
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,3 +106,61 @@ def test_half_written_and_foreign_tables(spark, tmp_path):
     blank = str(tmp_path / "blank")
     spark.createDataFrame([(1, " ")], "id int, cot string").write.parquet(blank)
     assert selection.derive_if_absent(spark, blank, lambda: good).first().cot == "x"
+
+
+def read_array(spark, path, **options):
+    return json_tables.read_json_table(spark, str(path), RAW_PREFERENCE, **options)
+
+
+def test_arrays_are_read_by_many_tasks(spark, tmp_path):
+    rng = random.Random(3)
+    bits = ["}", "{", "]", "[", '"', "\\", "\\\"", "},{", "\n", "a", "é", "答案", ",", "]}", " "]
+    rows = []
+    for number in range(600):
+        text = "".join(rng.choices(bits, k=rng.randrange(30)))
+        rows.append({"id": str(number), "question": rng.choice([text, [text, text[::-1]]]), "answer": text, "chosen": text * rng.randrange(9)})
+    (tmp_path / "in").mkdir()
+    for name, indent in (("a.json", None), ("b.json", 2)):
+        (tmp_path / "in" / name).write_text(json.dumps(rows, ensure_ascii=False, indent=indent), encoding="utf-8")
+    wanted = sorted((r["id"], "".join(r["question"]), r["answer"], r["chosen"]) for r in rows * 2)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("1021", before):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0" if size != before else "4m")
+        try:
+            raw = spark.read.option("lineSep", "}").text(str(tmp_path / "in"))
+            assert size == before or raw.rdd.getNumPartitions() > 10
+            found = read_array(spark, tmp_path / "in").select("id", "question", "answer", "chosen")
+            assert sorted(map(tuple, found.collect())) == wanted
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+            spark.conf.set("spark.sql.files.openCostInBytes", "4m")
+
+
+@pytest.mark.parametrize(
+    "text, ids",
+    [
+        ("[]", []),
+        (" [ ] \n", []),
+        ('{"id": 5, "question": "x}"}', ["5"]),
+        ('\n{"id": 5}\n', ["5"]),
+        ('[{"id":1},{"id":2,"extra":{"a":[{"b":"}]"}]}}]', ["1", "2"]),
+        ('[\n {"id":1} , \n{"id":"a\\"}"}\n]\n', ['a"}', "1"]),
+        ("[{}]", [None]),
+    ],
+)
+def test_small_arrays(spark, tmp_path, text, ids):
+    path = tmp_path / "one.json"
+    path.write_text(text, encoding="utf-8")
+    assert sorted((r.id for r in read_array(spark, path).collect()), key=str) == sorted(ids, key=str)
+
+
+@pytest.mark.parametrize("text", ['[{"id":1},{"id":2', '[{"id":1} {"id":2}]', '[{"id":1},{"id":}]', '[{"id":1},{"a":[}]'])
+def test_malformed_arrays(spark, tmp_path, text):
+    path = tmp_path / "bad.json"
+    path.write_text(text, encoding="utf-8")
+    with pytest.raises(Exception):
+        read_array(spark, path).collect()
+    kept = read_array(spark, path, keep_corrupt=True).collect()
+    assert [r.id for r in kept if r._corrupt_record is None] == ["1"]
+    assert any(r._corrupt_record for r in kept)
