@@ -22,7 +22,7 @@ ROUNDS = 8
 CARD_DIGITS = (13, 19)
 BLOCK = 64
 
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+)+"
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+)++"
 ADDRESS = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)"
 YEAR_FIRST = r"(?<!\d)\d{4}([-/.])\d{2}\1\d{2}(?!\d)"
 YEAR_LAST = r"(?<!\d)\d{1,2}(?:/\d{1,2}/|\.\d{1,2}\.)\d{4}(?!\d)"
@@ -147,22 +147,34 @@ def _chosen_cards(pieces: Column) -> Column:
     def begun(i: Column) -> Column:
         def sized(count: Column) -> Column:
             digits = _digits(F.array_join(F.slice(pieces, i + 1, count), ""))
-            return F.struct(F.floor(i / BLOCK).alias("block"), (-F.length(digits)).alias("less"), i.alias("start"), count.alias("size"), digits.alias("digits"))
+            return F.struct((-F.length(digits)).alias("less"), i.alias("start"), count.alias("size"), digits.alias("digits"))
 
         sizes = F.sequence(F.lit(1), F.least(F.lit(CARD_DIGITS[1]), F.size(pieces) - i))
         return F.filter(F.transform(sizes, sized), lambda c: c["less"].between(-CARD_DIGITS[1], -CARD_DIGITS[0]) & _valid(c["digits"]))
 
+    def in_block(block: Column) -> Column:
+        last = F.least(F.size(pieces), (block + 1) * BLOCK) - 1
+        return F.array_sort(F.flatten(F.transform(F.sequence(block * BLOCK, last), begun)))
+
     def placed(c: Column) -> Column:
         return F.struct(c["start"].alias("start"), c["size"].alias("size"))
 
-    def taken(chosen: Column, c: Column) -> Column:
-        near = F.slice(chosen, -F.least(F.size(chosen), F.lit(2 * BLOCK)), F.lit(2 * BLOCK))
-        near = F.when(F.size(chosen) > 0, near).otherwise(chosen)
+    def taken(near: Column, c: Column) -> Column:
         meets = F.exists(near, lambda o: (o["start"] < c["start"] + c["size"]) & (c["start"] < o["start"] + o["size"]))
-        return F.when(meets, chosen).otherwise(F.concat(chosen, F.array(placed(c))))
+        return F.when(meets, near).otherwise(F.concat(near, F.array(placed(c))))
+
+    none = F.array().cast("array<struct<start:int,size:int>>")
+
+    def next_block(state: Column, block: Column) -> Column:
+        def own(near: Column) -> Column:
+            mine = F.filter(near, lambda o: o["start"] >= block * BLOCK)
+            return bound(mine, lambda m: F.struct(F.concat(state["chosen"], m).alias("chosen"), m.alias("before")))
+
+        return bound(F.aggregate(in_block(block), state["before"], taken), own)
 
-    found = F.array_sort(F.flatten(F.transform(F.sequence(F.lit(0), F.size(pieces) - 1), begun)))
-    return F.array_sort(F.aggregate(found, F.array().cast("array<struct<start:int,size:int>>"), taken))
+    blocks = F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / BLOCK).cast("int"))
+    start = F.struct(none.alias("chosen"), none.alias("before"))
+    return F.array_sort(F.aggregate(blocks, start, next_block, lambda state: state["chosen"]))
 
 
 def _cards(key: str, run: Column) -> Column:

@@ -1,9 +1,10 @@
 """Chat formatting, contamination, pseudonyms, coding and toxicity."""
 
+import hashlib
 import random
 import re
 from collections import defaultdict
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -137,6 +138,114 @@ def test_pseudonyms(spark):
     assert pseudonyms.pseudonymised(table.limit(0), "key").count() == 0
 
 
+LONG = {
+    "mail labels": "x@" + "a." * 500_000 + "b",
+    "mail names": "a.b" * 330_000 + "@c.de",
+    "dotted numbers": "1." * 500_000,
+    "addresses": "10.0.0.1 " * 100_000,
+    "dates": "2020-02-02-" * 90_000,
+    "digits": "4" * 1_000_000,
+    "cards": "4111 1111 1111 1111 " * 4_000,
+    "single digits": "4 " * 30_000,
+    "phones": "+1 (784) 555-8120" * 50_000,
+}
+
+
+@pytest.mark.parametrize("kind", LONG)
+def test_pseudonyms_of_long_texts(spark, kind):
+    table = spark.createDataFrame([(1, LONG[kind] + " a.b99@mail7.example.com")], DOCS)
+    (row,) = pseudonyms.pseudonymised(table, "key").collect()
+    assert kind == "addresses" or len(row.text) == len(LONG[kind]) + 24
+    assert row.n_replaced > 0 and not row.text.endswith("a.b99@mail7.example.com")
+    if kind == "cards":
+        assert row.n_replaced > 4000 * 0.9 and "4111 1111 1111 1111" not in row.text
+    if kind in ("addresses", "phones"):
+        assert row.n_found > 40_000
+
+
+def draw(kind, number, value):
+    return int(hashlib.sha256(f"key|{kind}|{number}|{value}".encode()).hexdigest()[:15], 16)
+
+
+def feistel(kind, left, right, sizes):
+    for n in range(8):
+        if n % 2 == 0:
+            left = (left + draw(kind, n, right)) % sizes[0]
+        else:
+            right = (right + draw(kind, n, left)) % sizes[1]
+    return left, right
+
+
+def feistel_text(kind, text):
+    def turned(part, other, n):
+        digest = hashlib.sha256(f"key|{kind}|{n}|{other}".encode()).hexdigest()
+        new = ""
+        for i, c in enumerate(part):
+            by = int(digest[i % 32 * 2 : i % 32 * 2 + 2], 16)
+            for first, size in (("a", 26), ("A", 26), ("0", 10)):
+                if ord(first) <= ord(c) < ord(first) + size:
+                    c = chr((ord(c) - ord(first) + by) % size + ord(first))
+                    break
+            new += c
+        return new
+
+    left, right = text[: len(text) // 2], text[len(text) // 2 :]
+    for n in range(8):
+        if n % 2 == 0:
+            left = turned(left, right, n)
+        else:
+            right = turned(right, left, n)
+    return left + right
+
+
+def plain_pseudonym(kind, text):
+    if kind == "email":
+        local, at, rest = text.partition("@")
+        return feistel_text(kind, local) + at + rest
+    if kind == "address":
+        a, b, c, d = map(int, text.split("."))
+        left, right = feistel(kind, a * 256 + b, c * 256 + d, (65536, 65536))
+        return f"{left // 256}.{left % 256}.{right // 256}.{right % 256}"
+    if kind == "card":
+        new = feistel_text(kind, text[:-1])
+        worths = [int(c) * (2 if i % 2 == 0 else 1) for i, c in enumerate(reversed(new))]
+        return new + str(-sum(w - 9 if w > 9 else w for w in worths) % 10)
+    if kind == "date":
+        number = (date.fromisoformat(text) - date(1600, 1, 1)).days
+        left, right = feistel(kind, number // 773, number % 773, (378, 773))
+        return (date(1600, 1, 1) + timedelta(days=left * 773 + right)).isoformat()
+    if kind == "social":
+        area, group, serial = map(int, text.split("-"))
+        left, right = feistel(kind, area - (2 if area > 666 else 1), (group - 1) * 9999 + serial - 1, (898, 99 * 9999))
+        return f"{left + (2 if left >= 665 else 1):03d}-{right // 9999 + 1:02d}-{right % 9999 + 1:04d}"
+    area, exchange, line = map(int, text.split("-"))
+    value = ((area - 200) * 800 + exchange - 200) * 10000 + line
+    left, right = feistel("phone", value // 80000, value % 80000, (80000, 80000))
+    new = left * 80000 + right
+    return f"{new // 8000000 + 200:03d}-{new % 8000000 // 10000 + 200:03d}-{new % 10000:04d}"
+
+
+def test_pseudonyms_by_plain_python(spark):
+    rng = random.Random(12)
+
+    def value(kind):
+        pick = rng.randrange
+        return {
+            "email": lambda: "".join(rng.choices("abcXYZ019._-", k=pick(1, 20))) + "@mail.example.com",
+            "address": lambda: ".".join(str(pick(256)) for _ in range(4)),
+            "card": lambda: (lambda p: p + str(-sum(w - 9 if w > 9 else w for w in (int(c) * (2 if i % 2 == 0 else 1) for i, c in enumerate(reversed(p)))) % 10))("".join(rng.choices("0123456789", k=pick(12, 19)))),
+            "date": lambda: (date(1600, 1, 1) + timedelta(days=pick(292194))).isoformat(),
+            "social": lambda: f"{rng.choice([1, 665, 667, 899, 123]):03d}-{pick(1, 100):02d}-{pick(1, 10000):04d}",
+            "phone": lambda: f"{pick(200, 1000)}-{pick(200, 1000)}-{pick(10000):04d}",
+        }[kind]()
+
+    values = [(kind, value(kind)) for kind in ("email", "address", "card", "date", "social", "phone") for _ in range(40)]
+    table = spark.createDataFrame([(i, f"see {v} !") for i, (_, v) in enumerate(values)], DOCS)
+    found = {r.doc_id: r.text for r in pseudonyms.pseudonymised(table, "key").collect()}
+    for i, (kind, v) in enumerate(values):
+        assert found[i] == f"see {plain_pseudonym(kind, v)} !", (kind, v)
+
+
 def test_pseudonyms_of_any_area_code(spark):
     numbers = ["0175557713", "1325551352", "7840555812", "0000000000", "1999999999", "9991999999", "2000000000", "7845558120", "9999999999"]
     texts = [f"+1 ({n[:3]}) {n[3:6]}-{n[6:]}, ({n[:3]}) {n[3:6]}-{n[6:]} or +1 {n[:3]}-{n[3:6]}-{n[6:]}." for n in numbers]
