@@ -49,39 +49,54 @@ def _graphs(cosine: float):
     return run
 
 
-def _forest(left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect what all links connect."""
-    nodes, places = np.unique(np.concatenate((left, right)), return_inverse=True)
-    root = list(range(len(nodes)))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
+class _Forest:
+    """Links that connect what all links connect; the others are dropped as they come."""
+
+    def __init__(self, size: int) -> None:
+        self.root, self.links = np.arange(size), []
+
+    def _find(self, x: int) -> int:
+        while self.root[x] != x:
+            self.root[x] = self.root[self.root[x]]
+            x = int(self.root[x])
         return x
 
-    kept = []
-    for a, b in zip(places[: len(left)].tolist(), places[len(left) :].tolist()):
-        x, y = find(a), find(b)
-        if x != y:
-            root[max(x, y)] = min(x, y)
-            kept.append((int(nodes[a]), int(nodes[b])))
-    return kept
+    def add(self, left: np.ndarray, right: np.ndarray) -> None:
+        apart = self.root[left] != self.root[right]
+        if not apart.any():
+            return
+        for a, b in zip(left[apart].tolist(), right[apart].tolist()):
+            x, y = self._find(a), self._find(b)
+            if x != y:
+                self.root[max(x, y)] = min(x, y)
+                self.links.append((a, b))
+        while (above := self.root[self.root] != self.root).any():  # so that the next links compare roots
+            self.root[above] = self.root[self.root[above]]
 
 
 def _asked(cosine: float):
-    def run(graphs: pa.Table, queries: pa.Table) -> pa.Table:
+    """Links between a shard's graph and a block of vectors, counted for both ends of each."""
+
+    def run(key: tuple[pa.Scalar, ...], graphs: pa.Table, queries: pa.Table) -> pa.Table:
         rows: list[tuple[int, int, int | None, int | None]] = []
         if len(graphs) and len(queries):
             graph = Graph.from_bytes(graphs.column("graph")[0].as_py())
             weights = np.frombuffer(graphs.column("weights")[0].as_py(), np.int64)
-            ids = queries.column("first").to_numpy()
-            at, node = graph.within(_matrix(queries.column("embedding")), cosine)
-            other = graph.ids[node] != ids[at]
-            at, node = at[other], node[other]
-            links = np.bincount(at, weights=weights[node], minlength=len(ids)).astype(np.int64)
-            rows = [(0, int(ids[i]), None, int(links[i])) for i in np.flatnonzero(links)]
-            rows += [(1, a, b, None) for a, b in _forest(ids[at], graph.ids[node])]
+            own = key[1].as_py() == key[2].as_py()  # the shard asks itself: a link is found from its smaller end
+            order = np.argsort(graph.ids) if own else None
+            ids, copies = queries.column("first").to_numpy(), queries.column("copies").to_numpy()
+            names = graph.ids if own else np.concatenate((graph.ids, ids))
+            place = order[np.searchsorted(graph.ids, ids, sorter=order)] if own else len(graph.ids) + np.arange(len(ids))
+            counts, forest = np.zeros(len(names), np.int64), _Forest(len(names))
+            for at, node in graph.within(_matrix(queries.column("embedding")), cosine):
+                if own:
+                    first = ids[at] < graph.ids[node]
+                    at, node = at[first], node[first]
+                np.add.at(counts, place[at], weights[node])
+                np.add.at(counts, node, copies[at])
+                forest.add(place[at], node)
+            rows = [(0, int(names[i]), None, int(counts[i])) for i in np.flatnonzero(counts)]
+            rows += [(1, int(names[a]), int(names[b]), None) for a, b in forest.links]
         kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
         return pa.table([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [[]] * 4, kinds)], ["kind", "id", "other", "links"])
 
@@ -93,7 +108,10 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, shard_vectors: int
 
     Vectors of equal length whose cosine in double precision reaches ``cosine``
     are linked as far as the graphs find them (each graph audits its recall when
-    it is built, on vectors of its own and about 1,024 of the whole table); none below is. Equal vectors are searched once and all linked.
+    it is built, on near copies planted among its own vectors and on about 1,024 of
+    the whole table); none below is. A pair is looked for once, in the later shard
+    of the two or from the smaller id within one, and counts for both. Equal
+    vectors are searched once and all linked.
     A null, empty or zero vector, one with a null or non-finite component, or one
     without an id links with nothing and is its own component. Rows that share an
     id but differ share their links. Other columns are ignored.
@@ -107,8 +125,9 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, shard_vectors: int
     sample = distinct.where(F.pmod(F.xxhash64("first", F.lit("audit")), F.lit(max(total, 1))) < AUDIT).select("size", "embedding", "first", every.alias("shard"))
     dealt = placed.groupBy("size", "shard").cogroup(sample.groupBy("size", "shard"))
     graphs = saved(dealt.applyInArrow(_graphs(cosine), "size int, shard int, graph binary, weights binary"))
-    asked = placed.select("size", "embedding", "first", F.col("shard").alias("block"), every.alias("shard"))
-    served = graphs.select("*", every.alias("block"))
+    later = F.explode(F.sequence("shard", F.lit(count - 1)))
+    asked = placed.select("size", "embedding", "first", "copies", F.col("shard").alias("block"), later.alias("shard"))
+    served = graphs.select("*", F.explode(F.sequence(F.lit(0), "shard")).alias("block"))
     keys = ("size", "shard", "block")
     found = saved(served.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(_asked(cosine), FOUND))
     links = found.where("kind = 0").groupBy("id").agg(F.sum("links").alias("others"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -11,7 +12,7 @@ LINKS = 16
 
 BUILD_BEAM = 64
 FIRST_BEAM = 32
-QUERIES = 128
+QUERIES = 256
 WIDTH = 4
 """Nodes of a beam that one step expands."""
 
@@ -19,13 +20,10 @@ SMALL = 64
 """Nodes that a layer links by comparing all."""
 
 AUDIT = 1024
-"""Vectors of a shard, and about as many of all shards, whose true neighbours are compared with those found."""
-
-NEAREST = 10
-"""Neighbours that every one of these vectors has, near or not."""
+"""Vectors of a shard, and about as many of all shards, whose true links are compared with those found."""
 
 RECALL = 0.98
-"""Share of true neighbours, and of true links, that the audit wants found."""
+"""Share of true links that the audit wants found."""
 
 
 def _levels(ids: np.ndarray) -> np.ndarray:
@@ -67,17 +65,27 @@ class Layer:
     def __init__(self, vectors: np.ndarray, nodes: np.ndarray, links: int) -> None:
         self.vectors, self.nodes, self.links = vectors, nodes, links
         self.neighbours = np.full((len(nodes), links), -1, np.int32)
+        self._seen, self._round = np.zeros((0, len(nodes) + 1), np.uint8), 0
+
+    def _visited(self, count: int) -> tuple[np.ndarray, int]:
+        """A table of who has seen which node in which round, cleared every 255 rounds only."""
+        if len(self._seen) < count:
+            self._seen, self._round = np.zeros((count, len(self.nodes) + 1), np.uint8), 0
+        if self._round == 255:
+            self._seen[:], self._round = 0, 0
+        self._round += 1
+        self._seen[:count, -1] = self._round  # no node
+        return self._seen, self._round
 
     def search(self, queries: np.ndarray, entries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """Nodes nearest to each query and their cosines, best first, as far as the beam reaches."""
         count = len(queries)
-        visited = np.zeros((count, len(self.nodes) + 1), bool)
-        visited[:, -1] = True
+        visited, seen = self._visited(count)
         every = np.arange(count)[:, None]
         ids = np.full((count, beam), -1, np.int32)
         near = np.full((count, beam), -np.inf, np.float32)
         ids[:, : entries.shape[1]] = entries[:, :beam]
-        visited[every, entries] = True
+        visited[every, entries] = seen
         near[:, : entries.shape[1]] = np.einsum("qed,qd->qe", self.vectors[ids[:, : entries.shape[1]]], queries)
         near[ids < 0] = -np.inf
         open_ = ids >= 0
@@ -93,10 +101,10 @@ class Layer:
             open_[rows[:, None], best] &= ~real
             nodes = np.where(real, ids[rows[:, None], best], -1)
             around = np.where(nodes[:, :, None] >= 0, self.neighbours[nodes], -1).reshape(len(rows), -1)
-            around = np.where(visited[rows[:, None], around], -1, around)
+            around = np.where(visited[rows[:, None], around] == seen, -1, around)
             around.sort(axis=1)
             around[:, 1:][around[:, 1:] == around[:, :-1]] = -1
-            visited[rows[:, None], around] = True
+            visited[rows[:, None], around] = seen
             cosines = np.einsum("qed,qd->qe", self.vectors[around], queries[rows])
             cosines[around < 0] = -np.inf
             all_near = np.concatenate((near[rows], cosines), 1)
@@ -119,9 +127,7 @@ class Layer:
         while done < len(self.nodes):
             size = min(QUERIES * 2, done, len(self.nodes) - done)
             batch = self.vectors[done : done + size]
-            grown = Layer(self.vectors, self.nodes[:done], self.links)
-            grown.neighbours = self.neighbours[:done]
-            found, _ = grown.search(batch, entries(batch, done), min(BUILD_BEAM, done))
+            found, _ = self.search(batch, entries(batch, done), min(BUILD_BEAM, done))  # links lead to inserted nodes only
             mutual = batch @ batch.T
             np.fill_diagonal(mutual, -np.inf)
             inside = np.argsort(-mutual, axis=1, kind="stable")[:, : min(LINKS, size - 1)].astype(np.int32) + done
@@ -211,67 +217,66 @@ class Graph:
         return entries
 
     def _scan(self, queries: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-        """Every pair, compared in blocks."""
-        pairs = [np.nonzero(queries[at : at + QUERIES] @ self.exact.T >= threshold) for at in range(0, len(queries), QUERIES)]
-        rows = [row + at * QUERIES for at, (row, _) in enumerate(pairs)]
-        return np.concatenate(rows), np.concatenate([node for _, node in pairs])
+        """Every pair of some queries, compared."""
+        return np.nonzero(queries @ self.exact.T >= threshold)
 
-    def within(self, queries: np.ndarray, threshold: float, beam: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of query and node whose cosine in double precision reaches the threshold, as found.
+    def within(self, queries: np.ndarray, threshold: float, beam: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of query and node whose cosine in double precision reaches the threshold, as found, some queries at a time.
 
-        A beam that is full of such nodes is widened; one that would visit the
-        whole shard compares the whole shard instead.
+        A beam that is full of such nodes is widened, from those it holds; one that
+        would visit the whole shard compares the whole shard instead.
         """
-        rows, nodes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for at in range(0, len(queries), QUERIES):
             left, width = np.arange(at, min(at + QUERIES, len(queries))), beam or self.beam
+            entries = None
             while len(left):
                 if width * self.layers[0].links >= len(self.ids):
                     row, node = self._scan(queries[left], threshold)
-                    rows.append(left[row])
-                    nodes.append(node)
+                    yield left[row], node
                     break
                 asked = queries[left].astype(np.float32)
-                found, near = self.layers[0].search(asked, self._entries(asked, 1), width)
+                found, near = self.layers[0].search(asked, self._entries(asked, 1) if entries is None else entries, width)
                 done = near[:, -1] < threshold - 1e-4
                 row, place = np.nonzero((near >= threshold - 1e-4) & done[:, None])
                 node = found[row, place]
                 true = np.einsum("nd,nd->n", queries[left[row]], self.exact[node]) >= threshold
-                rows.append(left[row[true]])
-                nodes.append(node[true].astype(np.int64))
-                left, width = left[~done], width * 2
-        return np.concatenate(rows), np.concatenate(nodes)
-
-    def _near_recall(self, ids: np.ndarray, queries: np.ndarray) -> float:
-        """Share of the nearest nodes of these vectors that a beam finds, apart from each vector itself."""
-        wanted = right = 0
-        for at in range(0, len(ids), QUERIES):
-            own, asked = ids[at : at + QUERIES, None], queries[at : at + QUERIES]
-            exact = np.where(self.ids[None, :] == own, -np.inf, asked @ self.exact.T)
-            count = min(NEAREST, len(self.ids) - 1)
-            least = -np.partition(-exact, count - 1, axis=1)[:, count - 1] - 1e-9
-            single = asked.astype(np.float32)
-            found, near = self.layers[0].search(single, self._entries(single, 1), self.beam)
-            reached = np.where(np.isfinite(near), np.take_along_axis(exact, np.maximum(found, 0).astype(np.int64), 1), -np.inf)
-            right += int(np.minimum((reached >= least[:, None]).sum(1), count).sum())
-            wanted += count * len(asked)
-        return right / wanted
+                yield left[row[true]], node[true].astype(np.int64)
+                left, entries, width = left[~done], found[~done], width * 2
+
+    def _planted(self, sample: np.ndarray, threshold: float) -> np.ndarray:
+        """Near copies of some nodes, from the threshold to half-way to equal: each has a link to be found."""
+        draws = np.random.default_rng(len(self.ids))
+        vectors = self.exact[sample]
+        aside = draws.normal(size=vectors.shape)
+        aside -= np.einsum("nd,nd->n", aside, vectors)[:, None] * vectors
+        length = np.linalg.norm(aside, axis=1, keepdims=True)
+        aside = np.where(length > 0, aside / np.where(length > 0, length, 1), 0)
+        cosine = draws.uniform(threshold + 1e-6, (1 + threshold) / 2, size=(len(vectors), 1))
+        copies = cosine * vectors + np.sqrt(1 - cosine**2) * aside
+        return copies / np.linalg.norm(copies, axis=1, keepdims=True)
+
+    def recall(self, queries: np.ndarray, threshold: float) -> tuple[int, int]:
+        """How many links of these vectors are found, and how many there are."""
+        wanted = found = 0
+        for at in range(0, len(queries), QUERIES):
+            part = queries[at : at + QUERIES]
+            wanted += len(self._scan(part, threshold)[0])
+            found += sum(len(row) for row, _ in self.within(part, threshold))
+        return found, wanted
 
     def _audit(self, threshold: float, asked: tuple[np.ndarray, np.ndarray] | None) -> None:
-        """Widen the beam until enough of the nearest nodes of a sample, which every vector has, and of its true links are found."""
+        """Widen the beam until enough links are found of near copies planted in the shard, and of vectors of all shards.
+
+        Vectors of all shards may have none here; the near copies always have.
+        """
         sample = np.argsort((self.ids.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)), kind="stable")[:AUDIT]
-        groups = [(self.ids[sample], self.exact[sample])]  # judged apart: a graph finds its own nodes more easily
+        groups = [self._planted(sample, threshold)]  # judged apart
         if asked is not None and len(asked[0]):
-            groups.append(asked)
-        ids, queries = (np.concatenate(part) for part in zip(*groups))
-        row, node = self._scan(queries, threshold)
-        other = ids[row] != self.ids[node]
-        wanted = set(zip(row[other].tolist(), node[other].tolist()))
+            groups.append(asked[1])
         while self.beam * self.layers[0].links < len(self.ids):
-            if all(self._near_recall(*group) >= RECALL for group in groups):
-                found = set(zip(*(x.tolist() for x in self.within(queries, threshold))))
-                if len(wanted & found) >= RECALL * len(wanted):
-                    break
+            figures = [self.recall(group, threshold) for group in groups]
+            if all(found >= RECALL * wanted for found, wanted in figures):
+                break
             self.beam *= 2
 
     def to_bytes(self) -> bytes:

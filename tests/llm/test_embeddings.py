@@ -6,7 +6,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from abacist.llm import embeddings
-from abacist.llm.hnsw import FIRST_BEAM, RECALL, Graph
+from abacist.llm.components import joined
+from abacist.llm.hnsw import RECALL, Graph
 
 VECTORS = "vec_id long, embedding array<float>"
 
@@ -19,33 +20,102 @@ def clustered(seed, count=400, size=16):
     return found.astype(np.float32)
 
 
+def pairs_of(graph, queries, cosine=0.9, beam=None):
+    found = [(at, node) for at, node in graph.within(queries, cosine, beam)]
+    return {(int(a), int(graph.ids[b])) for at, node in found for a, b in zip(at, node)}
+
+
+def unit(vectors):
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+
 def test_graph_recall():
-    vectors = clustered(1, 3000).astype(np.float64)
-    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors = unit(clustered(1, 3000).astype(np.float64))
     graph = Graph.from_bytes(Graph(np.arange(3000) * 7, vectors, 0.9).to_bytes())
-    at, node = graph.within(vectors, 0.9, 32)
-    found = set(zip((at * 7).tolist(), graph.ids[node].tolist()))
+    found = {(a * 7, b) for a, b in pairs_of(graph, vectors, beam=32)}
     wanted = {(int(a) * 7, int(b) * 7) for a, b in zip(*np.nonzero(vectors @ vectors.T >= 0.9))}
     assert found <= wanted
     assert len(found) >= 0.95 * len(wanted)
 
 
 def test_audit_without_links():
+    """No two vectors of the shard are near, so only planted copies tell the recall."""
     rng = np.random.default_rng(5)
-    vectors = rng.normal(size=(5000, 32))
-    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
-    alone, more = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in rng.normal(size=(2, 1000, 32)))
-    graph = Graph(np.arange(5000), vectors, 0.9, (np.arange(9000, 10000), alone))
+    vectors = unit(rng.normal(size=(5000, 32)))
+    graph = Graph(np.arange(5000), vectors, 0.9, (np.arange(9000, 10000), unit(rng.normal(size=(1000, 32)))))
     assert (vectors @ vectors.T >= 0.9).sum() == 5000
-    queries = vectors[:1000] + rng.normal(size=(1000, 32)) * 0.06  # pairs: the other one is in another shard
-    queries /= np.linalg.norm(queries, axis=1, keepdims=True)
-    at, node = graph.within(queries, 0.9)
-    found, wanted = set(zip(at.tolist(), graph.ids[node].tolist())), set(zip(*(x.tolist() for x in np.nonzero(queries @ vectors.T >= 0.9))))
-    assert len(wanted) > 500 and found <= wanted and len(found) >= 0.98 * len(wanted)
-    before, graph.beam = graph.beam, FIRST_BEAM
-    assert graph._near_recall(np.full(1000, -1), more) < RECALL
-    graph.beam = before
-    assert graph._near_recall(np.full(1000, -1), more) >= RECALL - 0.01 and before > FIRST_BEAM
+    planted = graph._planted(np.arange(1000), 0.9)
+    cosines = np.einsum("nd,nd->n", planted, graph.exact[:1000])
+    assert cosines.min() >= 0.9 and cosines.max() <= 0.951
+    queries = unit(vectors[:1000] + rng.normal(size=(1000, 32)) * 0.06)  # pairs: the other one is in another shard
+    found = pairs_of(graph, queries)
+    wanted = {(int(a), int(b)) for a, b in zip(*np.nonzero(queries @ vectors.T >= 0.9))}
+    assert len(wanted) > 500 and found <= wanted and len(found) >= RECALL * len(wanted)
+
+
+def test_audit_widens_the_beam():
+    rng = np.random.default_rng(6)
+    vectors = unit(rng.normal(size=(6000, 32)))
+    graph = Graph(np.arange(6000), vectors, 0.9)
+    for layer in graph.layers:  # a graph that is hard to walk
+        layer.neighbours[:, 3:] = -1
+    graph.layers[0].connect()
+    before, queries = graph.beam, graph._planted(np.arange(0, 6000, 6), 0.9)
+    graph._audit(0.9, None)
+    found, wanted = graph.recall(queries, 0.9)
+    assert graph.beam > before and wanted >= 1000 and found >= 0.95 * wanted
+
+
+def test_full_beams_go_on_from_what_they_hold():
+    rng = np.random.default_rng(7)
+    vectors = unit(np.concatenate((rng.normal(size=(1, 16)) + rng.normal(size=(100, 16)) * 0.05, rng.normal(size=(7_900, 16)))))
+    graph = Graph(np.arange(8_000), vectors, 0.9)
+    wanted = (vectors[:100] @ vectors.T >= 0.9).sum()
+    assert wanted >= 100 * 90 and len(pairs_of(graph, vectors[:100])) >= 0.99 * wanted
+
+
+def test_links_count_on_both_ends(spark):
+    """Whatever is found, the sum over links is the same from both ends."""
+    rng = np.random.default_rng(9)
+    vectors = rng.normal(size=(6000, 24))
+    vectors[3000:] = vectors[:3000] + rng.normal(size=(3000, 24)) * 0.3
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors.astype(np.float32))]
+    found = {r.vec_id: r for r in embeddings.near_vectors(spark.createDataFrame(rows, VECTORS), shards=2).collect()}
+    exact = unit(vectors.astype(np.float32).astype(np.float64))
+    linked = exact @ exact.T >= 0.9
+    wanted = linked.sum(1) - 1
+    total = sum(r.n_links for r in found.values())
+    assert total % 2 == 0 and RECALL * wanted.sum() <= total <= wanted.sum()
+    for i in range(3000):  # pairs: both ends tell the same
+        if wanted[i] == wanted[i + 3000] == 1 and linked[i, i + 3000]:
+            assert found[i].n_links == found[i + 3000].n_links
+
+
+def test_joins_on_a_hot_key_are_split(spark):
+    """Half of all rows share a key: with low thresholds, adaptive execution deals them out."""
+    low = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in low}
+    for key, value in low.items():
+        spark.conf.set(key, value)
+    try:
+        rows = spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("u"), F.col("id").alias("v"))
+        found = joined(rows, rows.groupBy("u").agg(F.min("v").alias("m")), ["u"])
+        assert found.count() == 60_000 and found.where("m > v").isEmpty()
+        found.write.format("noop").mode("overwrite").save()
+        execution = found._jdf.queryExecution()
+        found.collect()
+        assert "skew=true" in execution.executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def test_near_vectors(spark):
