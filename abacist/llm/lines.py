@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abacist.llm.components import saved
+from abacist.llm.components import joined, saved
 
 WINDOW = 3
 """Lines of a window: shorter repeated runs stay, unless words count too."""
@@ -95,9 +95,9 @@ def repeated_runs(documents: DataFrame, window: int, words: int | None, id_colum
     place, rank = (F.struct(F.col("_id").isNull().alias("last"), "_id", at) for at in ("place", "start"))
     found = saved(found.select("_id", "_text_key", "w.*"))
     shared = found.groupBy("selected").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most").select("selected")
-    matches = found.join(shared, "selected", "left_semi")
+    matches = joined(found, shared, ["selected"], "left_semi")
     first = matches.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.max(rank).alias("final")).where("first <> final")
-    later = matches.join(first, ["h1", "h2"]).where(rank != F.col("first"))
+    later = joined(matches, first, ["h1", "h2"]).where(rank != F.col("first"))
     return later.groupBy("_id", "_text_key").agg(F.collect_set(F.struct("start", "size")).alias("_runs"))
 
 
