@@ -102,36 +102,6 @@ def clipped_ratio(ratio: Column, clip: float) -> Column:
     return F.greatest(F.least(ratio, F.lit(1 + clip)), F.lit(1 - clip))
 
 
-def clipped_objective(
-    current: ColumnLike, old: ColumnLike, advantage: ColumnLike, clip: float = CLIP_EPSILON
-) -> Column:
-    """Mean of ``min(ratio * A, clip(ratio) * A)`` over the shared length.
-
-    ``A`` is one advantage for the vector, or an array with one per token.
-    """
-    cur, prev = _cut(current, old)
-    ratios = F.zip_with(cur, prev, lambda c, o: F.exp(c - o))
-    advantage = as_column(advantage)
-    return _vector_mean(
-        F.transform(
-            ratios, lambda r: F.least(r * advantage, clipped_ratio(r, clip) * advantage)
-        )
-    )
-
-
-def rollout_loss(
-    current: ColumnLike,
-    old: ColumnLike,
-    advantage: ColumnLike,
-    clip: float = CLIP_EPSILON,
-    kl_coefficient: float = KL_COEFFICIENT,
-) -> Column:
-    """Clipped policy loss with its KL term; null without shared tokens."""
-    return -clipped_objective(current, old, advantage, clip) + kl_coefficient * (
-        kl_estimate(current, old)
-    )
-
-
 def token_loss(
     current: ColumnLike,
     old: ColumnLike,

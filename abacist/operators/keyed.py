@@ -77,19 +77,17 @@ def lookup_join(
 def last_by_key(rows: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame:
     """The row with the largest ``sequence`` of every key.
 
-    An aggregate instead of a window: copies of a key collapse before the
-    shuffle. ``sequence`` has to be unique within a key; a null one counts as
-    smaller than all others.
+    Two phases: keys and sequence numbers alone are aggregated, by hash, and the
+    winners pick their rows, as the built side of a hash join. Whole rows are
+    neither aggregated nor sorted, and rows of a key that many have are split
+    among tasks. ``sequence`` has to be unique within a key; a null one counts as
+    smaller than all others. ``rows`` is computed twice.
     """
-    others = [c for c in rows.columns if c not in keys]
-    rank = F.struct(F.col(sequence).isNotNull(), F.col(sequence))
-    latest = F.max_by(F.struct(*others), rank).alias("_latest")
-    return (
-        rows.groupBy(*keys)
-        .agg(latest)
-        .select(*keys, "_latest.*")
-        .select(*rows.columns)
-    )
+    keys = list(keys)
+    winners = rows.groupBy(*keys).agg(F.max(sequence).alias("_last"))
+    winners = winners.withColumnsRenamed({key: f"_key_{key}" for key in keys}).hint("shuffle_hash")
+    same = _same_key(rows, winners, keys) & rows[sequence].eqNullSafe(winners["_last"])
+    return rows.join(winners, same, "left_semi").select(*rows.columns)
 
 
 def rows_to_do(rows: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:

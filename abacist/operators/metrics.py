@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from abacist.constants import TRAILING_STEPS
 from abacist.functions.text import is_blank
-from abacist.operators.keyed import with_group_stats
+from abacist.operators.ordering import with_places
 
-# Rows per window partition of trailing(), about.
+# Rows per span of trailing().
 ROWS_PER_SPAN = 100_000
 
 
@@ -51,37 +51,21 @@ def trailing(
 ) -> DataFrame:
     """Average (or sum) of the last ``width`` rows of a run, per row.
 
-    Adds ``trailing_<metric>``. Rows are windowed per span of consecutive steps,
-    so that a long run is spread over tasks; how wide a span is follows from the
-    run's first and last step and its number of rows, so logs of every tenth or
-    thousandth step are spread as well. The first rows of a span also need rows
-    before it; they are computed once more from the edges of all spans of the
-    run, at most ``2 * (width - 1)`` rows each. ``(run, step)`` has to be unique
-    and ``step`` a whole number.
+    Adds ``trailing_<metric>``. Rows are ordered by run and step over all tasks and
+    written so, once; the sizes of the parts give every row its place in the whole
+    order. Spans of ``rows_per_span`` places are windowed apart, each with the
+    ``width - 1`` rows before it: the rows before a row in its run are among
+    those. So no task has more than a span, however long or dense a run is.
+    ``(run, step)`` has to be unique; a null step comes first.
     """
     if statistic not in ("avg", "sum"):
         raise ValueError(f"statistic must be 'avg' or 'sum', not {statistic!r}")
-    function = getattr(F, statistic)
-    back = width - 1
-
-    def with_frame(rows: DataFrame, *keys: str) -> DataFrame:
-        frame = W.partitionBy(*keys).orderBy(step).rowsBetween(-back, 0)
-        return rows.withColumns({f"trailing_{m}": function(m).over(frame) for m in metrics})
-
-    span = W.partitionBy(run, "_span")
-    bounds = {"_first": F.min(step), "_last": F.max(step), "_count": F.count(F.lit(1))}
-    each = (F.col("_last") - F.col("_first") + 1).cast("double") / F.col("_count")
-    reach = F.greatest(F.lit(1.0), each * rows_per_span)
-    # dealt out once, so that what makes the steps runs once for all uses of them
-    dealt = steps.repartition(run, step)
-    spans = (
-        with_group_stats(dealt, [run], bounds)
-        .withColumn("_span", F.floor((F.col(step) - F.col("_first")) / reach))
-        .drop(*bounds)
-        .withColumn("_rank", F.row_number().over(span.orderBy(step)))
-        .withColumn("_behind", F.count(F.lit(1)).over(span) - F.col("_rank"))
-    )
-    inner = with_frame(spans, run, "_span").where(F.col("_rank") > back)
-    edges = spans.where((F.col("_rank") <= back) | (F.col("_behind") < back))
-    heads = with_frame(edges, run).where(F.col("_rank") <= back)
-    return inner.unionByName(heads).drop("_span", "_rank", "_behind")
+    function, back = getattr(F, statistic), width - 1
+    placed = with_places(steps, run, step)
+    own = F.call_function("div", F.col("_place"), F.lit(rows_per_span))
+    # a row is also looked back at by the rows of the next places
+    last = F.call_function("div", F.col("_place") + back, F.lit(rows_per_span))
+    copied = placed.withColumn("_span", F.explode(F.sequence(own, last)))
+    frame = W.partitionBy("_span", run).orderBy("_place").rowsBetween(-back, 0)
+    done = copied.withColumns({f"trailing_{m}": function(m).over(frame) for m in metrics})
+    return done.where(F.col("_span") == own).drop("_place", "_span")

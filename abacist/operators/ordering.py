@@ -12,11 +12,15 @@ from pyspark.sql import functions as F
 
 from abacist.constants import DEFAULT_SEED, EVALUATION_SAMPLE
 from abacist.functions.hashing import hash32
+from abacist.session import shared_folder
 
 # The hash range is cut into this many slices to find a position in the order,
 # which also bounds the table of slice sizes that is broadcast.
 _SLICE_BITS = 16
 
+# Rows that first_rows() takes from one sort.
+SORTED_ROWS = 10_000
+
 
 def _with_order(rows: DataFrame, id_column: str, seed: int) -> DataFrame:
     return rows.withColumn("_order", hash32(id_column, seed=seed))
@@ -70,12 +74,46 @@ def seeded_sample(
     return both.orderBy("_order", id_column).drop(*_HELPERS)
 
 
+def with_places(rows: DataFrame, *order: str) -> DataFrame:
+    """Rows with their ``_place``, from 0, in the order of some columns; nulls come first.
+
+    The rows are sorted over all tasks and written so, once, to the shared folder;
+    the sizes of the parts, a row each, tell where every part begins. No task
+    numbers more than its part.
+    """
+    spark, path = rows.sparkSession, shared_folder(rows.sparkSession, "ordered")
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    # the part's number and, in the low 33 bits, the place in the part
+    dealt.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    ordered = spark.read.parquet(path).withColumn("_part", F.shiftright("_at", 33))
+    sizes = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    ahead = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    begins = sizes.select("_part", F.coalesce(F.sum("_rows").over(ahead), F.lit(0)).alias("_begin"))
+    place = F.col("_begin") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return ordered.join(F.broadcast(begins), "_part").withColumn("_place", place).drop("_at", "_part", "_begin")
+
+
 def first_rows(rows: DataFrame, n: int | None, sequence: str) -> DataFrame:
     """The first ``n`` rows by an explicit sequence column; all without ``n``.
 
-    ``n`` is a budget of generator calls: every task keeps up to ``n`` rows.
+    Up to ``SORTED_ROWS`` rows come out of a sort that keeps so many per task. For
+    more, the values of that column alone are put in order, the value at the cut
+    is read, and rows are taken by comparing with it, wherever they are. Of rows
+    that share the value at the cut, any are taken.
     """
-    return rows if not n else rows.orderBy(sequence).limit(n)
+    if not n:
+        return rows
+    if n <= SORTED_ROWS:
+        return rows.orderBy(sequence).limit(n)
+    value = F.col(sequence)
+    placed = with_places(rows.select(value.alias("_value")), "_value")
+    cut = placed.where(F.col("_place") == n - 1).select("_value").first()
+    if cut is None:  # there are fewer rows
+        return rows
+    same = value.isNull() if cut[0] is None else value == F.lit(cut[0])
+    before = F.lit(False) if cut[0] is None else value.isNull() | (value < F.lit(cut[0]))
+    begin = placed.where(F.col("_value").eqNullSafe(F.lit(cut[0]))).agg(F.min("_place")).first()[0]
+    return rows.where(before).unionByName(rows.where(same).limit(n - begin))
 
 
 def skip_shuffled(

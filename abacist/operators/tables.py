@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from abacist.functions.chat import DEFAULT_INSTRUCTION, check_catalogue
 from abacist.functions.text import is_blank
+from abacist.operators.keyed import lookup_join
 
-# Slices in which a table of variants is dealt out by fan_out().
-FAN_OUT_SLICES = 64
+# Variants that fan_out() packs into one row.
+BLOCK_VARIANTS = 1024
 
 
 def optional(rows: DataFrame, column: str, default: str | None = None) -> Column:
@@ -64,14 +65,17 @@ def fan_out(
     A list of variants (models, prompts) becomes an array literal that is
     exploded in place, without a join or a shuffle; ``order`` holds the position
     in the list. A table of variants of any length, with ``order`` as one of its
-    columns, is dealt out in slices: rows repeat per slice and meet its variants
-    by an equal join, whose result is what was asked for.
+    columns, is packed into blocks of about a thousand: a row is repeated per
+    block, meets it by a lookup and unpacks it, so that what is done is in
+    proportion to the rows that come out.
     """
     if isinstance(variants, DataFrame):
-        slices = F.lit(FAN_OUT_SLICES)
-        own = variants.withColumn("_slice", F.pmod(F.xxhash64(order), slices).cast("int"))
-        asked = rows.withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
-        return asked.join(own, "_slice").select(*rows.columns, *variants.columns)
+        blocks = max(1, -(-variants.count() // BLOCK_VARIANTS))
+        block = F.pmod(F.xxhash64(order), F.lit(blocks)).cast("int").alias("_block")
+        packed = variants.groupBy(block).agg(F.collect_list(F.struct(*variants.columns)).alias("_variants"))
+        asked = rows.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        met = lookup_join(asked, packed, ["_block"], "inner")
+        return met.select(*rows.columns, F.inline("_variants"))
     check_catalogue(variants)
     literal = F.array(
         *(

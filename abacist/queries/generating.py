@@ -20,6 +20,7 @@ from abacist.plans import evaluation
 from abacist.plans.augmentation import build_training_tables, rejects_path
 from abacist.queries import sql
 from abacist.queries.registry import query, rounded
+from abacist.queries.training import COPIES, SUBSTITUTED
 from abacist.session import shared_folder
 from abacist.streaming import enrichment
 
@@ -116,6 +117,29 @@ def resumed_training_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs
 
 
+@query(
+    with_views(
+        """
+SELECT id, question, answer, chosen AS cot, '' AS instruction, false AS augmented, NULL::VARCHAR AS original_id FROM pairs
+UNION ALL SELECT id, question, answer, cot, '' AS instruction, true AS augmented, original_id FROM copied
+WHERE answer IS NOT NULL""",
+        "problems",
+        pairs=_PAIRS,
+        eligible="SELECT id, question, answer, chosen AS cot FROM pairs",
+        substituted=SUBSTITUTED,
+        copied=COPIES,
+    )
+)
+def final_training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of two runs: generated solutions and their augmented copies."""
+    path = shared_folder(spark, "tables")
+    rows = problems(spark, sf_dir)
+    paths = (f"{path}/generated", f"{path}/final")
+    build_training_tables(spark, rows, _echo_loader("一卷长13米"), *paths, **_NO_WAIT)
+    final, _ = build_training_tables(spark, rows, _echo_loader(), *paths, **_NO_WAIT)
+    return final
+
+
 @query(
     with_views(
         """

@@ -147,14 +147,16 @@ SELECT id, rollout, round(-list_avg(list_transform(z, lambda t: least(exp(t[1] -
        + 0.04::DOUBLE * list_avg(list_transform(z, lambda t: t[2] - t[1])), 6) AS loss
 FROM (SELECT id, rollout, list_zip(cur[1:n], old[1:n],
              list_transform(range(1, n + 1), lambda j: adv * j)) AS z
-      FROM (SELECT *, least(len(cur), len(old)) AS n FROM log_probs) WHERE n > 0)""",
+      FROM (SELECT *, least(len(cur), len(old)) AS n FROM log_probs))""",
         "log_probs",
     )
 )
 def token_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rollout; one without shared tokens has no loss."""
     length = F.least(F.size("current_log_probs"), F.size("old_log_probs"))
-    rows = log_probs(spark, sf_dir).withColumn("_n", length).where("_n > 0")
-    weights = F.transform(F.sequence(F.lit(1), F.col("_n")), lambda j: F.col("adv") * j)
+    rows = log_probs(spark, sf_dir).withColumn("_n", length)
+    places = F.slice(F.sequence(F.lit(0), F.col("_n")), F.lit(2), F.col("_n"))
+    weights = F.transform(places, lambda j: F.col("adv") * j)
     vectors = [F.slice(F.col(v), 1, F.col("_n")) for v in ("current_log_probs", "old_log_probs")]
     return rows.select("id", "rollout", rounded(token_loss(*vectors, weights)).alias("loss"))
 

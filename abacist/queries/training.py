@@ -190,7 +190,7 @@ def _new_value(value: str, number: int) -> str:
     return f"CASE WHEN {scaled} = {value} THEN greatest(1, {scaled} + {move}) ELSE {scaled} END"
 
 
-_SUBSTITUTED = f"""
+SUBSTITUTED = f"""
 SELECT *, {_new_value('o1', 1)} AS n1, {_new_value('o2', 2)} AS n2
 FROM (SELECT *, numbers[at1 + 1] AS o1, numbers[at2 + 1] AS o2
       FROM (SELECT *, (at1 + 1 + {_draw('position2')} % (len(numbers) - 1)) % len(numbers) AS at2
@@ -222,7 +222,7 @@ SELECT id, copy, CASE WHEN o1 = o2 THEN concat(o2, '>', n2)
 FROM substituted""",
         "problems",
         eligible=_ELIGIBLE_PROBLEMS,
-        substituted=_SUBSTITUTED,
+        substituted=SUBSTITUTED,
     )
 )
 def number_substitutions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,7 +297,7 @@ def long_number_substitutions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_COPIES = f"""
+COPIES = f"""
 SELECT concat(id, '_aug', copy) AS id, new_question AS question,
        coalesce({sql.stated('new_cot')}, CAST({_RATIO} AS VARCHAR)) AS answer,
        new_cot AS cot, {sql.quoted(DEFAULT_INSTRUCTION)} AS instruction, true AS augmented,
@@ -316,8 +316,8 @@ SELECT CAST(id AS VARCHAR) AS id, question, answer, cot, {sql.quoted(DEFAULT_INS
 UNION ALL SELECT * FROM copied WHERE answer IS NOT NULL""",
         "preferences",
         eligible=_ELIGIBLE_SOLUTIONS,
-        substituted=_SUBSTITUTED,
-        copied=_COPIES,
+        substituted=SUBSTITUTED,
+        copied=COPIES,
     )
 )
 def augmented_solutions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -333,8 +333,8 @@ SELECT (SELECT count(*) FROM eligible) AS n_before,
        (SELECT count(*) FROM eligible) + (SELECT count(*) FROM copied WHERE answer IS NOT NULL) AS n_after""",
         "preferences",
         eligible=_ELIGIBLE_SOLUTIONS,
-        substituted=_SUBSTITUTED,
-        copied=_COPIES,
+        substituted=SUBSTITUTED,
+        copied=COPIES,
     )
 )
 def augmentation_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -347,8 +347,8 @@ def augmentation_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT id, cot, {sql.holds('cot')} AS equation_ok FROM copied WHERE answer IS NOT NULL""",
         "preferences",
         eligible=_ELIGIBLE_SOLUTIONS,
-        substituted=_SUBSTITUTED,
-        copied=_COPIES,
+        substituted=SUBSTITUTED,
+        copied=COPIES,
     )
 )
 def augmented_equations(spark: SparkSession, sf_dir: str) -> DataFrame:

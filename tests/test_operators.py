@@ -179,10 +179,12 @@ def test_last_by_key_keeps_rows_without_a_sequence(spark):
     assert rows_of(keyed.last_by_key(rows, ["k"], "n")) == rows_of(rows.where("t in ('a', 'c')"))
 
 
-def test_fan_out_of_a_table(spark):
-    variants = spark.range(1500).select(F.col("id").alias("variant"), F.concat(F.lit("m"), "id").alias("model"))
+@pytest.mark.parametrize("count", [3, 1500, 5000])
+def test_fan_out_of_a_table(spark, count):
+    variants = spark.range(count).select(F.col("id").alias("variant"), F.concat(F.lit("m"), "id").alias("model"))
     found = tables.fan_out(spark.range(3), variants)
-    assert found.count() == 4500 and found.distinct().count() == 4500
+    assert found.count() == 3 * count and found.distinct().count() == 3 * count
+    assert tables.fan_out(spark.range(3), variants.limit(0)).count() == 0
     assert found.columns == ["id", "variant", "model"]
     assert "CartesianProduct" not in found._jdf.queryExecution().executedPlan().toString()
 
@@ -338,3 +340,37 @@ def test_copies_apply_their_substitutions_in_question_and_solution(spark, solved
         assert (row.question, row.cot) == (question, cot)
 
 
+
+
+def test_last_rows_are_neither_sorted_nor_aggregated(spark):
+    rows = spark.range(1000).select((F.col("id") % 50).alias("k"), F.col("id").alias("n"), F.repeat(F.lit("x"), 100).alias("t"))
+    found = keyed.last_by_key(rows, ["k"], "n")
+    assert rows_of(found.select("n")) == [(n,) for n in range(950, 1000)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "ObjectHash" not in plan and "Sort [" not in plan
+
+
+@pytest.mark.parametrize("n", [10_001, 12_000, 20_000, 25_000])
+def test_many_first_rows(spark, n):
+    rows = spark.range(20_000).select(F.when(F.col("id") % 7 > 0, F.floor(F.col("id") / 3)).alias("s"), F.col("id").alias("t"))
+    found = ordering.first_rows(rows.repartition(6), n, "s")
+    assert "TakeOrdered" not in found._jdf.queryExecution().executedPlan().toString()
+    rank = lambda s: (s is not None, s or 0)
+    wanted = sorted((r.s for r in rows.collect()), key=rank)[:n]
+    found = found.collect()
+    assert sorted((r.s for r in found), key=rank) == wanted and len({r.t for r in found}) == len(wanted)
+
+
+def test_many_first_rows_of_one_value(spark):
+    rows = spark.range(30_000).select(F.lit(None).cast("string").alias("s"), "id")
+    assert ordering.first_rows(rows, 15_000, "s").count() == 15_000
+    assert ordering.first_rows(rows.fillna("x"), 15_000, "s").distinct().count() == 15_000
+
+
+def test_no_window_has_a_whole_run(spark):
+    steps = spark.range(3000).select(F.lit(1).alias("epoch"), F.col("id").alias("step"), F.lit(1.0).alias("v"))
+    found = metrics.trailing(steps, ["v"], statistic="sum", rows_per_span=100)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "windowspecdefinition(" in line]
+    assert windows and all("_span" in w or "_part" in w for w in windows)
+    assert found.where("trailing_v <> least(step + 1, 20)").count() == 0
