@@ -164,8 +164,9 @@ CONVERSATION_WITH_MARKS = r"\### Assistant: </turn> ok"
 )
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    more = [(-7, 0, "user", CONVERSATION_WITH_MARKS), (-7, 1, "assistant", CONVERSATION_WITH_MARKS)]
-    written = chat.formatted_conversations(turns.union(spark.createDataFrame(more, turns.schema)))
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    more = spark.range(2).select(F.lit(-7).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(CONVERSATION_WITH_MARKS).alias("text"))
+    written = chat.formatted_conversations(turns.union(more.select(*[F.col(name).cast(kind) for name, kind in turns.dtypes])))
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     read = written.select(
         "conv_id",
@@ -295,7 +296,9 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.learned(documents, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
     found = toxicity.scored(documents, model)
-    return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    offending = F.array_join(F.transform("offending", lambda s: s["sentence"].cast("string")), ",").alias("offending")
+    return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted, offending)
 
 
 @query()
