@@ -19,7 +19,8 @@ from collections import deque
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import Future, ThreadPoolExecutor
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame
@@ -53,16 +54,16 @@ CALL_TASKS = 16
 """Tasks that share a call rate, if nothing else is said."""
 
 def flushed(
-    rows: pd.DataFrame,
-    columns: Sequence[str],
+    rows: pa.RecordBatch,
+    columns: Sequence[pa.Field],
     answers: Iterable[Sequence[tuple]],
     max_rows: int = OUTPUT_ROWS,
     max_seconds: float = OUTPUT_SECONDS,
     clock: Callable[[], float] = time.monotonic,
-) -> Iterator[pd.DataFrame]:
-    """``rows`` with their answers as ``columns``, in few frames.
+) -> Iterator[pa.RecordBatch]:
+    """``rows`` with their answers as ``columns``, in few batches.
 
-    ``answers`` brings those of the next rows, one call's at a time. A frame is
+    ``answers`` brings those of the next rows, one call's at a time. A batch is
     handed on when ``max_rows`` are answered, when the first of them has waited
     ``max_seconds``, and at the end.
     """
@@ -71,19 +72,21 @@ def flushed(
     for answered in answers:
         held.extend(answered)
         if len(held) >= max_rows or clock() - since >= max_seconds:
-            yield _with_columns(rows.iloc[begin : begin + len(held)], columns, held)
+            yield _with_columns(rows.slice(begin, len(held)), columns, held)
             begin, held, since = begin + len(held), [], clock()
     if held:
-        yield _with_columns(rows.iloc[begin : begin + len(held)], columns, held)
+        yield _with_columns(rows.slice(begin, len(held)), columns, held)
 
 
-def _with_columns(rows: pd.DataFrame, columns: Sequence[str], values: list[tuple]) -> pd.DataFrame:
-    return rows.assign(**{name: list(column) for name, column in zip(columns, zip(*values))})
+def _with_columns(rows: pa.RecordBatch, columns: Sequence[pa.Field], values: list[tuple]) -> pa.RecordBatch:
+    added = [pa.array(column, field.type) for field, column in zip(columns, zip(*values))]
+    return pa.RecordBatch.from_arrays([*rows.columns, *added], [*rows.schema.names, *(field.name for field in columns)])
 
 
-def _by_length(rows: pd.DataFrame, text: str) -> pd.DataFrame:
+def _by_length(rows: pa.RecordBatch, text: str) -> pa.RecordBatch:
     """Rows in order of the length of a text, so that a call gets rows alike."""
-    return rows.iloc[rows[text].str.len().fillna(0).argsort(kind="stable")]
+    lengths = pc.fill_null(pc.utf8_length(rows.column(text)), 0)
+    return rows.take(pc.array_sort_indices(lengths))
 
 
 class CallSlots:
@@ -160,10 +163,12 @@ def batch_responses(
     if max_tasks is not None:
         rows = rows.repartition(max_tasks)
 
-    def respond(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    added = [pa.field(response, pa.string())]
+
+    def respond(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows_in in batches:
             ordered = _by_length(rows_in, prompt)
-            inputs = [ordered[column].tolist() for column in (prompt, seed) if column is not None]
+            inputs = [ordered.column(column).to_pylist() for column in (prompt, seed) if column is not None]
 
             def answers() -> Iterator[list[tuple]]:
                 for start in range(0, len(ordered), batch_size):
@@ -173,9 +178,9 @@ def batch_responses(
                         raise ValueError(f"{len(texts)} responses to {len(part[0])} prompts")
                     yield [(text.strip(),) for text in texts]
 
-            yield from flushed(ordered, [response], answers(), output_rows, output_seconds)
+            yield from flushed(ordered, added, answers(), output_rows, output_seconds)
 
-    return rows.mapInPandas(respond, schema, profile=profile)
+    return rows.mapInArrow(respond, schema, profile=profile)
 
 
 def sampled_responses(
@@ -251,9 +256,10 @@ def generated_pairs(
         ]
     )
     kept_names = [f.name for f in kept]
-    columns = ["chosen", "rejected", "status", "attempts", "error"]
+    kinds = {"chosen": pa.string(), "rejected": pa.string(), "status": pa.string(), "attempts": pa.int32(), "error": pa.string()}
+    added = [pa.field(column, kind) for column, kind in kinds.items()]
 
-    def generate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def generate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         slots = CallSlots(call_interval, context.partitionId() if context else 0, max_tasks or 1)
 
@@ -281,11 +287,11 @@ def generated_pairs(
         for batch in batches:
             if len(batch):
                 loaded(name, load)  # before threads ask for it
-            requests = zip(batch["correct_request"], batch["wrong_request"])
+            requests = zip(*(batch.column(c).to_pylist() for c in ("correct_request", "wrong_request")))
             answers = _in_order(pair, requests, open_calls)
-            yield from flushed(batch[kept_names], columns, answers, output_rows, output_seconds)
+            yield from flushed(batch.select(kept_names), added, answers, output_rows, output_seconds)
 
-    return rows.mapInPandas(generate, schema)
+    return rows.mapInArrow(generate, schema)
 
 
 def succeeded(generated: DataFrame) -> DataFrame:

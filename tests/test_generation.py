@@ -1,6 +1,6 @@
 """Retries, rejects, restarts."""
 
-import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,14 +168,15 @@ def test_a_start_reads_no_sink(spark):
 
 
 def test_answers_are_handed_on_by_rows_and_by_time():
-    rows = pd.DataFrame({"n": range(10)})
+    rows = pa.record_batch({"n": list(range(10))})
     times = iter([0.0, 1.0, 2.0, 40.0, 40.0, 41.0, 42.0, 42.0])
     answers = ([(f"a{n}",), (f"a{n + 1}",)] for n in range(0, 10, 2))
-    frames = list(generation.flushed(rows, ["text"], answers, 4, 30.0, lambda: next(times)))
+    text = [pa.field("text", pa.string())]
+    frames = list(generation.flushed(rows, text, answers, 4, 30.0, lambda: next(times)))
     assert [len(f) for f in frames] == [4, 2, 4]  # by rows, by time, the rest
-    assert [(r.n, r.text) for f in frames for r in f.itertuples()] == [(n, f"a{n}") for n in range(10)]
+    assert [(r["n"], r["text"]) for f in frames for r in f.to_pylist()] == [(n, f"a{n}") for n in range(10)]
     single = ([(n,)] for n in range(10))
-    assert [len(f) for f in generation.flushed(rows, ["v"], single, 100, 30.0)] == [10]
+    assert [len(f) for f in generation.flushed(rows, [pa.field("v", pa.int64())], single, 100, 30.0)] == [10]
 
 
 def test_calls_get_prompts_of_similar_length(spark):

@@ -37,7 +37,7 @@ def test_only_generators_run_python(spark, sf_dir, name):
     if name in {"streamed_pairs", "resumed_training_tables", "final_training_table"}:
         pytest.skip("the written table is read back")
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
-    assert "Python" not in plan and "InPandas" not in plan
+    assert "Python" not in plan and "InPandas" not in plan and "InArrow" not in plan
 
 
 def test_entry_is_the_ranked_table(spark):
