@@ -2,13 +2,18 @@
 
 Every window of three lines selects the smallest of its line hashes, so a run of
 three or more lines that occurs twice has a selected line in common. Selected
-lines that occur once rule out all their windows. Of the rest, every whole window
-is hashed and grouped; no match is extended. Windows that overlap form the
-repeated run.
+lines are joined to the first place that has the same line, and these matches are
+extended line by line, first back to the start of the window, then on to its end.
+Of places that a step leaves with the same lines the first one leads, so a place
+that does not go on like its leader is matched with the first one that does. What
+is matched to its end and does not lead is a later copy; such windows overlap to
+the whole repeated run.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,69 +41,95 @@ def _filled(lines: Column) -> Column:
     return F.filter(places, lambda i: i.isNotNull())
 
 
-def _runs(full: Column, window: int, words: int | None) -> Column:
-    """First line's number and length of each run that is compared.
-
-    Those are all runs of ``window`` lines, and shorter ones of ``words`` words.
-    A run whose first and whose last line can each go while ``words`` words stay
-    is left out: the two shorter runs cover it and repeat wherever it does.
-    """
-
-    def sized(count: Column, size: int) -> Column:
-        starts = F.when(count >= size, F.sequence(F.lit(0), F.greatest(count - size, F.lit(0))))
-        runs = F.transform(starts, lambda i: F.struct(i.alias("start"), F.lit(size).alias("size")))
-        return F.coalesce(runs, F.array().cast("array<struct<start:int,size:int>>"))
-
-    def worth(said: Column, size: int) -> Column:
-        def kept(run: Column) -> Column:
-            total = F.aggregate(F.slice(said, run["start"] + 1, size), F.lit(0), lambda a, b: a + b)
-            reaches = F.lit(True) if size == window else total >= words
-            if size == 1:
-                return reaches
-            return reaches & ~((total - said[run["start"]] >= words) & (total - said[run["start"] + size - 1] >= words))
-
-        return F.filter(sized(F.size(said), size), kept)
+def _places(lines: Column, window: int, words: int | None) -> Column:
+    """For each line that is not blank its number, and ``near``: it and ``window - 1`` lines on both sides, null where none is."""
 
-    if words is None:
-        return sized(F.size(full), window)
-    return bound(F.transform(full, lambda line: F.regexp_count(line, F.lit(r"\S+"))), lambda said: F.concat(*[worth(said, n + 1) for n in range(window)]))
+    def told(line: Column) -> Column:
+        said = F.lit(0) if words is None else F.regexp_count(line, F.lit(r"\S+"))
+        return F.struct(F.xxhash64(line).alias("h"), F.xxhash64(F.lit(window), line).alias("g"), said.alias("said"))
 
+    def around(full: Column) -> Column:
+        def one(_: Column, i: Column) -> Column:
+            near = F.transform(F.sequence(i - (window - 1), i + (window - 1)), lambda j: F.get(full, j))
+            return F.struct(i.alias("place"), near.alias("near"))
 
-def _windows(lines: Column, window: int, words: int | None) -> Column:
-    """For each run: first line's number, length, selected line's hash and number, two hashes of all its lines."""
+        return F.transform(full, one)
 
-    def of(full: Column, hashes: Column) -> Column:
-        def one(run: Column) -> Column:
-            inside = F.slice(full, run["start"] + 1, run["size"])
+    trimmed = F.filter(F.transform(lines, lambda line: F.trim(line)), lambda line: F.length(line) > 0)
+    return bound(F.transform(trimmed, told), around)
 
-            def selected(some: Column) -> Column:
-                least = F.array_min(some)
-                place = run["start"] + F.array_position(some, least).cast("int") - 1
-                own = (run["start"].alias("start"), run["size"].alias("size"), least.alias("selected"), place.alias("place"))
-                return F.struct(*own, F.xxhash64(inside).alias("h1"), F.xxhash64(F.lit(window), inside).alias("h2"))
 
-            return bound(F.slice(hashes, run["start"] + 1, run["size"]), selected)
+def _runs(window: int, words: int | None) -> Column:
+    """The runs that select the line in the middle of ``near``: lines before it, and lines in all.
 
-        return F.transform(_runs(full, window, words), one)
+    Compared are all runs of ``window`` lines, and shorter ones of ``words`` words.
+    A run whose first and whose last line can each go while ``words`` words stay
+    is left out: the two shorter runs cover it and repeat wherever it does.
+    """
 
-    trimmed = F.filter(F.transform(lines, lambda line: F.trim(line)), lambda line: F.length(line) > 0)
-    return bound(trimmed, lambda full: bound(F.transform(full, lambda line: F.xxhash64(line)), lambda hashes: of(full, hashes)))
+    def line(offset: int, field: str) -> Column:
+        return F.col("near")[window - 1 + offset][field]
+
+    def selects(offsets: range) -> Column:
+        chosen = F.lit(True)
+        for k in offsets:  # of equal lines the first is selected
+            chosen &= line(k, "h") > line(0, "h") if k < 0 else line(k, "h") >= line(0, "h")
+        return chosen
+
+    def counts(offsets: range) -> Column:
+        if words is None:
+            return F.lit(len(offsets) == window)
+        said = [line(k, "said") for k in offsets]
+        total = sum(said[1:], said[0])
+        reaches = F.lit(True) if len(offsets) == window else total >= words
+        if len(offsets) == 1:
+            return reaches
+        return reaches & ~((total - said[0] >= words) & (total - said[-1] >= words))
+
+    found = []
+    for size in range(1 if words is not None else window, window + 1):
+        for before in range(size):
+            offsets = range(-before, size - before)
+            run = F.struct(F.lit(before).alias("before"), F.lit(size).alias("size"))
+            found.append(F.when(selects(offsets) & counts(offsets), run))
+    return F.filter(F.array(*found), lambda run: run.isNotNull())
 
 
 def _key(id_column: str, text_column: str) -> list[Column]:
     return [F.col(id_column).alias("_id"), F.xxhash64(text_column).alias("_text_key")]
 
 
+def _matched(places: DataFrame, keys: list[str]) -> DataFrame:
+    """The places whose keys another place has too, with the first of them as ``leader``."""
+    rank = F.struct(F.col("_id").isNull().alias("last"), "_id", "place")
+    first = places.groupBy(*keys).agg(F.min(rank).alias("leader"), F.max(rank).alias("final")).where("leader <> final")
+    return joined(places, first.select(*keys, "leader"), keys)
+
+
 def repeated_runs(documents: DataFrame, window: int, words: int | None, id_column: str, text_column: str) -> DataFrame:
     """``_id, _text_key, _runs``: first lines and lengths of the runs that also occur earlier, by document."""
-    found = documents.select(*_key(id_column, text_column), F.explode(_windows(_lines(text_column), window, words)).alias("w"))
-    place, rank = (F.struct(F.col("_id").isNull().alias("last"), "_id", at) for at in ("place", "start"))
-    found = saved(found.select("_id", "_text_key", "w.*"))
-    shared = found.groupBy("selected").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most").select("selected")
-    matches = joined(found, shared, ["selected"], "left_semi")
-    first = matches.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.max(rank).alias("final")).where("first <> final")
-    later = joined(matches, first, ["h1", "h2"]).where(rank != F.col("first"))
-    return later.groupBy("_id", "_text_key").agg(F.collect_set(F.struct("start", "size")).alias("_runs"))
+    places = documents.select(*_key(id_column, text_column), F.explode(_places(_lines(text_column), window, words)).alias("p"))
+    places = places.select("_id", "_text_key", "p.*").withColumn("runs", _runs(window, words)).where(F.size("runs") > 0)
+    own = F.col("near")[window - 1]
+    sides = F.col("near.h").alias("hs"), F.col("near.g").alias("gs")
+    places = saved(places.select("_id", "_text_key", "place", own["h"].alias("h"), own["g"].alias("g"), *sides, "runs"))
+    kept = ["_id", "_text_key", "place", "leader", "before", "size", "hs", "gs"]
+    matches = _matched(places, ["h", "g"]).withColumn("run", F.explode("runs")).select("*", "run.*").select(*kept)
+    ended = []
+    for size in range(1, window + 1):  # lines that are matched
+        matches = saved(matches)
+        ended.append(matches.where(F.col("size") == size).drop("hs", "gs"))
+        if size == window:
+            break
+        following = window - 1 + F.when(F.col("before") >= size, -size).otherwise(size - F.col("before"))
+        led = F.col("leader._id").alias("led_id"), F.col("leader.place").alias("led_place")
+        longer = matches.where(F.col("size") > size).withColumns({"h": F.col("hs")[following], "g": F.col("gs")[following]})
+        longer = longer.select(*(c for c in kept if c != "leader"), "h", "g", *led)
+        matches = _matched(longer, ["led_id", "led_place", "before", "size", "h", "g"]).select(*kept)
+    found = reduce(DataFrame.union, ended)
+    later = found.where((F.col("place") != F.col("leader.place")) | ~F.col("_id").eqNullSafe(F.col("leader._id")))
+    run = F.struct((F.col("place") - F.col("before")).alias("start"), "size")
+    return later.groupBy("_id", "_text_key").agg(F.collect_set(run).alias("_runs"))
 
 
 def _kept(text: Column, runs: Column) -> Column:
