@@ -38,6 +38,7 @@ from abacist.operators.tables import (
 )
 from abacist.session import shared_folder
 from abacist.sources.selection import finished
+from abacist.sources.versions import publish, versioned_table
 
 # Numbers of up to so many digits are scaled in double precision, like those of a
 # question of everyday numbers; longer ones digit by digit, without rounding.
@@ -230,3 +231,38 @@ def build_training_tables(
         final_path
     )
     return spark.read.parquet(final_path), preference_records(pairs)
+
+
+def publish_training_tables(
+    spark: SparkSession,
+    questions: DataFrame,
+    load: Callable[[], Callable[[str, str], str]],
+    root: str,
+    sequence: str = "id",
+    max_samples: int | None = None,
+    resume: bool = True,
+    per_row: int = 2,
+    **generation,
+) -> tuple[DataFrame, DataFrame]:
+    """As :func:`build_training_tables`, with all tables below ``root`` changed in one step.
+
+    ``generated``, ``final`` and ``rejects`` are tables of one version, see
+    :mod:`abacist.sources.versions`: a run that is lost at any point leaves the
+    version before it whole. Only new pairs are augmented and written, as copies
+    do not depend on other rows; rejects are those of the last run.
+    """
+    rows = row_id(first_rows(questions, max_samples, sequence))
+    before = versioned_table(spark, root, "generated") if resume else None
+    if before is not None:
+        rows = rows_to_do(rows, before)
+    answers = shared_folder(spark, "answers")
+    generated_pairs(solution_requests(rows), load, **generation).write.parquet(answers)
+    generated = spark.read.parquet(answers)
+    pairs = generated.transform(succeeded)
+    tables = {
+        "generated": pairs,
+        "final": with_augmented_copies(solution_records(pairs), per_row),
+        "rejects": generated.transform(failed),
+    }
+    publish(spark, root, tables, replaced=("rejects",) if resume else tuple(tables))
+    return versioned_table(spark, root, "final"), preference_records(versioned_table(spark, root, "generated"))

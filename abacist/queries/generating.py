@@ -17,7 +17,7 @@ from abacist.functions.chat import (
 )
 from abacist.operators import generation
 from abacist.plans import evaluation
-from abacist.plans.augmentation import build_training_tables, rejects_path
+from abacist.plans.augmentation import build_training_tables, publish_training_tables, rejects_path
 from abacist.queries import sql
 from abacist.queries.registry import query, rounded
 from abacist.queries.training import COPIES, SUBSTITUTED
@@ -117,19 +117,20 @@ def resumed_training_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs
 
 
-@query(
-    with_views(
-        """
+_FINAL_TABLE = with_views(
+    """
 SELECT id, question, answer, chosen AS cot, '' AS instruction, false AS augmented, NULL::VARCHAR AS original_id FROM pairs
 UNION ALL SELECT id, question, answer, cot, '' AS instruction, true AS augmented, original_id FROM copied
 WHERE answer IS NOT NULL""",
-        "problems",
-        pairs=_PAIRS,
-        eligible="SELECT id, question, answer, chosen AS cot FROM pairs",
-        substituted=SUBSTITUTED,
-        copied=COPIES,
-    )
+    "problems",
+    pairs=_PAIRS,
+    eligible="SELECT id, question, answer, chosen AS cot FROM pairs",
+    substituted=SUBSTITUTED,
+    copied=COPIES,
 )
+
+
+@query(_FINAL_TABLE)
 def final_training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table of two runs: generated solutions and their augmented copies."""
     path = shared_folder(spark, "tables")
@@ -140,6 +141,16 @@ def final_training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return final
 
 
+@query(_FINAL_TABLE)
+def published_training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table from two versions; the second adds to the first what had failed."""
+    root = shared_folder(spark, "versions")
+    rows = problems(spark, sf_dir)
+    publish_training_tables(spark, rows, _echo_loader("一卷长13米"), root, **_NO_WAIT)
+    final, _ = publish_training_tables(spark, rows, _echo_loader(), root, **_NO_WAIT)
+    return final
+
+
 @query(
     with_views(
         """

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from abacist.operators import generation
 from abacist.plans import evaluation
-from abacist.plans.augmentation import build_training_tables, rejects_path
+from abacist.plans.augmentation import build_training_tables, publish_training_tables, rejects_path
 from abacist.session import shared_folder
+from abacist.sources import versions
 from abacist.streaming import enrichment
 
 NO_WAIT = {"retry_wait": 0.0, "call_interval": 0.0}
@@ -272,6 +273,55 @@ def test_rejects_are_kept_and_taken_up_again(spark):
     assert spark.read.parquet(rejects_path(paths[0])).count() == 0
 
 
+def test_published_tables_change_together(spark, monkeypatch):
+    root = shared_folder(spark, "versions")
+
+    def told():
+        names = ("generated", "final", "rejects")
+        found = {n: versions.versioned_table(spark, root, n) for n in names}
+        return {n: None if t is None else sorted(r.id for r in t.collect()) for n, t in found.items()}
+
+    def run(numbers, refuse=None, **options):
+        return publish_training_tables(spark, questions(spark, numbers), loader(refuse=refuse), root, per_row=0, **NO_WAIT, **options)
+
+    write = versions._finish
+    lost = lambda *_: (_ for _ in ()).throw(OSError("lost"))
+    monkeypatch.setattr(versions, "_finish", lost)
+    with pytest.raises(OSError, match="lost"):
+        run([9])
+    assert told() == {"generated": None, "final": None, "rejects": None}
+    monkeypatch.setattr(versions, "_finish", write)
+    run([1, 2, 3], refuse="q2")
+    first = {"generated": ["1", "3"], "final": ["1", "3"], "rejects": ["2"]}
+    assert told() == first
+    monkeypatch.setattr(versions, "_finish", lost)
+    with pytest.raises(OSError, match="lost"):
+        run([1, 2, 3, 4])
+    assert told() == first
+    monkeypatch.setattr(versions, "_finish", write)
+    final, pairs = run([1, 2, 3, 5])
+    assert told() == {"generated": ["1", "2", "3", "5"], "final": ["1", "2", "3", "5"], "rejects": []}
+    assert pairs.count() == final.count() == 4
+    assert spark.read.parquet(f"{root}/version-2/generated").count() == 2
+    assert versions.versioned_table(spark, root, "generated", "version-1").count() == 2
+    run([7], resume=False)
+    assert told() == {"generated": ["7"], "final": ["7"], "rejects": []}
+
+
+@pytest.mark.parametrize("broken", ["a", "b", "c"])
+def test_a_lost_write_leaves_the_version_before(spark, broken):
+    root = shared_folder(spark, "versions")
+    good = {n: spark.range(2).select("id") for n in "abc"}
+    assert versions.publish(spark, root, good) == "version-1"
+    bad = {n: spark.range(2, 5).select(F.when(F.col("id") < 4, F.col("id")).otherwise(F.raise_error("lost").cast("long")).alias("id")) for n in broken}
+    with pytest.raises(Exception, match="lost"):
+        versions.publish(spark, root, {n: bad.get(n, spark.range(2, 5).select("id")) for n in "abc"})
+    assert {n: versions.versioned_table(spark, root, n).count() for n in "abc"} == dict.fromkeys("abc", 2)
+    assert versions.publish(spark, root, {"a": spark.range(2, 3)}, replaced=("c",)) == "version-2"
+    assert [versions.versioned_table(spark, root, n) is None for n in "abc"] == [False, False, True]
+    assert versions.versioned_table(spark, root, "a").count() == 3
+
+
 def test_fallback_model_is_the_first_available(spark):
     def load():
         return lambda prompts: ["答案：1"] * len(prompts)
