@@ -1,8 +1,10 @@
 """Chat formatting, contamination, pseudonyms, coding and toxicity."""
 
 import hashlib
+import math
 import random
 import re
+import zlib
 from collections import defaultdict
 from datetime import date, timedelta
 
@@ -350,6 +352,66 @@ def test_toxicity_learns_from_documents_and_locates_sentences(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, r in found.items() if r.score < 0.5}
 
 
+def plain_parts(text):
+    """Per sentence, the numbers of all its words and of their beginnings."""
+    found = []
+    for sentence in re.split(r"[.!?\n]", text.lower()):
+        parts = []
+        for word in re.findall(r"[0-9a-z]+", sentence):
+            parts += [f"|{word}", *(f"{n}|{word[:n]}" for n in (3, 4, 5, 6, 7) if len(word) > n)]
+        if parts:
+            found.append([zlib.crc32(part.encode()) % (1 << 20) for part in parts])
+    return found
+
+
+def plain_score(sentence, weights, bias):
+    return 1 / (1 + math.exp(-sum(weights.get(f, 0.0) for f in sentence) - bias))
+
+
+def plain_fit(documents):
+    """Noisy-or over sentences, fitted to document labels one document and sentence at a time."""
+    documents = [(plain_parts(text), label) for text, label in documents]
+    held_by = defaultdict(int)
+    for parts, _ in documents:
+        for feature in {f for sentence in parts for f in sentence}:
+            held_by[feature] += 1
+    weights = {f: 0.0 for f, n in held_by.items() if n >= toxicity.RARE}
+    moved, bias, bias_moved = dict.fromkeys(weights, 1e-8), toxicity.PRIOR, 1e-8
+    for _ in range(toxicity.ROUNDS):
+        slopes, total = dict.fromkeys(weights, 0.0), 0.0
+        for parts, label in documents:
+            scores = [plain_score(sentence, weights, bias) for sentence in parts]
+            harmless = math.prod(1 - p for p in scores)
+            for sentence, p in zip(parts, scores):
+                slope = p * (-harmless / (1 - harmless) if label else 1.0) / len(documents)
+                total += slope
+                for f in sentence:
+                    if f in slopes:
+                        slopes[f] += slope
+        for f, slope in slopes.items():
+            moved[f] += slope**2
+            rate = toxicity.RATE / math.sqrt(moved[f])
+            weight = weights[f] - rate * slope
+            weights[f] = math.copysign(max(abs(weight) - rate * toxicity.SPARSITY, 0.0), weight)
+        bias_moved += total**2
+        bias -= toxicity.RATE * total / math.sqrt(bias_moved)
+    return weights, bias
+
+
+def test_toxicity_against_plain_python(spark):
+    rows = labelled(5, 260)
+    docs = spark.createDataFrame([r[:2] for r in rows], DOCS).repartition(3)
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    weights, bias = plain_fit([(text, y) for i, text, y in rows if zlib.crc32(str(i).encode()) % 5])
+    model = toxicity.learned(docs, labels)
+    assert model.bias == pytest.approx(bias, abs=1e-4)
+    for row in toxicity.scored(docs, model).collect():
+        scores = [plain_score(sentence, weights, bias) for sentence in plain_parts(rows[row.doc_id][1])]
+        assert row.score == pytest.approx(1 - math.prod(1 - p for p in scores), abs=1e-4)
+        assert [o.sentence for o in row.offending] == [i for i, p in enumerate(scores) if p >= 0.5]
+        assert [o.score for o in row.offending] == pytest.approx([p for p in scores if p >= 0.5], abs=1e-4)
+
+
 def test_toxicity_odd_rows(spark):
     model = toxicity.fitted([(b"", 1), (b"x", 0)])
     table = spark.createDataFrame([(1, None), (2, ""), (2, ""), (None, "a. b!"), (3, "...")], DOCS).withColumn("score", F.lit("x"))
