@@ -8,8 +8,10 @@ the bucket judges all its keys, and its answers go back in the order sent. A key
 that a third of all documents hold reaches its bucket once per chunk, as a few
 bytes, so there is no group of its occurrences anywhere.
 
-The same rows have to come in the same order when a lost task runs again, as
-they do from files; a chunk is named by its input partition and its place there.
+A chunk is named by its input partition and its place there. Answers are told by
+their place in a question, so a task that is lost and run again has to build the
+same chunks: rows are sorted within their partition first, since a shuffle hands
+them over in another order each time.
 """
 
 from __future__ import annotations
@@ -105,7 +107,7 @@ def packed(documents: DataFrame, id_column: str = "doc_id", text_column: str = "
             yield flush()
 
     narrow = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
-    return narrow.mapInArrow(run, "chunk long, body binary").repartition("chunk")
+    return narrow.sortWithinPartitions("id", "text").mapInArrow(run, "chunk long, body binary").repartition("chunk")
 
 
 def bucket_count(documents: DataFrame, text_column: str = "text", bucket_bytes: int = BUCKET_BYTES) -> int:

@@ -133,8 +133,8 @@ def without_repeated_spans(
     goes, with the white space behind it. Sentences are compared without the
     white space around them; the number of words keeps short phrases that repeat
     by chance. Null texts count as empty,
-    null ids come last, and rows that share an id are separate documents in the
-    order they are read; of equal rows one stays. Documents of fewer
+    null ids come last, and rows that share an id are separate documents,
+    by partition and then by text; of equal rows one stays. Documents of fewer
     sentences or words stay whole. Other columns are ignored; an empty table gives none.
     """
     buckets = C.bucket_count(documents, text_column)

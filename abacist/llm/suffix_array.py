@@ -1,9 +1,9 @@
 """Suffix array of one shard by induced sorting, and its permuted common prefixes.
 
 Level 0 works on whole buckets of bytes with numpy: what a bucket induces is
-grouped stably by preceding symbol. The reduced strings of deeper levels have
-large alphabets and few symbols per bucket; there all buckets are induced at
-once, in rounds along the chains that lead to a leftmost-smaller suffix.
+grouped stably by preceding symbol. The reduced strings of deeper levels, at most
+half as long each, have large alphabets and few symbols per bucket; there places
+are induced one by one. Every level takes time in proportion to its string.
 """
 
 from __future__ import annotations
@@ -95,117 +95,81 @@ def _names(text: np.ndarray, places: np.ndarray, leftmost: np.ndarray) -> np.nda
     return np.cumsum(differs) - 1
 
 
-def suffix_array(text: np.ndarray, sigma: int) -> np.ndarray:
+def _induced_singly(text: np.ndarray, smaller: np.ndarray, leftmost: np.ndarray, sigma: int) -> np.ndarray:
+    """As :func:`_induced`, place by place: linear in the text, whatever the alphabet."""
+    symbols, kinds, count = text.tolist(), smaller.tolist(), len(text)
+    sizes = np.bincount(text, minlength=sigma)
+    ends = np.cumsum(sizes)
+    heads, tails = (ends - sizes).tolist(), ends.tolist()
+    order = [-1] * count
+    for place in reversed(leftmost.tolist()):
+        symbol = symbols[place]
+        tails[symbol] -= 1
+        order[tails[symbol]] = place
+    for place in order:  # larger suffixes land behind the place that induces them
+        if place > 0 and not kinds[place - 1]:
+            symbol = symbols[place - 1]
+            order[heads[symbol]] = place - 1
+            heads[symbol] += 1
+    tails = ends.tolist()
+    for at in range(count - 1, -1, -1):
+        place = order[at] - 1
+        if place >= 0 and kinds[place]:
+            symbol = symbols[place]
+            tails[symbol] -= 1
+            order[tails[symbol]] = place
+    return np.array(order, np.int64)
+
+
+def suffix_array(text: np.ndarray, sigma: int, induced=_induced) -> np.ndarray:
     """Starts of all suffixes in order; ``text`` has symbols below ``sigma`` and ends with its only 0."""
     if len(text) == 1:
         return np.zeros(1, np.int64)
     smaller = _classes(text)
     leftmost = _leftmost(smaller)
     if len(leftmost) > 1:
-        ranked = _induced(text, smaller, leftmost, sigma)
+        ranked = induced(text, smaller, leftmost, sigma)
         marked = np.zeros(len(text), bool)
         marked[leftmost] = True
         ranked = ranked[marked[ranked]]
         names = np.empty(len(text), np.int64)
         names[ranked] = numbers = _names(text, ranked, leftmost)
         if numbers[-1] + 1 < len(leftmost):
-            leftmost = leftmost[_sorted_reduced(names[leftmost])]
+            leftmost = leftmost[suffix_array(names[leftmost], int(numbers[-1]) + 1, _induced_singly)]
         else:
             leftmost = ranked
-    return _induced(text, smaller, leftmost, sigma)
-
-
-def _dense(*keys: np.ndarray) -> np.ndarray:
-    """Ranks of key tuples."""
-    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0])
-    new = np.zeros(len(order), np.int64)
-    for key in keys:
-        ranked = key[order]
-        new[1:] |= ranked[1:] != ranked[:-1]
-    ranks = np.empty(len(order), np.int64)
-    ranks[order] = np.cumsum(new)
-    return ranks
-
-
-def _paired(high: np.ndarray, low: np.ndarray) -> np.ndarray:
-    """Ranks of pairs of ranks."""
-    return _dense(high * (int(low.max()) + 1) + low)
-
-
-def _by_rounds(own: np.ndarray, following: np.ndarray) -> np.ndarray:
-    """Ranks induced along chains: by own rank, then by the rank of what follows.
-
-    A chain ends in a place that follows itself, whose rank is final; each round
-    looks twice as far ahead.
-    """
-    while True:
-        ahead = following[following]
-        own = _paired(own, own[following])
-        if np.array_equal(ahead, following):
-            return own
-        following = ahead
-
-
-def _induced_ranks(text: np.ndarray, smaller: np.ndarray, leftmost: np.ndarray, ranks: np.ndarray) -> np.ndarray:
-    """Ranks of all suffixes, given ranks from 1 on of the leftmost-smaller ones."""
-    n = len(text)
-    places = np.arange(n)
-    known = np.zeros(n, np.int64)
-    known[leftmost] = ranks
-    ends = smaller.copy()  # larger suffixes lead to a leftmost-smaller one
-    larger = _by_rounds(_paired(text * 2 + smaller, known), np.where(ends, places, np.minimum(places + 1, n - 1)))
-    known = np.where(smaller, 0, larger + 1)  # smaller suffixes lead to a larger one, or to the end
-    ends = ~smaller
-    ends[-1] = True
-    return _by_rounds(_paired(text * 2 + smaller, known), np.where(ends, places, np.minimum(places + 1, n - 1)))
-
-
-def _sorted_reduced(text: np.ndarray) -> np.ndarray:
-    """Induced sorting of a reduced string, whose alphabet is large; it ends with its only 0."""
-    n = len(text)
-    smaller = _classes(text)
-    leftmost = _leftmost(smaller)
-    ranks = np.ones(len(leftmost), np.int64)
-    if len(leftmost) > 1:
-        # Substrings up to the next leftmost-smaller place: chains that end there.
-        marked = np.zeros(n, bool)
-        marked[leftmost] = True
-        ends = marked.copy()
-        ends[-1] = True
-        tail = _by_rounds(_dense(text * 2 + smaller), np.where(ends, np.arange(n), np.minimum(np.arange(n) + 1, n - 1)))
-        names = _paired(text[leftmost], tail[np.minimum(leftmost + 1, n - 1)])
-        if int(names.max()) + 1 < len(names):
-            order = _sorted_reduced(names)
-            ranks[order] = np.arange(1, len(names) + 1)
-        else:
-            ranks = names + 1
-    return np.argsort(_induced_ranks(text, smaller, leftmost, ranks), kind="stable")
+    return induced(text, smaller, leftmost, sigma)
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
     """By place: symbols shared with the suffix before it in order, up to ``most``.
 
-    Compares seven symbols at a time, below 512 each, then one by one.
+    Where both suffixes follow the same symbol, one symbol less is shared than at
+    the place before, so only the other places are compared, and their prefixes
+    add up to at most n log n symbols. Seven symbols are compared at a time,
+    below 512 each, then one by one.
     """
-    shared = np.zeros(len(text), np.int64)
+    places = np.arange(len(text))
     before = np.empty(len(text), np.int64)
     before[order[0]] = -1
     before[order[1:]] = order[:-1]
-    active = np.flatnonzero(before >= 0)
-    wide = np.concatenate((text.astype(np.int64), np.full(most + 7, 511)))
+    compared = (places == 0) | (before <= 0)
+    compared[1:] |= text[:-1] != text[before[1:] - 1]
+    shared = np.zeros(len(text), np.int64)
+    active = np.flatnonzero(compared & (before >= 0))
+    wide = np.concatenate((text.astype(np.int64), np.full(13, 511)))
     words = wide[:-6].copy()
     for step in range(1, 7):
         words = (words << 9) | wide[step : len(words) + step]
     length = 0
-    while len(active) and length < most:
-        width = 7 if most - length >= 7 else 1
-        symbols = words if width == 7 else wide
-        equal = symbols[active + length] == symbols[before[active] + length]
+    while len(active):  # the last symbol is unique, so no comparison passes the end
+        equal = words[active + length] == words[before[active] + length]
         rest = active[~equal]
-        for step in range(width - 1):
+        for step in range(6):
             rest = rest[wide[rest + length + step] == wide[before[rest] + length + step]]
             shared[rest] = length + step + 1
         active = active[equal]
-        length += width
+        length += 7
         shared[active] = length
-    return shared
+    source = np.maximum.accumulate(np.where(compared, places, 0))
+    return np.minimum(shared[source] - (places - source), most)

@@ -3,13 +3,16 @@
 Every 100-byte window has one anchor: the smallest hash of its 32-byte strings.
 Windows of one document that share an anchor form a segment of at most 168
 bytes, and equal windows always have equal anchors, so anchors deal segments out
-to shards. Equal segments (told by 104 hashed bits) count once: all windows of a
-later one are repeated.
-Segments that share an anchor but differ meet in a shard, whose suffix array
-(induced sorting) and common prefixes show which of their windows are equal.
-Anchors with very many different segments, as at the edges of a very common
-passage, are dealt out further by a hash of the whole window; each such window
-is then compared as a whole, so that no shard gathers them all.
+to shards. A chunk sends each of its different segments once, and only those whose
+anchor stands more than once. Equal segments count once in a chunk and in a shard,
+compared byte by byte: all windows of a later one are repeated. The suffix array
+(induced sorting) of a shard's different segments and its common prefixes show
+which of their windows are equal.
+Two kinds of anchor are too common for one shard. If very many chunks have it, a
+segment of the same 104 hashed bits as an earlier one is taken as equal and not
+sent. If very many different segments have it, as at the edges of a very common
+passage, they are dealt out further by a hash of the whole window; each such
+window is then compared by 128 hashed bits, so that no shard gathers them all.
 """
 
 from __future__ import annotations
@@ -33,6 +36,9 @@ ANCHOR = 32
 HOT_SEGMENTS = 1 << 11
 """Different segments of one anchor beyond which its windows are dealt out one by one."""
 
+HOT_COPIES = 1 << 14
+"""Segments of one anchor, each once per chunk, beyond which equal ones are told by their digests."""
+
 BLOCK_BYTES = 1 << 17
 """Bytes hashed at a time; keeps working arrays in the cache."""
 
@@ -60,7 +66,25 @@ class Segments:
         columns = list(zip(*parts)) or [[np.zeros(0, np.int64)]] * 6
         joined = [np.concatenate(c) for c in columns]
         self.anchor, self.digest, self.row, self.start, self.windows, self.offset = joined
-        self.firsts, self.number = C.first_places(self.anchor, self.digest)
+        clash = np.zeros(len(self.anchor), np.int64)
+        while True:
+            self.firsts, self.number = C.first_places(self.anchor, self.digest, clash)
+            later = np.flatnonzero(self.firsts[self.number] != np.arange(len(self.number)))
+            other = later[~self._equal(chunk.data, later, self.firsts[self.number[later]])]
+            if not len(other):
+                break
+            clash[other] += 1  # equal digests of different bytes
+
+    def _equal(self, data: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether pairs of segments have the same bytes."""
+        equal = self.windows[left] == self.windows[right]
+        compared = np.flatnonzero(equal)
+        for at in range(0, len(compared), 1 << 13):
+            part = compared[at : at + (1 << 13)]
+            size = self.windows[left[part]] + LENGTH - 1
+            same = data[ranges(self.start[left[part]], size)] == data[ranges(self.start[right[part]], size)]
+            equal[part] = np.logical_and.reduceat(same, np.cumsum(size) - size)
+        return equal
 
 
 def _hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -142,27 +166,36 @@ def _asked(buckets: int):
     return ask
 
 
-def _judge(names: list[int], bodies: list[bytes], bucket: int) -> Iterator[tuple[int, int, bytes]]:
-    columns = []
-    for body in bodies:
-        low, high, digest, rank = C.split_pieces(body)
-        digest = np.frombuffer(digest, np.uint64)
-        low = np.frombuffer(low, np.uint32).astype(np.int64) + (np.frombuffer(high, np.uint8).astype(np.int64) << 32)
-        columns.append((low, digest, C.from_deltas(rank, len(digest))))
-    anchor, digest, rank = (np.concatenate(c) for c in zip(*columns))
-    order = np.lexsort((rank, digest, anchor))  # stable: of equal ranks the earlier chunk
-    new_anchor = np.ones(len(order), bool)
-    new_anchor[1:] = anchor[order][1:] != anchor[order][:-1]
-    new = new_anchor.copy()
-    new[1:] |= digest[order][1:] != digest[order][:-1]
-    different = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_anchor))
-    different = different[np.cumsum(new_anchor) - 1]
-    code = np.where(~new, LATER, np.where(different == 1, ALONE, np.where(different > HOT_SEGMENTS, HOT, SHARED)))
-    codes = np.empty(len(order), np.uint8)
-    codes[order] = code
-    cuts = np.cumsum([len(c[1]) for c in columns])[:-1]
-    for name, part in zip(names, np.split(codes, cuts)):
-        yield name, bucket, pa.compress(part.tobytes(), "zstd", asbytes=True)
+def _judge(hot_segments: int, hot_copies: int):
+    def judge(names: list[int], bodies: list[bytes], bucket: int) -> Iterator[tuple[int, int, bytes]]:
+        columns = []
+        for body in bodies:
+            low, high, digest, rank = C.split_pieces(body)
+            digest = np.frombuffer(digest, np.uint64)
+            low = np.frombuffer(low, np.uint32).astype(np.int64) + (np.frombuffer(high, np.uint8).astype(np.int64) << 32)
+            columns.append((low, digest, C.from_deltas(rank, len(digest))))
+        anchor, digest, rank = (np.concatenate(c) for c in zip(*columns))
+        order = np.lexsort((rank, digest, anchor))  # stable: of equal ranks the earlier chunk
+        new_anchor = np.ones(len(order), bool)
+        new_anchor[1:] = anchor[order][1:] != anchor[order][:-1]
+        new = new_anchor.copy()
+        new[1:] |= digest[order][1:] != digest[order][:-1]
+        begins, group = np.flatnonzero(new_anchor), np.cumsum(new_anchor) - 1
+        different = np.add.reduceat(new.astype(np.int64), begins)[group]
+        copies = np.diff(np.append(begins, len(order)))[group]
+        compared = (different <= hot_segments) & (copies <= hot_copies)
+        code = np.select(
+            [copies == 1, compared, ~new, different == 1, different <= hot_segments],
+            [ALONE, SHARED, LATER, ALONE, SHARED],
+            HOT,
+        )
+        codes = np.empty(len(order), np.uint8)
+        codes[order] = code
+        cuts = np.cumsum([len(c[1]) for c in columns])[:-1]
+        for name, part in zip(names, np.split(codes, cuts)):
+            yield name, bucket, pa.compress(part.tobytes(), "zstd", asbytes=True)
+
+    return judge
 
 
 SHARD, WINDOWS, DONE = range(3)
@@ -287,6 +320,18 @@ def _comparable(data: np.ndarray, begins: np.ndarray, size: np.ndarray, offset:
     return first, np.maximum(last - first + 1, 0)
 
 
+def _equal_to_earlier(data: np.ndarray, begins: np.ndarray, size: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Segments with the bytes of one before them in order."""
+    raw, seen, later = data.tobytes(), set(), []
+    for at, begin, end in zip(order.tolist(), begins[order].tolist(), (begins + size)[order].tolist()):
+        segment = raw[begin:end]
+        if segment in seen:
+            later.append(at)
+        else:
+            seen.add(segment)
+    return np.array(later, np.int64)
+
+
 def _by_suffixes(names: list[int], bodies: list[bytes]) -> Iterator[tuple[int, bytes]]:
     columns = []
     for at, body in enumerate(bodies):
@@ -297,6 +342,13 @@ def _by_suffixes(names: list[int], bodies: list[bytes]) -> Iterator[tuple[int, b
         columns.append((data, size, C.from_deltas(rank, len(size)), C.from_deltas(start, len(size)), offset, np.full(len(size), at)))
     data, size, rank, start, offset, owner = (np.concatenate(c) for c in zip(*columns))
     begins = np.cumsum(size) - size
+    later = _equal_to_earlier(data, begins, size, np.lexsort((start, owner, rank)))
+    for at, places in C.by_bucket(owner[later]):
+        mine = later[places]
+        yield names[at], _runs(start[mine], size[mine] - LENGTH + 1)
+    kept = np.ones(len(size), bool)
+    kept[later] = False
+    begins, size, rank, start, offset, owner = (x[kept] for x in (begins, size, rank, start, offset, owner))
     first, windows = _comparable(data, begins, size, offset)
     some = windows > 0
     begins, start, rank, owner = (begins + first)[some], (start + first)[some], rank[some], owner[some]
@@ -352,19 +404,21 @@ def _kept(name: int, chunk: C.Chunk, found: dict[int, list[bytes]]) -> pa.Table:
     )
 
 
-def without_repeated_strings(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def without_repeated_strings(
+    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", hot_segments: int = HOT_SEGMENTS, hot_copies: int = HOT_COPIES
+) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (binary) of every row.
 
     A byte goes if a 100-byte string that covers it also starts earlier: in a
     document of smaller id, or further ahead in the same one. Null texts count as
     empty, null ids come last, and rows that share an id count as separate
-    documents in the order they are read; of equal rows one stays. Texts below
+    documents, by partition and then by text; of equal rows one stays. Texts below
     100 bytes stay whole. Other columns are ignored; an empty table gives none.
     ``kept`` may cut a character in two, as strings are judged by byte.
     """
     buckets = C.bucket_count(documents, text_column)
     chunks = C.packed(documents, id_column, text_column)
-    answers = C.judged(C.asked(chunks, _asked(buckets)), _judge)
+    answers = C.judged(C.asked(chunks, _asked(buckets)), _judge(hot_segments, hot_copies))
     dealt = C.answered(chunks, answers, _dealt(buckets), _SORTED)
     found = dealt.groupBy("kind", "key").applyInArrow(_sorted_shard, C.ANSWER_SCHEMA)
     return C.answered(chunks, found, _kept, RESULT)

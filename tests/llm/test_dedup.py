@@ -3,12 +3,13 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from abacist.llm import components, lines, simhash, spans, suffixes
+from abacist.llm import chunks, components, lines, simhash, spans, suffixes
 
 DOCS = "doc_id long, text string"
 
@@ -47,15 +48,53 @@ def brute_strings(docs):
     return found
 
 
-@pytest.mark.parametrize("hot", [2048, 2])
-def test_repeated_strings(spark, monkeypatch, hot):
-    monkeypatch.setattr(suffixes, "HOT_SEGMENTS", hot)
+@pytest.mark.parametrize("segments,copies", [(2048, 1 << 14), (2, 1 << 14), (2048, 2), (2, 2)])
+def test_repeated_strings(spark, segments, copies):
     docs = corpus(7)
-    found = suffixes.without_repeated_strings(frame(spark, docs)).collect()
+    found = suffixes.without_repeated_strings(frame(spark, docs, 8), hot_segments=segments, hot_copies=copies).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found} == brute_strings(docs)
     assert sum(r.n_removed for r in found) > 1000
 
 
+def test_segments_of_equal_digest_are_compared(monkeypatch):
+    ids, texts = zip(*corpus(7))
+    chunk = chunks.Chunk(chunks.pack(pa.array(ids), pa.array(texts)))
+    whole = suffixes._segments
+
+    def weak(*args):
+        anchor, digest, *rest = whole(*args)
+        return anchor, digest % 2, *rest
+
+    monkeypatch.setattr(suffixes, "_segments", weak)
+    found = suffixes.Segments(chunk)
+    by_bytes = {}
+    for at, (start, windows) in enumerate(zip(found.start.tolist(), found.windows.tolist())):
+        first = by_bytes.setdefault((found.anchor[at], chunk.data[start : start + windows + 99].tobytes()), at)
+        assert found.firsts[found.number[at]] == first
+    pairs = {(a, d) for a, d in zip(found.anchor.tolist(), found.digest.tolist())}
+    assert len(found.firsts) == len(by_bytes) > len(pairs)
+
+
+def test_repeated_strings_of_a_very_long_text(spark):
+    text = " ".join(map(str, range(1_300_000)))
+    cut = 64 * suffixes.BLOCK_BYTES  # longer texts are hashed in stretches
+    assert len(text) > cut + 1000
+    across, before = text[cut - 400 : cut + 400], text[5000:5150]
+    rows = [(1, text + "|" + across + "|"), (2, "#" + before + "#" + across[300:500] + "#")]
+    found = {r.doc_id: (r.n_removed, r.n_spans, bytes(r.kept)) for r in suffixes.without_repeated_strings(frame(spark, rows)).collect()}
+    assert found == {1: (800, 1, (text + "||").encode()), 2: (350, 2, b"###")}
+
+
+def test_chunks_do_not_depend_on_the_order_of_rows(spark):
+    rows = [(i % 40 or None, f"text {i % 70}" * 50) for i in range(400)] + [(3, None), (3, ""), (None, None)]
+    bodies = []
+    for seed in (1, 2):
+        random.Random(seed).shuffle(rows)
+        table = spark.createDataFrame(rows, DOCS).coalesce(1)
+        bodies.append(sorted((r.chunk, bytes(r.body)) for r in chunks.packed(table, chunk_bytes=10_000).collect()))
+    assert bodies[0] == bodies[1] and len(bodies[0]) > 5
+
+
 def test_repeated_strings_odd_rows(spark):
     text = "".join(map(str, range(100)))
     rows = [(1, None), (2, ""), (3, text), (3, text), (None, text), (4, "short")]
