@@ -3,8 +3,10 @@
 A window of an item occurs in a document only if its rarest shingle does, at a
 place from which the whole window fits. So each window joins by that one shingle
 (the prefix that exact containment needs), and what passes the bounds is compared
-word by word. Windows are taken in blocks of bounded size, so every task can
-hold a block, however large the benchmark is.
+word by word. Different windows are taken in blocks of bounded size, so every
+task can hold a block, however large the benchmark is and however many items
+share a window; a block goes when its pass over the documents is written. Which
+items the found windows belong to is a join afterwards.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abacist.llm.components import saved
+from abacist.llm.components import joined, saved
 from abacist.llm.suffixes import ranges
 
 WINDOW = 13
@@ -27,7 +29,7 @@ SHARE = 20
 """A document is contaminated if at least one word in so many is hit."""
 
 BLOCK_WINDOWS = 1 << 17
-"""Pairs of window and item that one block holds."""
+"""Different windows that one block holds, about."""
 
 _WORD_BYTES = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(0x80, 0x100))
 _TABLE = bytes(b if b in _WORD_BYTES else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
@@ -56,17 +58,12 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW, id_column: str = "i
 
 
 class Block:
-    """Distinct windows of a block as word numbers, with their items and shingles."""
-
-    def __init__(self, pairs: list[tuple[int | None, bytes]], shingle: int = SHINGLE) -> None:
-        by_window: dict[bytes, list[int]] = {}
-        for item, window in pairs:
-            items = by_window.setdefault(bytes(window), [])
-            if item is not None:
-                items.append(item)
-        self.items = list(by_window.values())
+    """Different windows of a block as word numbers, with their ids and shingles."""
+
+    def __init__(self, windows: list[tuple[int, bytes]], shingle: int = SHINGLE) -> None:
+        self.ids = np.array([name for name, _ in windows], np.int64)
         self.numbers: dict[bytes, int] = {}
-        coded = [[self.numbers.setdefault(w, len(self.numbers) + 1) for w in window.split()] for window in by_window]
+        coded = [[self.numbers.setdefault(w, len(self.numbers) + 1) for w in bytes(window).split()] for _, window in windows]
         self.lengths = np.array([len(c) for c in coded], np.int64)
         self.begins = np.cumsum(self.lengths) - self.lengths
         self.coded = np.concatenate([np.array(c, np.int32) for c in coded])
@@ -112,11 +109,11 @@ class Block:
                 which.append(found[same])
         return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (places, which))
 
-    def hits(self, numbers: np.ndarray) -> tuple[np.ndarray, list[int]]:
-        """Places of all hit words, and the items whose windows occur."""
+    def hits(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of all hit words, and the ids of the windows that occur."""
         places, which = self.places(numbers, self.prefixes)
         if not len(places):
-            return places, []
+            return places, places
         sizes = self.prefix_sizes[which]
         entry = ranges(self.prefix_begins[which], sizes)
         window, start = self.prefix_windows[entry], np.repeat(places, sizes) - self.prefix_offsets[entry]
@@ -128,8 +125,7 @@ class Block:
             same = ~inside
             same[inside] = numbers[start[inside] + step] == self.coded[self.begins[window[inside]] + step]
             window, start, length = window[same], start[same], length[same]
-        items = sorted({item for w in np.unique(window).tolist() for item in self.items[w]})
-        return np.unique(ranges(start, length)), items
+        return np.unique(ranges(start, length)), self.ids[np.unique(window)]
 
 
 def shingles(numbers: np.ndarray, width: int) -> np.ndarray:
@@ -159,7 +155,7 @@ def _counted(documents: DataFrame, block) -> dict[int, int]:
     return {row.shingle: row.n for row in counts.toLocalIterator()}  # no more rows than the block has shingles
 
 
-HITS = "doc_id long, key binary, block int, n_words long, hits array<int>, items array<long>"
+HITS = "doc_id long, key binary, block int, n_words long, hits array<int>, windows array<long>"
 
 
 def _hit(documents: DataFrame, block, number: int) -> DataFrame:
@@ -170,10 +166,10 @@ def _hit(documents: DataFrame, block, number: int) -> DataFrame:
             for doc, text in zip(batch.column(0), batch.column(1).cast(pa.binary())):
                 body = text.as_buffer().to_pybytes() if text.is_valid else b""
                 numbers = held.numbered(body)
-                places, items = held.hits(numbers)
-                rows.append((doc.as_py(), xxhash.xxh3_128_digest(body), number, len(numbers), places, items))
+                places, windows = held.hits(numbers)
+                rows.append((doc.as_py(), xxhash.xxh3_128_digest(body), number, len(numbers), places, windows))
             kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()))
-            names = ("doc_id", "key", "block", "n_words", "hits", "items")
+            names = ("doc_id", "key", "block", "n_words", "hits", "windows")
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
@@ -192,38 +188,44 @@ def contamination(
     are hit but name no item, and items that share an id count as one. Repeated
     rows stay repeated. Other columns are ignored; empty tables are fine.
     """
+    context = documents.sparkSession.sparkContext
     narrow = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     pairs = saved(item_windows(benchmark, window))
-    blocks = max(1, -(-pairs.count() // block_windows))
-    pairs = pairs.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(blocks)))
-    found = None
+    windows = saved(pairs.select("window").distinct().withColumn("window_id", F.monotonically_increasing_id()))
+    blocks = max(1, -(-windows.count() // block_windows))
+    parts = None
     for number in range(blocks):
-        held = [(row.item_id, row.window) for row in pairs.where(F.col("block") == number).toLocalIterator()]
-        if not held:
-            held = [(None, b"\xff")]  # no word of valid text
-        block = Block(held)
-        counted = narrow.sparkSession.sparkContext.broadcast(block)
-        block.prefixed(_counted(narrow, counted))
-        part = _hit(narrow, narrow.sparkSession.sparkContext.broadcast(block), number)
-        found = part if found is None else found.union(part)
-    if blocks > 1:
-        found = _merged(found)
+        mine = windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == number)
+        block = Block([(row.window_id, row.window) for row in mine.toLocalIterator()] or [(-1, b"\xff")])  # no word of valid text
+        held = context.broadcast(block)
+        block.prefixed(_counted(narrow, held))
+        held.destroy()
+        held = context.broadcast(block)
+        part = saved(_hit(narrow, held, number))
+        held.destroy()
+        parts = part if parts is None else parts.union(part)
+    found = parts.select("doc_id", "key", "n_words", "hits") if blocks == 1 else _merged(parts)
+    owners = joined(pairs.where("item_id is not null"), windows, ["window"]).select("item_id", "window_id")
+    marks = parts.select("key", F.explode("windows").alias("window_id")).distinct()
+    items = joined(marks, owners, ["window_id"]).groupBy("key").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    none = F.array().cast("array<long>")
+    hit = joined(found.where(F.size("hits") > 0), items, ["key"], "left").withColumn("items", F.coalesce("items", none))
+    result = found.where(F.size("hits") == 0).withColumn("items", none).unionByName(hit)
     share = F.size("hits") * F.lit(SHARE) >= F.col("n_words")
-    return found.select("doc_id", "n_words", "hits", "items", ((F.size("hits") > 0) & share).alias("contaminated"))
+    return result.select("doc_id", "n_words", "hits", "items", ((F.size("hits") > 0) & share).alias("contaminated"))
 
 
 def _merged(found: DataFrame) -> DataFrame:
     """Rows of all blocks as one; repeated rows have equal parts and are counted."""
     parts = found.groupBy("doc_id", "key", "block").agg(
-        F.first("n_words").alias("n_words"), F.first("hits").alias("hits"), F.first("items").alias("items"), F.count("*").alias("copies")
+        F.first("n_words").alias("n_words"), F.first("hits").alias("hits"), F.count("*").alias("copies")
     )
     rows = parts.groupBy("doc_id", "key").agg(
         F.max("n_words").alias("n_words"),
         F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"),
-        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
         F.max("copies").alias("copies"),
     )
-    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return rows.select("doc_id", "key", "n_words", "hits", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).drop("copy")
 
 
 def without_contaminated(documents: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -101,6 +101,16 @@ def test_contamination(spark, block):
     assert sum(r[4] for r in found) > 10
 
 
+def test_windows_that_many_items_share(spark):
+    shared = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    items = [(i, shared) for i in range(3000)] + [(5000, "ab cd"), (None, shared)]
+    docs = [(1, shared + " x"), (1, shared + " x"), (2, "y " + shared.upper() + " ab, cd"), (3, "ab x cd"), (4, "")]
+    table = spark.createDataFrame(docs, DOCS).repartition(3)
+    result = decontamination.contamination(table, spark.createDataFrame(items, "item_id long, text string"), block_windows=1)
+    found = sorted((r.doc_id, len(r.hits), r["items"] == sorted(r["items"]), len(r["items"])) for r in result.collect())
+    assert found == [(1, 14, True, 3000), (1, 14, True, 3000), (2, 16, True, 3001), (3, 0, True, 0), (4, 0, True, 0)]
+
+
 def test_contamination_of_empty_tables(spark):
     docs, items = spark.createDataFrame([(1, "a b")], DOCS), spark.createDataFrame([(1, "a b")], "item_id long, text string")
     assert decontamination.contamination(docs.limit(0), items).count() == 0
