@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,16 @@ def as_column(value: ColumnLike) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def computed_once(result: Callable[..., Column], *values: Column) -> Column:
+    """``result(*values)`` with each value computed once a row, however often it is used.
+
+    Spark computes an expression again for each of its uses in a branch or a lambda.
+    """
+    names = [f"v{number}" for number in range(len(values))]
+    row = F.struct(*(value.alias(name) for value, name in zip(values, names)))
+    return F.get(F.transform(F.array(row), lambda r: result(*(r[name] for name in names))), F.lit(0))
+
+
 def last_match(text: Column, pattern: str, group: int) -> Column:
     """The last match of ``pattern`` in ``text``; null when there is none."""
     return F.try_element_at(

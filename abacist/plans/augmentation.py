@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from abacist.constants import DEFAULT_SEED, FACTOR_HIGH, FACTOR_LOW, SUBSTITUTED_NUMBERS
-from abacist.functions.columns import ColumnLike, as_column
+from abacist.functions.columns import ColumnLike, as_column, computed_once
 from abacist.functions.hashing import HASH_RANGE, hash32
 from abacist.functions.limbs import FACTOR_DIGITS, moved_digits, scaled_digits
 from abacist.functions.text import (
@@ -61,12 +61,22 @@ def substituted_value(value: Column, factor_draw: Column, sign_draw: Column) ->
 
 def substituted_digits(digits: Column, factor_draw: Column, sign_draw: Column) -> Column:
     """A whole number of any length as text, substituted like :func:`substituted_value`."""
-    short = substituted_value(digits.try_cast("bigint"), factor_draw, sign_draw).cast("string")
-    numerator = F.lit(_LOW_STEPS * HASH_RANGE) + F.lit(_WIDTH_STEPS) * factor_draw
-    scaled = scaled_digits(digits, numerator, F.lit(_FACTOR_STEPS * HASH_RANGE))
-    sign = F.when(F.pmod(sign_draw, F.lit(2)) == 0, F.lit(-1)).otherwise(F.lit(1))
-    long = F.when(scaled == digits, moved_digits(digits, sign)).otherwise(scaled)
-    return F.when(F.length(digits) <= WORD_DIGITS, short).otherwise(long)
+
+    def moved(scaled: Column, digits: Column) -> Column:
+        sign = F.when(F.pmod(sign_draw, F.lit(2)) == 0, F.lit(-1)).otherwise(F.lit(1))
+        return F.when(scaled == digits, moved_digits(digits, sign)).otherwise(scaled)
+
+    def substituted(digits: Column) -> Column:
+        value = digits.try_cast("bigint")
+        short = computed_once(
+            lambda value, draw: substituted_value(value, draw, sign_draw), value, factor_draw
+        ).cast("string")
+        numerator = F.lit(_LOW_STEPS * HASH_RANGE) + F.lit(_WIDTH_STEPS) * factor_draw
+        scaled = scaled_digits(digits, numerator, F.lit(_FACTOR_STEPS * HASH_RANGE))
+        long = computed_once(moved, scaled, digits)
+        return F.when(F.length(digits) <= WORD_DIGITS, short).otherwise(long)
+
+    return computed_once(substituted, digits)
 
 
 def with_substitutions(
@@ -114,22 +124,30 @@ def ratio_answer(answer: ColumnLike, substitutions: ColumnLike) -> Column:
     of both values (of the longer one; as many places go from the other), and the
     answer is multiplied without rounding.
     """
+
+    def scaled_answer(plain: Column, digits: Column, last: Column) -> Column:
+        old, new = last["old"], last["new"]
+        ratio = F.try_divide(new.cast("double"), old.cast("double"))
+        short = (plain.try_cast("bigint") * ratio).try_cast("bigint")
+        # null stays null: greatest() alone would skip it
+        short = F.when(short.isNotNull(), F.greatest(F.lit(0).cast("bigint"), short)).cast("string")
+
+        cut = F.greatest(F.length(old), F.length(new), F.lit(FACTOR_DIGITS)) - FACTOR_DIGITS
+        head = lambda value: F.left(value, F.length(value) - cut).try_cast("bigint")
+        long = computed_once(
+            lambda scaled: F.when(plain.startswith("-") & scaled.isNotNull(), "0").otherwise(scaled),
+            scaled_digits(digits, head(new), head(old)),
+        )
+        fits = F.greatest(F.length(digits), F.length(old), F.length(new)) <= WORD_DIGITS
+        return F.when(fits, short).otherwise(long)
+
+    def of_whole_number(plain: Column, last: Column) -> Column:
+        plain = F.when(plain.rlike(r"\A[+-]?\d+\z"), plain)
+        digits = F.regexp_replace(plain, r"\A[+-]?0*(?=\d)", "")
+        return computed_once(scaled_answer, plain, digits, last)
+
     last = F.try_element_at(as_column(substitutions), F.lit(-1))
-    old, new = last["old"], last["new"]
-    plain = fold_digits(strip(answer))
-    plain = F.when(plain.rlike(r"\A[+-]?\d+\z"), plain)
-    digits = plain_integer(F.regexp_replace(plain, r"\A[+-]", ""))
-
-    ratio = F.try_divide(new.cast("double"), old.cast("double"))
-    short = (plain.try_cast("bigint") * ratio).try_cast("bigint")
-    short = F.when(short.isNotNull(), F.greatest(F.lit(0).cast("bigint"), short)).cast("string")
-
-    cut = F.greatest(F.length(old), F.length(new), F.lit(FACTOR_DIGITS)) - FACTOR_DIGITS
-    head = lambda value: F.left(value, F.length(value) - cut).try_cast("bigint")
-    scaled = scaled_digits(digits, head(new), head(old))
-    long = F.when(plain.startswith("-") & scaled.isNotNull(), "0").otherwise(scaled)
-    fits = F.greatest(F.length(digits), F.length(old), F.length(new)) <= WORD_DIGITS
-    return F.when(fits, short).otherwise(long)
+    return computed_once(of_whole_number, fold_digits(strip(answer)), last)
 
 
 def augmented_copies(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from abacist.constants import DEFAULT_SEED
-from abacist.fixtures import preferences, problems, rollouts, table, with_views
+from abacist.fixtures import preferences, problems, rollouts, spread_table, table, with_views
 from abacist.functions import features
 from abacist.functions.chat import DEFAULT_INSTRUCTION, DEFAULT_PROMPTS, DEFAULT_STEP_REQUEST
 from abacist.operators import tables, training_rows
@@ -281,7 +281,7 @@ def long_number_substitutions(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat((first % 9 + 1).cast("string"), *(F.lpad(c.cast("string"), n, "0") for c, n in parts))
 
     short, long = digits(customer, (order, 9), (customer, 10)), digits(order, (customer, 9), (order, 10), (customer, 10), (order, 10))
-    rows = table(spark, sf_dir, "orders").select(
+    rows = spread_table(spark, sf_dir, "orders").select(
         order.alias("id"),
         F.concat(F.lit("仓库进货"), short, F.lit("件，售出"), long, F.lit("件")).alias("question"),
         F.when(order % 4 == 0, short).otherwise(digits(customer, (order, 14), (customer, 15))).alias("answer"),

@@ -75,3 +75,22 @@ def test_copies_with_long_answers_stay(spark):
     assert sorted(r.id for r in found) == ["a_aug0", "a_aug1", "a_aug2", "b_aug0", "b_aug1", "b_aug2"]
     assert all(len(r.answer) >= 22 for r in found if r.id.startswith("a"))
     assert all("123456789012345678901234567890" not in r.cot for r in found if r.id.startswith("b"))
+
+
+def test_values_are_computed_once(spark):
+    """Folding the digits of a text is by far the longest part of a plan."""
+    rows = spark.createDataFrame([(1, 0, "有12和" + "3" * 40, "4" * 30)], "id long, copy int, question string, answer string")
+    drawn = augmentation.with_substitutions(rows)
+    drawn = drawn.withColumn("r", augmentation.ratio_answer("answer", "substitutions"))
+    plan = drawn._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(") == 2  # numbers of the question, answer
+    row = drawn.first()
+    old, new = row.substitutions[-1]
+    assert row.r == ratio("4" * 30, old, new)
+
+
+def test_long_numbers_are_dealt_out(spark, sf_dir):
+    from abacist.queries import QUERIES
+
+    spread = QUERIES["long_number_substitutions"](spark, sf_dir)
+    assert spread.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
