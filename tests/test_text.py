@@ -154,3 +154,15 @@ def test_percent_and_duration(spark):
         display.percent_text("s"), display.percent_text("g", signed=True), display.duration_text("d")
     ).first()
     assert tuple(row) == ("0.12%", "-50.00%", "1.5m")
+
+
+def test_totals_beyond_bigint_are_null(spark, tmp_path):
+    """They ended the whole query before."""
+    from abacist.queries import QUERIES
+
+    most = 2**63 - 1
+    rows = [(1, f"{most} 和 1"), (2, f"{most} {most} {most}"), (3, f"{most - 7}, ７"), (4, "9" * 30 + " 5"), (5, "无")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["whole_numbers"](spark, str(tmp_path)).sort("doc_id").collect()
+    assert [r.total for r in found] == [None, None, most, 5, 0]
+    assert [r.numbers for r in found][:3] == [f"{most},1", f"{most},{most},{most}", f"{most - 7},７"]
